@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that Python's str.strip() removes, not only the blank.
-_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 _WORD_OR_GAP = (
     r"([\p{javaLowerCase}\p{javaUpperCase}\p{javaTitleCase}]+"
@@ -15,13 +15,18 @@ _WORD_OR_GAP = (
 
 
 def strip_blanks(text: Column) -> Column:
-    """Trim all white space, tabs and line ends included."""
-    return F.btrim(text, F.lit(_BLANKS))
+    """Trim all white space, tabs and line ends included.
+
+    Trimming by a set of characters is slow, so only texts that need it take that way.
+    """
+    trimmed = F.trim(text)
+    ragged = F.substring(trimmed, 1, 1).isin(_BLANKS) | F.substring(trimmed, -1, 1).isin(_BLANKS)
+    return F.when(ragged, F.btrim(text, F.lit("".join(_BLANKS)))).otherwise(trimmed)
 
 
-def text_or(text: Column, default: str = "Unknown") -> Column:
-    """Trimmed text; NULL and the empty string become ``default``."""
-    return F.when(text.isNull() | (text == ""), F.lit(default)).otherwise(strip_blanks(text))
+def text_or(stripped: Column, default: str = "Unknown") -> Column:
+    """Stripped text; NULL and the empty string become ``default``."""
+    return F.when(stripped != "", stripped).otherwise(F.lit(default))
 
 
 def genre_key(genre: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,12 @@ from perennial.functions.numbers import int_or, strict_int, to_number
 from perennial.functions.text import strip_blanks, text_or
 from perennial.schemas import NUMBER_DEFAULTS, SONG_FILE_COLUMNS, TEXT_COLUMNS
 
+# Cell texts that mean "missing", as common CSV readers take them.
+MISSING_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def rename_columns(raw: DataFrame) -> DataFrame:
     """File header names to column names; frames already renamed pass unchanged."""
@@ -16,9 +25,13 @@ def rename_columns(raw: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(songs: DataFrame) -> DataFrame:
-    """Drop rows with any missing cell. Runs before numbers are read, so a cell that
-    merely fails to parse does not cost the row."""
-    return songs.na.drop("any")
+    """Drop rows with any cell that is NULL or spells "missing".
+
+    Runs before numbers are read, so a cell that merely fails to parse does not cost
+    the row.
+    """
+    present = [~F.col(name).isin(*MISSING_CELLS) for name in songs.columns]
+    return songs.where(reduce(and_, present))
 
 
 def read_numbers(songs: DataFrame) -> DataFrame:

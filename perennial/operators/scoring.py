@@ -141,9 +141,13 @@ def score_landing(scores: DataFrame) -> DataFrame:
 
 
 def score_summary(scores: DataFrame) -> DataFrame:
-    """How many genres scored, the best score and the mean, in one pass."""
+    """How many genres scored, the best score and the mean, in one pass.
+
+    Scores have one decimal, so they are added exactly.
+    """
+    total = F.sum(F.col("timeless_score").cast("decimal(5,1)")).cast("double")
     return scores.agg(
         F.count(F.lit(1)).alias("total_analyzed"),
         F.max("timeless_score").alias("max_score"),
-        F.avg("timeless_score").alias("avg_score"),
+        F.try_divide(total, F.count(F.lit(1))).alias("avg_score"),
     )

@@ -54,9 +54,13 @@ def trend_landing(trends: DataFrame) -> DataFrame:
 
 
 def trend_rollup(trends: DataFrame, k: int = 10) -> DataFrame:
-    """Genres with the best mean of their window averages; windows weigh the same."""
+    """Genres with the best mean of their window averages; windows weigh the same.
+
+    Landed averages are decimals: they are added exactly and divided once.
+    """
+    mean = F.try_divide(F.sum("avg_popularity").cast("double"), F.count("avg_popularity"))
     rolled = trends.groupBy("genre").agg(
-        F.avg("avg_popularity").alias("avg_popularity"), F.sum("song_count").alias("song_count")
+        mean.alias("avg_popularity"), F.sum("song_count").alias("song_count")
     )
     return top_k(rolled, k, F.desc("avg_popularity"), F.col("genre"))
 

@@ -82,7 +82,8 @@ summary AS (
   SELECT genre, count(*) AS decades_active, min(decade) AS first_decade, max(decade) AS last_decade,
          CAST(sum(songs_in_decade) AS BIGINT) AS total_songs,
          CAST(sum(unique_artists) AS BIGINT) AS total_artists,
-         avg(avg_popularity) AS overall_avg_popularity,
+         list_reduce(list(avg_popularity ORDER BY decade), lambda x, y: x + y) / count(*)
+           AS overall_avg_popularity,
          {_round("stddev_samp(avg_popularity)", 2)} AS decade_popularity_variance,
          max(avg_popularity) AS peak_decade_popularity, min(avg_popularity) AS lowest_decade_popularity
   FROM decades GROUP BY genre HAVING count(*) >= 2 AND sum(songs_in_decade) >= 50)"""
@@ -336,7 +337,8 @@ FROM decades WHERE genre IN (SELECT genre FROM summary) GROUP BY genre""",
     "score_landing": f"WITH {_scores()} {_LANDED}",
     "stream_rescoring": f"WITH {_scores()} {_LANDED}",
     "score_summary": f"""WITH {_scores()}
-SELECT count(*) AS total_analyzed, max(timeless_score) AS max_score, avg(timeless_score) AS avg_score
+SELECT count(*) AS total_analyzed, max(timeless_score) AS max_score,
+       CAST(sum(CAST(timeless_score AS DECIMAL(5,1))) AS DOUBLE) / count(*) AS avg_score
 FROM scores""",
     "ranked_snapshot": f"""WITH {_scores()}, landed AS ({_LANDED})
 SELECT *, row_number() OVER ({_BEST}) AS ranking FROM landed""",
@@ -395,10 +397,9 @@ FROM windows""",
 SELECT * FROM landed ORDER BY analysis_window DESC, genre, avg_popularity, song_count LIMIT 1000""",
     "stream_genre_trends": f"WITH {_TREND_GROUPS} SELECT * EXCLUDE (unique_artists) FROM landed",
     "trend_rollup": f"""WITH {_TREND_GROUPS}
-SELECT genre, {_round("CAST(sum(CAST(avg_popularity AS DECIMAL(12,2))) AS DOUBLE) / count(*)", 4)}
-         AS avg_popularity, CAST(sum(song_count) AS BIGINT) AS song_count
-FROM landed GROUP BY genre
-ORDER BY CAST(sum(CAST(avg_popularity AS DECIMAL(12,2))) AS DOUBLE) / count(*) DESC, genre LIMIT 10""",
+SELECT genre, CAST(sum(CAST(avg_popularity AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS avg_popularity,
+       CAST(sum(song_count) AS BIGINT) AS song_count
+FROM landed GROUP BY genre ORDER BY avg_popularity DESC, genre LIMIT 10""",
     "popularity_10min": f"""WITH {SONGS},{_LEADERS}
 SELECT time_bucket(INTERVAL 10 MINUTE, processed_at) AS time_bucket, genre, avg(popularity) AS popularity
 FROM songs WHERE genre IN (SELECT genre FROM leaders) GROUP BY 1, 2""",

@@ -28,7 +28,6 @@ from perennial.params import RECENT_EVENTS, RECENT_SONGS, RECENT_TRENDS, Scoring
 from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
-from perennial.sources.song_files import blank_missing_cells
 from perennial.streaming import expiry, landing, rescoring
 from perennial.streaming.control import finish
 
@@ -99,7 +98,7 @@ def _sent_at():
 
 @query
 def clean_songs(spark, sf_dir):
-    return cleaning.clean_songs(blank_missing_cells(star.raw_songs(spark, sf_dir)))
+    return cleaning.clean_songs(star.raw_songs(spark, sf_dir))
 
 
 @query
@@ -109,7 +108,7 @@ def clean_songs_drop_policy(spark, sf_dir):
 
 @query
 def replayable_songs(spark, sf_dir):
-    prepared = cleaning.prepare_songs(blank_missing_cells(star.raw_songs(spark, sf_dir)))
+    prepared = cleaning.prepare_songs(star.raw_songs(spark, sf_dir))
     return cleaning.fill_defaults(cleaning.replayable_songs(prepared)).drop("index")
 
 
@@ -263,8 +262,7 @@ def trend_landing(spark, sf_dir):
 @query
 def trend_rollup(spark, sf_dir):
     landed = trends.trend_landing(trends.genre_trends(star.songs(spark, sf_dir)))
-    rolled = trends.trend_rollup(landed)
-    return rolled.withColumn("avg_popularity", F.round(F.col("avg_popularity").cast("double"), 4))
+    return trends.trend_rollup(landed)
 
 
 @query

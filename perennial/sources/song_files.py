@@ -7,26 +7,17 @@ from pyspark.sql import functions as F
 
 from perennial.schemas import RAW_SONG
 
-# Cell texts that mean "missing", as the usual CSV readers take them.
-MISSING_CELLS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
-    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
-)
-
-
 def read_song_files(
     spark: SparkSession,
     path: str,
     first_only: bool = False,
     multi_line: bool = False,
-    keep_text: bool = False,
 ) -> DataFrame:
     """All ``*.csv`` below ``path`` (or the one file it names), every cell as text.
 
     Lines with too few fields come back with NULL in the missing columns. With
     ``multi_line`` quoted line breaks are understood, at the price of one task per
-    file. ``keep_text`` leaves "NA" and its like as they are, which the integer
-    policy wants; otherwise they read as missing.
+    file.
     """
     reader = (
         spark.read.schema(RAW_SONG)
@@ -43,14 +34,7 @@ def read_song_files(
     if first_only:
         names = songs.select(F.input_file_name().alias("name")).agg(F.min("name").alias("name"))
         songs = songs.where(F.input_file_name() == names.scalar())
-    return songs if keep_text else blank_missing_cells(songs)
-
-
-def blank_missing_cells(songs: DataFrame) -> DataFrame:
-    """Turn every cell that spells "missing" into NULL."""
-    return songs.select(
-        [F.when(~F.col(f"`{c}`").isin(*MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in songs.columns]
-    )
+    return songs
 
 
 def table_from_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
