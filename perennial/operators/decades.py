@@ -115,22 +115,27 @@ def genre_summary(
 
     ``total_artists`` adds the artists of each decade, so one who is active in two
     decades counts twice. The detail list has one entry per decade, never more than
-    there are buckets between the first and the last year. The mean adds the decades
-    in their order: adding doubles as partitions happen to arrive would move scores
-    that sit on a rounding tie.
+    there are buckets between the first and the last year.
+
+    Scores that sit on a rounding tie must not depend on how partitions happen to
+    arrive. So the mean adds the decades in their order, and the deviation of the
+    two-decimal averages is taken from whole hundredths.
     """
+    hundredths = F.round(F.col("avg_popularity") * 100).cast("long")
     entry = F.struct("decade", "avg_popularity", "songs_in_decade")
     detail = F.sort_array(F.collect_list(entry))
     total = F.aggregate(
         F.col("decade_data.avg_popularity"), F.lit(0.0), lambda total, mean: total + mean
     )
+    spread = exact_sample_std(F.col("decades_active"), F.col("_total"), F.col("_squares"))
     per_genre = decades.groupBy("genre").agg(
         F.count(F.lit(1)).alias("decades_active"),
         F.min("decade").alias("first_decade"),
         F.max("decade").alias("last_decade"),
         F.sum("songs_in_decade").alias("total_songs"),
         F.sum("unique_artists").alias("total_artists"),
-        F.round(F.stddev_samp("avg_popularity"), 2).alias("decade_popularity_variance"),
+        F.sum(hundredths).alias("_total"),
+        F.sum(hundredths * hundredths).alias("_squares"),
         F.max("avg_popularity").alias("peak_decade_popularity"),
         F.min("avg_popularity").alias("lowest_decade_popularity"),
         detail.alias("decade_data"),
@@ -138,8 +143,13 @@ def genre_summary(
     summary = per_genre.where(
         (F.col("decades_active") >= params.min_buckets)
         & (F.col("total_songs") >= params.min_total_songs)
-    ).withColumn("overall_avg_popularity", total / F.col("decades_active"))
-    return summary if with_detail else summary.drop("decade_data")
+    ).withColumns(
+        {
+            "overall_avg_popularity": total / F.col("decades_active"),
+            "decade_popularity_variance": F.round(spread / 100, 2),
+        }
+    )
+    return summary.drop("_total", "_squares", *([] if with_detail else ["decade_data"]))
 
 
 def decade_list_text(summary: DataFrame) -> DataFrame:

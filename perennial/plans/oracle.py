@@ -46,6 +46,13 @@ def _round(number: str, digits: int) -> str:
     return f"CAST(round({text}, {digits}) AS DOUBLE)"
 
 
+def _exact_std(number: str) -> str:
+    """Sample deviation of whole numbers from their sums, free of the order of rows."""
+    spread = f"count({number}) * sum({number} * {number}) - sum({number}) * sum({number})"
+    pairs = f"(CAST(count({number}) AS DOUBLE) * (count({number}) - 1))"
+    return f"CASE WHEN count({number}) > 1 THEN sqrt(CAST({spread} AS DOUBLE) / {pairs}) ELSE NULL END"
+
+
 def _title(text: str) -> str:
     runs = f"regexp_extract_all(lower({text}), '[a-z]+|[^a-z]+')"
     return f"array_to_string(list_transform({runs}, lambda r: upper(r[1]) || r[2:]), '')"
@@ -70,7 +77,7 @@ kept AS (
 decades AS (
   SELECT genre, decade, decade + {length - 1} AS decade_end, count(*) AS songs_in_decade,
          {_round("avg(popularity)", 2)} AS avg_popularity,
-         {_round("stddev_samp(popularity)", 2)} AS popularity_std,
+         {_round(_exact_std("CAST(popularity AS HUGEINT)"), 2)} AS popularity_std,
          max(popularity) AS max_popularity, min(popularity) AS min_popularity,
          count(DISTINCT artist) AS unique_artists, count(DISTINCT year) AS years_covered
   FROM kept GROUP BY genre, decade HAVING count(*) >= 10)"""
@@ -84,7 +91,8 @@ summary AS (
          CAST(sum(unique_artists) AS BIGINT) AS total_artists,
          list_reduce(list(avg_popularity ORDER BY decade), lambda x, y: x + y) / count(*)
            AS overall_avg_popularity,
-         {_round("stddev_samp(avg_popularity)", 2)} AS decade_popularity_variance,
+         {_round("(" + _exact_std("CAST(round(avg_popularity * 100) AS HUGEINT)") + ") / 100", 2)}
+           AS decade_popularity_variance,
          max(avg_popularity) AS peak_decade_popularity, min(avg_popularity) AS lowest_decade_popularity
   FROM decades GROUP BY genre HAVING count(*) >= 2 AND sum(songs_in_decade) >= 50)"""
 

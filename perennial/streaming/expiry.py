@@ -58,15 +58,14 @@ def expire_by_state(
             state.remove()
             yield pd.DataFrame([{"event_id": key[0], **row}])
             return
+        newest = state.get if state.exists else None
         for frame in frames:
-            newest = frame.loc[frame["created_at"].idxmax(), _NAMES]
-            if not state.exists or newest["created_at"] > state.get[-1]:
-                state.update(
-                    tuple(None if pd.isna(v) else getattr(v, "item", lambda v=v: v)() for v in newest)
-                )
+            for row in zip(*(frame[name].astype(object).tolist() for name in _NAMES)):
+                if newest is None or row[-1] > newest[-1]:
+                    newest = tuple(None if pd.isna(value) else value for value in row)
+        state.update(newest)
         if by_event:
-            created_ms = pd.Timestamp(state.get[-1]).value // 1_000_000
-            due = created_ms + lifetime_ms
+            due = pd.Timestamp(newest[-1]).value // 1_000_000 + lifetime_ms
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         else:
             state.setTimeoutDuration(lifetime_ms)
