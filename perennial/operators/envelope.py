@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perennial.functions.numbers import truncated_int
 from perennial.functions.text import iso_text
@@ -41,9 +42,12 @@ def song_message_key() -> Column:
     return F.concat("artist", F.lit("_"), "title")
 
 
-def parse_messages(stream: DataFrame) -> DataFrame:
-    """Message bytes to one struct column. Text that is not JSON keeps its row, all NULL."""
-    return stream.select(F.from_json(F.col("value").cast("string"), EVENT).alias("message"))
+def parse_messages(stream: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
+    """Message bytes to one struct column. Text that is not JSON keeps its row, all NULL.
+
+    Fields outside ``schema`` are skipped unread: songs need only ``SONG_MESSAGE``.
+    """
+    return stream.select(F.from_json(F.col("value").cast("string"), schema).alias("message"))
 
 
 def _song_fields(names: str) -> list[Column]:

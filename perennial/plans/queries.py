@@ -25,6 +25,7 @@ from perennial.operators import (
     trends,
 )
 from perennial.params import RECENT_EVENTS, RECENT_SONGS, RECENT_TRENDS, ScoringParams
+from perennial.schemas import SONG_MESSAGE
 from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
@@ -400,12 +401,12 @@ def event_details(spark, sf_dir):
 
 @query
 def song_messages(spark, sf_dir):
-    return _song_messages(star.songs(spark, sf_dir))
+    return _song_messages(star.songs(spark, sf_dir, spread_out=True))
 
 
 @query
 def song_json_flatten(spark, sf_dir):
-    parsed = envelope.parse_messages(_song_messages(star.songs(spark, sf_dir)))
+    parsed = envelope.parse_messages(_song_messages(star.songs(spark, sf_dir, spread_out=True)), SONG_MESSAGE)
     return envelope.song_landing(envelope.flatten_songs(parsed, now=_sent_at()))
 
 
@@ -463,8 +464,8 @@ def stream_genre_trends(spark, sf_dir):
 @query
 def stream_song_landing(spark, sf_dir):
     root = scratch_dir(spark, "songs")
-    sent = _song_messages(star.streaming_songs(spark, sf_dir))
-    flat = envelope.flatten_songs(envelope.parse_messages(sent), now=_sent_at())
+    sent = _song_messages(star.streaming_songs(spark, sf_dir, spread_out=True))
+    flat = envelope.flatten_songs(envelope.parse_messages(sent, SONG_MESSAGE), now=_sent_at())
     _run(flat, landing.folder_sink(f"{root}/rows", envelope.song_landing), root)
     return landing.landed(spark, f"{root}/rows").drop("batch_id")
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from perennial.operators import envelope, trends
 from perennial.params import ScoringParams
+from perennial.schemas import SONG_MESSAGE
 from perennial.session import build_session
 from perennial.sources import kafka
 from perennial.sources.tables import register_views
@@ -44,7 +45,7 @@ def start_analytics(
     the time in the message by default; pass ``processed_at`` for arrival time.
     ``once`` reads what is there and ends.
     """
-    songs = envelope.flatten_songs(envelope.parse_messages(song_messages))
+    songs = envelope.flatten_songs(envelope.parse_messages(song_messages, SONG_MESSAGE))
     events = envelope.flatten_events(envelope.parse_messages(event_messages))
     register_views({"historical_songs": songs, "realtime_events": events})
     landed_songs = envelope.song_landing(songs)

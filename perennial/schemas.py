@@ -67,6 +67,9 @@ EVENT = T.StructType(
     ]
 )
 
+# Song messages land without their metadata, so it is not parsed either.
+SONG_MESSAGE = T.StructType([f for f in EVENT.fields if f.name in ("event_type", "timestamp", "song_data")])
+
 _SCORE = T.DecimalType(5, 2)
 
 SONG_ANALYTICS = T.StructType(

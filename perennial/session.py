@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # windowGroupLimitThreshold: largest top-n for which tasks trim a ranked window before
 # the shuffle; the newest-10,000 report needs more than the default of 1,000.
@@ -65,3 +65,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         shared = tempfile.mkdtemp(prefix="perennial-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, sized_like: DataFrame | None = None) -> DataFrame:
+    """Deal rows out over all cores if the input has fewer partitions than there are.
+
+    For work that is heavy per row, such as parsing: a file with one row group is read
+    by one task, and everything up to the first shuffle stays in it. Large tables have
+    more partitions than cores and pass unchanged. A stream is ``sized_like`` the table
+    it reads.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    sized = df if sized_like is None else sized_like
+    return df if sized.rdd.getNumPartitions() >= cores else df.repartition(cores)

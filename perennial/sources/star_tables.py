@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perennial.session import spread
+
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,18 +50,25 @@ def songs_from(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> Dat
     )
 
 
-def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return songs_from(*(star_table(spark, sf_dir, n) for n in ("lineitem", "part", "supplier")))
-
-
-def streaming_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_parts(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFrame:
     return songs_from(
-        star_stream(spark, sf_dir, "lineitem"),
-        star_table(spark, sf_dir, "part"),
-        star_table(spark, sf_dir, "supplier"),
+        lineitem, star_table(spark, sf_dir, "part"), star_table(spark, sf_dir, "supplier")
     )
 
 
+def songs(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    """One song per line item; ``spread_out`` is for work that is heavy per row."""
+    lineitem = star_table(spark, sf_dir, "lineitem")
+    return _with_parts(spark, sf_dir, spread(lineitem) if spread_out else lineitem)
+
+
+def streaming_songs(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    lineitem = star_stream(spark, sf_dir, "lineitem")
+    if spread_out:
+        lineitem = spread(lineitem, sized_like=star_table(spark, sf_dir, "lineitem"))
+    return _with_parts(spark, sf_dir, lineitem)
+
+
 def surge_songs_from(events: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
     """One surge per event with the 14 fields of the song it boosts."""
     parts = part.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -140,7 +149,7 @@ def raw_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.col(column).cast("string")
 
     line = F.col("liveness")  # the adapter's line number
-    return songs(spark, sf_dir).select(
+    return songs(spark, sf_dir, spread_out=True).select(
         text("liveness").alias("index"),
         F.when(line == 6, "  ").otherwise(F.concat(F.lit(" "), "title", F.lit("\t"))).alias("title"),
         F.when(line != 5, F.col("artist")).alias("artist"),
