@@ -65,8 +65,9 @@ def expire_by_state(
                     newest = tuple(None if pd.isna(value) else value for value in row)
         state.update(newest)
         if by_event:
-            due = pd.Timestamp(newest[-1]).value // 1_000_000 + lifetime_ms
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+            # A timer fires once the watermark is past it; a surge ends when it is reached.
+            due = -(-pd.Timestamp(newest[-1]).value // 1_000_000) + lifetime_ms
+            state.setTimeoutTimestamp(max(due - 1, state.getCurrentWatermarkMs() + 1))
         else:
             state.setTimeoutDuration(lifetime_ms)
 
