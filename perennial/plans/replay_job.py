@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennial.operators.cleaning import fill_defaults, prepare_songs, replayable_songs
 from perennial.operators.envelope import song_envelope, song_message_key
-from perennial.session import build_session
+from perennial.session import build_session, scratch_dir
 from perennial.sources import kafka
 from perennial.sources.song_files import read_song_files
 
@@ -31,23 +31,32 @@ def write_replay(messages: DataFrame, path: str) -> None:
     messages.write.mode("errorifexists").partitionBy("year").json(path)
 
 
+def send_by_year(spark: SparkSession, folder: str, servers: str, topic: str) -> None:
+    """Send a replay folder year by year, one job per calendar year.
+
+    Each job reads its own year's folder only. Sorting all messages by year instead
+    would put a year with most of the songs into one task.
+    """
+    messages = spark.read.json(folder)
+    years = messages.select("year").distinct().orderBy("year").collect()
+    for row in years:
+        one_year = messages.where(F.col("year") == row["year"]).select("key", "value")
+        kafka.write_messages(one_year, servers, topic)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--files", required=True)
-    target = parser.add_mutually_exclusive_group(required=True)
-    target.add_argument("--servers", help="Kafka bootstrap servers")
-    target.add_argument("--folder", help="folder for one JSON folder per year")
+    parser.add_argument("--folder", help="where the messages are kept, one folder per year")
+    parser.add_argument("--servers", help="Kafka bootstrap servers; left out, nothing is sent")
     parser.add_argument("--topic", default=kafka.SONG_TOPIC)
     options = parser.parse_args()
 
     spark = build_session("perennial-replay")
-    messages = replay_messages(read_song_files(spark, options.files))
-    if options.folder:
-        write_replay(messages, options.folder)
-    else:
-        kafka.write_messages(
-            messages.orderBy("year").select("key", "value"), options.servers, options.topic
-        )
+    folder = options.folder or scratch_dir(spark, "replay")
+    write_replay(replay_messages(read_song_files(spark, options.files)), folder)
+    if options.servers:
+        send_by_year(spark, folder, options.servers, options.topic)
 
 
 if __name__ == "__main__":

@@ -38,17 +38,25 @@ def start_analytics(
     watermark: str = "10 minutes",
     once: bool = False,
     as_of: Column | None = None,
+    unique_songs: bool = False,
 ) -> list[StreamingQuery]:
     """Start the four queries over streams of messages (a ``value`` column).
 
     Tables and checkpoints share ``root``; starting over means a new root. Trends use
     the time in the message by default; pass ``processed_at`` for arrival time.
-    ``once`` reads what is there and ends.
+    ``once`` reads what is there and ends. A replay that is sent twice lands twice unless
+    ``unique_songs`` drops the copies that arrive within the watermark.
     """
     songs = envelope.flatten_songs(envelope.parse_messages(song_messages, SONG_MESSAGE))
     events = envelope.flatten_events(envelope.parse_messages(event_messages))
     register_views({"historical_songs": songs, "realtime_events": events})
     landed_songs = envelope.song_landing(songs)
+    if unique_songs:
+        landed_songs = landed_songs.withWatermark("source_timestamp", watermark).dropDuplicatesWithinWatermark(
+            ["title", "artist", "genre", "year", "source_timestamp"]
+        )
+        if moment == "source_timestamp":
+            watermark = None  # set above already
     windows = trends.genre_trends(landed_songs, moment, watermark=watermark)
 
     jobs = {

@@ -60,10 +60,11 @@ def read_query(spark: SparkSession, url: str, query: str, **extra: str) -> DataF
 
 
 def append_table(
-    df: DataFrame, url: str, table: str, batch_size: int = 10_000, **extra: str
+    df: DataFrame, url: str, table: str, connections: int = 32, batch_size: int = 10_000, **extra: str
 ) -> None:
-    """Append over one connection per partition; a failed write raises."""
-    options = jdbc_options(url, table=table, batchsize=str(batch_size), **extra)
+    """Append over at most ``connections`` connections; a failed write raises."""
+    limits = {"numPartitions": str(connections), "batchsize": str(batch_size)}
+    options = jdbc_options(url, table=table, **limits, **extra)
     df.write.format("jdbc").options(**options).mode("append").save()
 
 

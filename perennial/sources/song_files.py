@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from perennial.schemas import RAW_SONG
 
 def read_song_files(
@@ -31,10 +29,7 @@ def read_song_files(
     if not path.endswith(".csv"):
         reader = reader.option("pathGlobFilter", "*.csv")
     songs = reader.csv(path)
-    if first_only:
-        names = songs.select(F.input_file_name().alias("name")).agg(F.min("name").alias("name"))
-        songs = songs.where(F.input_file_name() == names.scalar())
-    return songs
+    return reader.csv(min(songs.inputFiles())) if first_only else songs
 
 
 def table_from_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:

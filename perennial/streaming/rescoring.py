@@ -7,7 +7,9 @@ scores come from these; they equal a full run over the same songs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from perennial.operators.decades import artist_partials, decades_from_partials, genre_summary, merge_partials
 from perennial.operators.scoring import score_genres, score_landing
@@ -23,6 +25,20 @@ def scores_from_partials(
     return score_genres(genre_summary(decades_from_partials(merged, params), params), params, as_of)
 
 
+def merged_partials(spark: SparkSession, path: str, upto: int) -> DataFrame:
+    """Partials of the batches up to ``upto``: the last snapshot before it and what came since."""
+    batches = landed(spark, f"{path}/batches").where(F.col("batch_id") <= upto)
+    try:
+        snapshots = landed(spark, f"{path}/snapshots").where(F.col("batch_id") < upto)
+        last = snapshots.agg(F.max("batch_id")).first()[0]
+    except AnalysisException:  # no snapshot written yet
+        last = None
+    if last is None:
+        return merge_partials(batches)
+    since = batches.where(F.col("batch_id") > last)
+    return merge_partials(since.unionByName(snapshots.where(F.col("batch_id") == last)))
+
+
 def rescoring_sink(
     spark: SparkSession,
     partials_path: str,
@@ -30,14 +46,23 @@ def rescoring_sink(
     params: ScoringParams = ScoringParams(),
     profile: str = "lenient",
     as_of: Column | None = None,
+    snapshot_every: int = 100,
 ) -> BatchSink:
-    """Land the batch's partials, then replace the day's scores. Too few songs simply
-    leave no genre that qualifies; the day's earlier scores then stay."""
-    land = folder_sink(partials_path, lambda songs: artist_partials(songs, params, profile))
+    """Land the batch's partials, then replace the day's scores.
+
+    Every ``snapshot_every`` batches the partials are merged into one table, so that a
+    run reads that and a bounded number of batches however long the stream has run.
+    Too few songs simply leave no genre that qualifies; the day's earlier scores stay.
+    """
+    land = folder_sink(f"{partials_path}/batches", lambda s: artist_partials(s, params, profile))
+    keep = folder_sink(f"{partials_path}/snapshots")
 
     def write(songs: DataFrame, batch_id: int) -> None:
         land(songs, batch_id)
-        scores = scores_from_partials(landed(spark, partials_path), params, as_of)
-        replace_days(score_landing(scores), scores_path)
+        partials = merged_partials(spark, partials_path, batch_id)
+        if batch_id and batch_id % snapshot_every == 0:
+            keep(partials, batch_id)
+            partials = landed(spark, f"{partials_path}/snapshots").where(F.col("batch_id") == batch_id)
+        replace_days(score_landing(scores_from_partials(partials, params, as_of)), scores_path)
 
     return write

@@ -64,7 +64,8 @@ def test_first_file_only(spark, folder):
     with open(os.path.join(folder, "a.csv"), "w") as f:
         f.write(HEADER + "\n" + LINES[0].replace("Sunrise", "From A") + "\n")
     assert read_song_files(spark, folder).count() == len(LINES) + 1
-    assert set(by_title(read_song_files(spark, folder, first_only=True).withColumnsRenamed({"Title": "title"}))) == {"From A"}
+    first = read_song_files(spark, folder, first_only=True)
+    assert [r["Title"] for r in first.collect()] == ["From A"]
 
 
 def test_quoted_line_break(spark, tmp_path):

@@ -151,8 +151,9 @@ def test_scores_follow_the_songs(spark, root):
     parts = [songs(5), songs(6), songs(7)]
     write_files(spark, f"{root}/in", parts, SONGS)
     day = F.lit("2024-02-03").cast("date")
-    sink = rescoring.rescoring_sink(spark, f"{root}/partials", f"{root}/scores", as_of=day)
+    sink = rescoring.rescoring_sink(spark, f"{root}/partials", f"{root}/scores", as_of=day, snapshot_every=1)
     run(read_stream(spark, f"{root}/in", SONGS), sink, root)
+    assert sorted(os.listdir(f"{root}/partials/snapshots")) == ["batch_id=1", "batch_id=2"]
     whole = spark.createDataFrame(sum(parts, []), SONGS)
     expected = scoring.score_landing(scoring.timeless_scores(whole, as_of=day)).drop("created_at")
     got = spark.read.parquet(f"{root}/scores").select(expected.columns)
@@ -190,3 +191,27 @@ def test_all_queries_together(spark, root):
     assert landed["timeless_genre_metrics"].first()["total_songs"] == 60
     control.stop_all(spark)
     assert spark.streams.active == []
+
+
+def test_copies_can_be_dropped(spark, root):
+    def message(title):
+        song = {"title": title, "artist": "a", "top_genre": "folk", "year": 1975, "popularity": 60}
+        return json.dumps({"event_type": "historical", "timestamp": START.isoformat(), "song_data": song})
+
+    write_files(spark, f"{root}/songs", [[(message("x"),), (message("y"),)], [(message("x"),)]], "value string")
+    write_files(spark, f"{root}/events", [[("{}",)]], "value string")
+    for name, unique in (("all", False), ("unique", True)):
+        queries = start_analytics(
+            spark,
+            read_stream(spark, f"{root}/songs", "value string"),
+            read_stream(spark, f"{root}/events", "value string"),
+            f"{root}/{name}",
+            once=True,
+            unique_songs=unique,
+        )
+        for query in queries:
+            control.finish(query, 120)
+    assert landing.landed(spark, f"{root}/all/song_analytics").count() == 3
+    assert landing.landed(spark, f"{root}/unique/song_analytics").count() == 2
+    trend = landing.landed(spark, f"{root}/unique/genre_trends")
+    assert landing.latest_versions(trend, ["genre", "analysis_window"]).first()["song_count"] == 2
