@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from perennial.functions.numbers import truncated_int
 from perennial.functions.text import iso_text
 from perennial.schemas import EVENT, NUMBER_DEFAULTS, TEXT_COLUMNS
+from perennial.sources.kafka import messages
 
 SONG_SOURCE = "song_catalog"
 
@@ -42,6 +43,11 @@ def song_message_key() -> Column:
     return F.concat("artist", F.lit("_"), "title")
 
 
+def song_messages(songs: DataFrame, sent_at: Column, source: str = SONG_SOURCE) -> DataFrame:
+    """Key and message of cleaned songs."""
+    return messages(songs, song_message_key(), song_envelope(sent_at, source=source))
+
+
 def parse_messages(stream: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """Message bytes to one struct column. Text that is not JSON keeps its row, all NULL.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from perennial.functions.text import iso_text
 from perennial.operators.envelope import SONG_SOURCE, message_metadata, song_struct
 from perennial.params import SurgeParams
+from perennial.sources.kafka import messages
 
 SURGE = "popularity_surge"
 ROLLBACK = "timeout_rollback"
@@ -112,6 +113,16 @@ def rollback_envelope(source: str = ROLLBACK_SOURCE) -> Column:
     )
 
 
+def surge_messages(surges: DataFrame, params: SurgeParams = SurgeParams()) -> DataFrame:
+    """Key and message of new surges; needs the song's 14 fields at their original values."""
+    return messages(surge_boost(surges, params), F.col("event_id"), surge_envelope())
+
+
+def rollback_messages(ended: DataFrame, params: SurgeParams = SurgeParams()) -> DataFrame:
+    """Key and message that take ended surges back."""
+    return messages(with_rollback(ended, params), F.col("message_key"), rollback_envelope())
+
+
 def surges_and_rollbacks(surges: DataFrame, rollbacks: DataFrame) -> DataFrame:
     """Both kinds of event in one table, as they share one topic."""
     return surges.unionByName(rollbacks, allowMissingColumns=True)

@@ -75,19 +75,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _song_messages(songs: DataFrame) -> DataFrame:
     named = songs.withColumnRenamed("genre", "top_genre")
-    return named.select(
-        envelope.song_message_key().alias("key"),
-        F.to_json(envelope.song_envelope(F.col("processed_at"))).alias("value"),
-    )
-
-
-def _surge_messages(surge_songs: DataFrame) -> DataFrame:
-    return surges.surge_boost(surge_songs).select(F.to_json(surges.surge_envelope()).alias("value"))
-
-
-def _rollback_messages(surge_songs: DataFrame) -> DataFrame:
-    ended = surges.with_rollback(surge_songs)
-    return ended.select(F.to_json(surges.rollback_envelope()).alias("value"))
+    return envelope.song_messages(named, F.col("processed_at"))
 
 
 def _sent_at():
@@ -413,7 +401,7 @@ def song_json_flatten(spark, sf_dir):
 @query
 def event_json_flatten(spark, sf_dir):
     given = star.surge_songs(spark, sf_dir)
-    sent = _surge_messages(given).unionByName(_rollback_messages(given))
+    sent = surges.surge_messages(given).unionByName(surges.rollback_messages(given))
     flat = envelope.flatten_events(envelope.parse_messages(sent), now=_sent_at())
     return envelope.event_landing(flat)
 
@@ -473,7 +461,7 @@ def stream_song_landing(spark, sf_dir):
 @query
 def stream_event_landing(spark, sf_dir):
     root = scratch_dir(spark, "events")
-    sent = _surge_messages(star.surge_songs(spark, sf_dir, streaming=True))
+    sent = surges.surge_messages(star.surge_songs(spark, sf_dir, streaming=True))
     flat = envelope.flatten_events(envelope.parse_messages(sent), now=_sent_at())
     _run(flat, landing.folder_sink(f"{root}/rows", envelope.event_landing), root)
     return landing.landed(spark, f"{root}/rows").drop("batch_id")
@@ -490,7 +478,7 @@ def stream_surge_expiry(spark, sf_dir):
 @query
 def stream_surge_timers(spark, sf_dir):
     root = scratch_dir(spark, "timers")
-    ended = expiry.expire_by_state(star.song_events(spark, sf_dir, streaming=True))
+    ended = expiry.expire_by_timer(star.song_events(spark, sf_dir, streaming=True))
     _run(ended, landing.folder_sink(f"{root}/rows"), root)
     return landing.landed(spark, f"{root}/rows").drop("batch_id")
 

@@ -21,9 +21,7 @@ def replay_messages(raw: DataFrame, sent_at: Column | None = None) -> DataFrame:
     """Key, message and year of every song that belongs to a year."""
     songs = fill_defaults(replayable_songs(prepare_songs(raw)))
     moment = F.current_timestamp() if sent_at is None else sent_at
-    return songs.select(
-        song_message_key().alias("key"), F.to_json(song_envelope(moment)).alias("value"), "year"
-    )
+    return kafka.messages(songs, song_message_key(), song_envelope(moment), "year")
 
 
 def write_replay(messages: DataFrame, path: str) -> None:

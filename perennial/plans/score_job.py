@@ -14,7 +14,7 @@ from perennial.operators.filters import has_rows
 from perennial.operators.reports import champion, genre_breakdown, latest_snapshot
 from perennial.operators.scoring import score_landing, score_summary, timeless_scores
 from perennial.params import ScoringParams
-from perennial.session import build_session
+from perennial.session import build_session, tune
 from perennial.sources import jdbc
 from perennial.sources.tables import replace_days
 
@@ -58,9 +58,12 @@ def main() -> None:
     parser.add_argument("--profile", choices=("strict", "lenient"), default="strict")
     parser.add_argument("--normalize-genre", action="store_true")
     parser.add_argument("--as-of", help="analysis date, yyyy-mm-dd; today if left out")
+    parser.add_argument("--shuffle-gb", type=int, help="size of the largest shuffle, to plan for it")
     options = parser.parse_args()
 
     spark = build_session("perennial-scores")
+    if options.shuffle_gb:
+        tune(spark, shuffle_bytes=options.shuffle_gb * 1024**3)
     if options.songs:
         songs = spark.read.parquet(options.songs)
     else:

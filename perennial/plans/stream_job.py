@@ -19,6 +19,13 @@ from perennial.sources.tables import register_views
 from perennial.streaming import control, landing
 from perennial.streaming.rescoring import rescoring_sink
 
+# Window state that outgrows the memory of the executors is kept on their disks.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
+
 # What runs, and how often.
 TRIGGERS = {
     "genre_trends": landing.TREND_TRIGGER,
@@ -96,7 +103,7 @@ def main() -> None:
     parser.add_argument("--event-topic", default=kafka.EVENT_TOPIC)
     options = parser.parse_args()
 
-    spark = build_session("perennial-streams")
+    spark = build_session("perennial-streams", settings=STATE_SETTINGS)
     start_analytics(
         spark,
         kafka.song_stream(spark, options.servers, options.song_topic),

@@ -48,12 +48,12 @@ def sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER_SETTINGS}
 
 
-def messages(df: DataFrame, key: Column, value: Column) -> DataFrame:
-    """Key text and JSON text, the two columns a Kafka sink wants.
+def messages(df: DataFrame, key: Column, value: Column, *more: str) -> DataFrame:
+    """Key text and JSON text, the two columns a Kafka sink wants, and ``more`` columns.
 
     ``value`` is a struct; fields that are NULL are left out of the JSON.
     """
-    return df.select(key.cast("string").alias("key"), F.to_json(value).alias("value"))
+    return df.select(key.cast("string").alias("key"), F.to_json(value).alias("value"), *more)
 
 
 def write_messages(frame: DataFrame, servers: str, topic: str) -> None:

@@ -1,9 +1,12 @@
 """Surges that expire.
 
-``expire_surges`` needs no Python on the executors: a surge is an aggregate of one
+``ended_surges`` needs no Python on the executors: a surge is an aggregate of one
 event whose group closes when the watermark, kept one lifetime behind the newest
-event, passes its creation. ``expire_by_state`` keeps a timer per event instead and
-can also run on the wall clock, where a surge ends although no further event comes.
+event, passes its creation. ``ended_by_timer`` keeps a timer per event instead and can
+also run on the wall clock, where a surge ends although no further event comes.
+
+Both return the ended surges with all their columns, ready for ``surge_rollbacks`` or
+``rollback_messages``.
 """
 
 from __future__ import annotations
@@ -13,69 +16,94 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from perennial.operators.surges import surge_rollbacks
 from perennial.params import SurgeParams
 
-_FIELDS = "song_title string, artist string, original_popularity int, boost_amount int, created_at timestamp"
-_NAMES = [field.split()[0] for field in _FIELDS.split(", ")]
-
 
-def expire_surges(
+def ended_surges(
     surges: DataFrame, params: SurgeParams = SurgeParams(), lateness_seconds: int = 0
 ) -> DataFrame:
-    """Rollbacks of the surges whose lifetime is over in event time.
+    """Surges whose lifetime is over in event time.
 
-    A surge delivered twice is rolled back once. ``lateness_seconds`` holds every
-    rollback back by that much to wait for late events.
+    A surge delivered twice ends once. ``lateness_seconds`` holds every end back by that
+    much to wait for late events.
     """
     delay = f"{params.lifetime_seconds + lateness_seconds} seconds"
-    carried = [F.first(n).alias(n) for n in _NAMES if n != "created_at"]
-    ended = surges.withWatermark("created_at", delay).groupBy("event_id", "created_at").agg(*carried)
-    return surge_rollbacks(ended, params)
+    keys = ["event_id", "created_at"]
+    carried = [F.first(name).alias(name) for name in surges.columns if name not in keys]
+    ended = surges.withWatermark("created_at", delay).groupBy(*keys).agg(*carried)
+    return ended.select(*surges.columns)
 
 
-def expire_by_state(
+def ended_by_timer(
     surges: DataFrame,
     params: SurgeParams = SurgeParams(),
     clock: str = "event",
     lateness_seconds: int = 0,
 ) -> DataFrame:
-    """Rollbacks from one timer per event id, on the ``event`` or the ``wall`` clock.
+    """Surges ended by one timer per event id, on the ``event`` or the ``wall`` clock.
 
     A group is a single event, so no group grows. A second surge of the same id
     restarts its timer.
     """
+    fields = [field for field in surges.schema.fields if field.name != "event_id"]
+    names = [field.name for field in fields]
+    whole = {field.name for field in fields if isinstance(field.dataType, T.IntegralType)}
+    moment = names.index("created_at")
     lifetime_ms = params.lifetime_seconds * 1000
     by_event = clock == "event"
 
+    def values(frame: pd.DataFrame, name: str) -> list:
+        """A column of numbers with a gap arrives as float."""
+        cells = (None if pd.isna(cell) else cell for cell in frame[name].astype(object))
+        return [int(c) if c is not None and name in whole else c for c in cells]
+
     def step(
         key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            row = dict(zip(_NAMES, state.get))
+            ended = {"event_id": key[0], **dict(zip(names, state.get))}
             state.remove()
-            yield pd.DataFrame([{"event_id": key[0], **row}])
+            yield pd.DataFrame([ended], dtype=object)
             return
         newest = state.get if state.exists else None
         for frame in frames:
-            for row in zip(*(frame[name].astype(object).tolist() for name in _NAMES)):
-                if newest is None or row[-1] > newest[-1]:
-                    newest = tuple(None if pd.isna(value) else value for value in row)
+            for row in zip(*(values(frame, name) for name in names)):
+                if newest is None or row[moment] > newest[moment]:
+                    newest = row
         state.update(newest)
         if by_event:
             # A timer fires once the watermark is past it; a surge ends when it is reached.
-            due = -(-pd.Timestamp(newest[-1]).value // 1_000_000) + lifetime_ms
+            due = -(-pd.Timestamp(newest[moment]).value // 1_000_000) + lifetime_ms
             state.setTimeoutTimestamp(max(due - 1, state.getCurrentWatermarkMs() + 1))
         else:
             state.setTimeoutDuration(lifetime_ms)
 
-    watched = surges.select("event_id", *_NAMES)
+    watched = surges.select("event_id", *names)
     if by_event:
         watched = watched.withWatermark("created_at", f"{lateness_seconds} seconds")
     timeout = GroupStateTimeout.EventTimeTimeout if by_event else GroupStateTimeout.ProcessingTimeTimeout
     ended = watched.groupBy("event_id").applyInPandasWithState(
-        step, f"event_id string, {_FIELDS}", _FIELDS, "append", timeout
+        step, watched.schema, T.StructType(fields), "append", timeout
     )
-    return surge_rollbacks(ended, params)
+    return ended.select(*surges.columns)
+
+
+def expire_surges(
+    surges: DataFrame, params: SurgeParams = SurgeParams(), lateness_seconds: int = 0
+) -> DataFrame:
+    """Rollback rows in event time."""
+    return surge_rollbacks(ended_surges(surges, params, lateness_seconds), params)
+
+
+def expire_by_timer(
+    surges: DataFrame,
+    params: SurgeParams = SurgeParams(),
+    clock: str = "event",
+    lateness_seconds: int = 0,
+) -> DataFrame:
+    """Rollback rows from timers."""
+    return surge_rollbacks(ended_by_timer(surges, params, clock, lateness_seconds), params)
