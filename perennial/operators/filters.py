@@ -41,7 +41,11 @@ def of_genre(frame: DataFrame, genre: str, any_case: bool = False) -> DataFrame:
 
 
 def has_rows(frame: DataFrame, n: int) -> bool:
-    """Whether there are at least ``n`` rows; stops reading once they are found."""
-    return n <= 0 or not frame.offset(n - 1).limit(1).isEmpty()
+    """Whether there are at least ``n`` rows, ``n`` being small.
+
+    ``take`` reads one partition first and more only while rows are missing, where a
+    limited count would start a task for every partition of the table.
+    """
+    return len(frame.select(F.lit(1)).take(n)) >= n
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from perennial.schemas import LANDING_TABLES
 from perennial.session import RUNTIME_DEFAULTS, scratch_dir, spread, tune
-from perennial.sources import jdbc, kafka, tables
+from perennial.operators.filters import has_rows
+from perennial.sources import jdbc, kafka, star_tables, tables
 
 
 def test_jdbc_options():
@@ -92,3 +93,42 @@ def test_spread_only_widens(spark):
     narrow, wide = spark.range(10).coalesce(1), spark.range(0, 100, 1, cores + 1)
     assert spread(narrow).rdd.getNumPartitions() == cores
     assert spread(wide) is wide
+
+
+def test_has_rows(spark):
+    df = spark.range(0, 20, 1, 7)
+    assert has_rows(df, 0) and has_rows(df, 20) and not has_rows(df, 21)
+
+
+def test_stream_of_a_table_kept_as_a_folder(spark, root):
+    spark.range(30).repartition(3).write.parquet(f"{root}/lineitem.parquet")
+    counts = []
+    query = (
+        star_tables.star_stream(spark, root, "lineitem")
+        .writeStream.foreachBatch(lambda batch, _id: counts.append(batch.count()))
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    assert query.awaitTermination(60) and sum(counts) == 30
+
+
+def test_hot_key_join_is_split(spark, root):
+    """A third of the rows share one key; the adaptive join splits that partition."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "60k"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000)
+        left = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        right = spark.range(1000).withColumnRenamed("id", "k")
+        joined = left.join(right, "k")
+        assert len(joined.collect()) == 300_000
+        assert "skew" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
