@@ -400,7 +400,7 @@ def song_json_flatten(spark, sf_dir):
 
 @query
 def event_json_flatten(spark, sf_dir):
-    given = star.surge_songs(spark, sf_dir)
+    given = star.surge_songs(spark, sf_dir, spread_out=True)
     sent = surges.surge_messages(given).unionByName(surges.rollback_messages(given))
     flat = envelope.flatten_events(envelope.parse_messages(sent), now=_sent_at())
     return envelope.event_landing(flat)
@@ -461,7 +461,7 @@ def stream_song_landing(spark, sf_dir):
 @query
 def stream_event_landing(spark, sf_dir):
     root = scratch_dir(spark, "events")
-    sent = surges.surge_messages(star.surge_songs(spark, sf_dir, streaming=True))
+    sent = surges.surge_messages(star.surge_songs(spark, sf_dir, streaming=True, spread_out=True))
     flat = envelope.flatten_events(envelope.parse_messages(sent), now=_sent_at())
     _run(flat, landing.folder_sink(f"{root}/rows", envelope.event_landing), root)
     return landing.landed(spark, f"{root}/rows").drop("batch_id")

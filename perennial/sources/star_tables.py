@@ -122,15 +122,17 @@ EVENT_COLUMNS = (
 )
 
 
-def _event_inputs(spark: SparkSession, sf_dir: str, streaming: bool) -> list[DataFrame]:
-    events = star_stream if streaming else star_table
-    return [events(spark, sf_dir, "events")] + [
-        star_table(spark, sf_dir, n) for n in ("part", "supplier")
-    ]
-
-
-def surge_songs(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    return surge_songs_from(*_event_inputs(spark, sf_dir, streaming))
+def surge_songs(
+    spark: SparkSession, sf_dir: str, streaming: bool = False, spread_out: bool = False
+) -> DataFrame:
+    """One surge per event; ``spread_out`` is for work that is heavy per row."""
+    table = star_table(spark, sf_dir, "events")
+    events = star_stream(spark, sf_dir, "events") if streaming else table
+    return surge_songs_from(
+        spread(events, sized_like=table) if spread_out else events,
+        star_table(spark, sf_dir, "part"),
+        star_table(spark, sf_dir, "supplier"),
+    )
 
 
 def song_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
