@@ -80,13 +80,14 @@ def _strength(groups: DataFrame, params: Reputation) -> Column:
         F.sum(good * good / n).alias("between"),
     )
     k, total, squares = F.col("k"), F.col("total"), F.col("squares")
-    share = F.col("all_good") / total
-    among = (F.col("between") - total * share * share) / (k - 1)
-    within = (F.col("all_good") - F.col("between")) / (total - k)
-    typical = (total - squares / total) / (k - 1)
-    rho = (among - within) / (among + (typical - 1) * within)
+    share = F.try_divide("all_good", "total")
+    among = F.try_divide(F.col("between") - total * share * share, k - 1)
+    within = F.try_divide(F.col("all_good") - F.col("between"), total - k)
+    typical = F.try_divide(total - F.try_divide(squares, total), k - 1)
+    rho = F.try_divide(among - within, among + (typical - 1) * within)
+    # One group, one label each or no differences at all tell nothing: the strongest prior.
     strength = F.when(
-        (k > 1) & (total > k) & (among + (typical - 1) * within > 0) & (rho > 0), 1 / rho - 1
+        (k > 1) & (total > k) & (among + (typical - 1) * within > 0) & (rho > 0), F.try_divide(F.lit(1.0), rho) - 1
     ).otherwise(params.strongest)
     bounded = F.least(F.lit(params.strongest), F.greatest(F.lit(params.weakest), strength))
     return sums.select(F.coalesce(bounded, F.lit(params.strongest)).alias("strength")).scalar()
