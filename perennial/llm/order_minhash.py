@@ -32,7 +32,7 @@ class OrderMinHash:
     k: int = 3
     least: int = 2
     slots: int = 32
-    bucket_bytes: int = 32 << 20
+    bucket_bytes: int = 8 << 20
     max_buckets: int = 1024
 
 
