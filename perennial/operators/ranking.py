@@ -70,21 +70,21 @@ def row_numbers_by_value(
 
 
 def rank_by_score(scores: DataFrame, score: str = "timeless_score", name: str = "genre") -> DataFrame:
-    """ROW_NUMBER over all rows, best score first, then by name.
+    """ROW_NUMBER over all rows, best score first, then by name; rows without a score last.
 
-    Scores have one decimal between 0 and 100, hence at most 1,001 values. The
-    running count over these values is small enough to broadcast, and each value
-    numbers its own rows.
+    Scores are decimals of two places between 0 and 100, hence at most 10,001 values. The
+    running count over these values meets the rows by value, and each value numbers its
+    own rows.
     """
     per_value = scores.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
-    better = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    better = Window.orderBy(F.col(score).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_value.select(
         F.col(score).alias("_score"), F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_before")
     )
     within = Window.partitionBy(score).orderBy(name)
     return (
         scores.withColumn("_place", F.row_number().over(within))
-        .join(F.broadcast(offsets), F.col(score) == F.col("_score"))
+        .join(offsets, F.col(score).eqNullSafe(F.col("_score")))
         .withColumn("ranking", (F.col("_before") + F.col("_place")).cast("long"))
         .drop("_score", "_before", "_place")
     )

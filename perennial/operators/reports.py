@@ -80,8 +80,8 @@ def score_components_long(metrics: DataFrame, k: int = 5) -> DataFrame:
 def score_histogram(metrics: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins from the lowest to the highest score, empty ones included.
 
-    Scores have one decimal, so counting per value leaves at most 1,001 rows; the
-    bounds, the bins and the mean all come from those.
+    Scores are decimals of two places up to 100, so counting per value leaves at most
+    10,001 rows; the bounds, the bins and the mean all come from those.
     """
     per_value = metrics.groupBy(F.col("timeless_score").cast("double").alias("score")).agg(
         F.count(F.lit(1)).alias("n")
@@ -99,7 +99,7 @@ def score_histogram(metrics: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame
     )
     per_bin = binned.groupBy("bin").agg(
         F.sum("n").alias("n"),
-        F.sum(F.col("score").cast("decimal(5,1)") * F.col("n")).alias("total"),
+        F.sum(F.col("score").cast("decimal(5,2)") * F.col("n")).alias("total"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
     )
@@ -142,7 +142,7 @@ def genre_breakdown(
 def genre_timeline(
     songs: DataFrame,
     metrics: DataFrame,
-    k: int = 10,
+    k: int | None = 10,
     first_year: int = 1980,
     last_year: int = 2024,
     period: int = 5,
@@ -150,14 +150,15 @@ def genre_timeline(
 ) -> DataFrame:
     """The best genres over five-year periods, spelled as the songs spell them.
 
-    Only the ``k`` best genres are broadcast. Two of them that differ in case match
-    the same songs twice, as an inner join has it.
+    ``k`` None takes all genres of ``metrics``. Two of them that differ in case match the
+    same songs twice, as an inner join has it.
     """
-    best = top_k(metrics, k, *_best_first()).select(genre_key(F.col("genre")).alias("_key"))
+    chosen = metrics if k is None else top_k(metrics, k, *_best_first())
+    best = chosen.select(genre_key(F.col("genre")).alias("_key"))
     kept = songs.where(F.col("year").between(first_year, last_year)).select(
         "genre", "artist", "popularity", year_bucket(F.col("year"), period).cast("int").alias("period_start")
     )
-    matched = kept.join(F.broadcast(best), genre_key(F.col("genre")) == F.col("_key"))
+    matched = kept.join(best, genre_key(F.col("genre")) == F.col("_key"))
     figures = matched.groupBy("genre", "period_start").agg(
         F.count(F.lit(1)).alias("song_count"),
         F.round(F.avg("popularity"), 1).alias("avg_popularity"),
@@ -188,10 +189,12 @@ def timeline_of_genre(timeline: DataFrame, metrics: DataFrame, genre: str) -> Da
 def catalog_totals(songs: DataFrame, metrics: DataFrame) -> DataFrame:
     """Songs, genres, artists and analyzed genres in one row.
 
-    Songs shrink to one row per (genre, artist) before anything distinct is counted.
+    Songs shrink to one row per (genre, artist) before anything distinct is counted. The
+    analyzed genres are those of the newest date, counted per date in one pass.
     """
     pairs = songs.groupBy("genre", "artist").agg(F.count(F.lit(1)).alias("n"))
-    analyzed = latest_snapshot(metrics).agg(F.count_distinct("genre").alias("n")).scalar()
+    per_day = metrics.groupBy("analysis_date").agg(F.count_distinct("genre").alias("n"))
+    analyzed = per_day.agg(F.coalesce(F.max_by("n", "analysis_date"), F.lit(0)).alias("n")).scalar()
     return pairs.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_songs"),
         F.count_distinct("genre").alias("total_genres"),

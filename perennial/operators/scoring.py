@@ -132,8 +132,8 @@ def score_landing(scores: DataFrame) -> DataFrame:
         F.col("decade_presence_score").cast(score).alias("peak_stability"),
         F.col("decade_presence").cast("int").alias("decade_presence"),
         F.col("time_span_decades").cast("int").alias("year_span"),
-        F.col("total_songs").cast("int").alias("total_songs"),
-        F.col("total_artists").cast("int").alias("total_unique_artists"),
+        F.col("total_songs").cast("long").alias("total_songs"),
+        F.col("total_artists").cast("long").alias("total_unique_artists"),
         F.lit(None).cast("string").alias("period_stats"),
         F.lit(None).cast("string").alias("analysis_metadata"),
         F.current_timestamp().alias("created_at"),
@@ -143,9 +143,9 @@ def score_landing(scores: DataFrame) -> DataFrame:
 def score_summary(scores: DataFrame) -> DataFrame:
     """How many genres scored, the best score and the mean, in one pass.
 
-    Scores have one decimal, so they are added exactly.
+    Landed scores have two decimals, so they are added exactly.
     """
-    total = F.sum(F.col("timeless_score").cast("decimal(5,1)")).cast("double")
+    total = F.sum(F.col("timeless_score").cast("decimal(5,2)")).cast("double")
     return scores.agg(
         F.count(F.lit(1)).alias("total_analyzed"),
         F.max("timeless_score").alias("max_score"),

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perennial.functions.text import title_case
-from perennial.operators.ranking import newest, top_per_group
-from perennial.params import RECENT_EVENTS
+from perennial.operators.ranking import top_per_group
 
 LIST_FIELDS = ("event_type", "song_title", "artist", "year", "reason", "boost_amount", "created_at")
 SHOWN_EVENTS = 5
+LISTED_EVENTS = 100
 
 
 def event_type_counts(events: DataFrame) -> DataFrame:
@@ -36,27 +36,6 @@ def _with_songs(events: DataFrame, song_keys: DataFrame) -> DataFrame:
     return joined.fillna("Unknown", subset=["genre"])
 
 
-def events_by_genre(events: DataFrame, songs: DataFrame, recent: int = RECENT_EVENTS) -> DataFrame:
-    """The newest events as seven lists per genre, newest first, with their count.
-
-    The lists are bounded by the report size. Its events are few enough to broadcast,
-    so that only songs they name are made distinct and shuffled.
-    """
-    report = newest(events, "created_at", recent)
-    named = songs.select(F.col("title").alias("_title"), F.col("artist").alias("_artist"), "genre", "year")
-    song_keys = named.join(F.broadcast(report), _same_song(), "left_semi").distinct()
-    entry = F.struct(
-        "created_at", "event_id", "year", "event_type", "song_title", "artist", "reason", "boost_amount"
-    )
-    grouped = (
-        _with_songs(report, song_keys)
-        .groupBy("genre")
-        .agg(F.sort_array(F.collect_list(entry), asc=False).alias("entries"))
-    )
-    lists = [F.col("entries").getField(name).alias(f"{name}_list") for name in LIST_FIELDS]
-    return grouped.select("genre", *lists, F.size("entries").cast("long").alias("event_count"))
-
-
 def event_counts_by_genre(events: DataFrame, songs: DataFrame) -> DataFrame:
     """Events per genre over the whole tables.
 
@@ -85,6 +64,19 @@ def newest_events_by_genre(events: DataFrame, songs: DataFrame, shown: int = SHO
     return top_per_group(joined, ["genre"], order, shown, rank="place")
 
 
+def events_by_genre(events: DataFrame, songs: DataFrame, listed: int = LISTED_EVENTS) -> DataFrame:
+    """The newest ``listed`` events of each genre as seven lists, newest first, with the
+    number of all its events."""
+    entry = F.struct("place", *LIST_FIELDS)
+    lists = (
+        newest_events_by_genre(events, songs, listed)
+        .groupBy("genre")
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    )
+    named = [F.col("entries").getField(name).alias(f"{name}_list") for name in LIST_FIELDS]
+    return lists.join(event_counts_by_genre(events, songs), "genre").select("genre", *named, "event_count")
+
+
 def _or_unknown(text: Column) -> Column:
     return F.when(text.isNull() | (text == ""), F.lit("Unknown")).otherwise(text)
 

@@ -44,12 +44,12 @@ def trend_landing(trends: DataFrame) -> DataFrame:
     return trends.select(
         "genre",
         F.col("avg_popularity").cast(figure).alias("avg_popularity"),
-        F.col("song_count").cast("int").alias("song_count"),
+        F.col("song_count").cast("long").alias("song_count"),
         F.col("time_window.start").alias("analysis_window"),
         F.col("std_popularity").cast(figure).alias("std_popularity"),
         F.col("max_popularity").cast("int").alias("max_popularity"),
         F.col("min_popularity").cast("int").alias("min_popularity"),
-        F.col("unique_artists").cast("int").alias("unique_artists"),
+        F.col("unique_artists").cast("long").alias("unique_artists"),
     )
 
 
@@ -76,14 +76,22 @@ def popularity_over_time(
 ) -> DataFrame:
     """Mean popularity per time bucket for the genres with the most songs.
 
-    The semi join runs before the grouping, against at most ``k`` rows, so only
-    those genres are shuffled.
+    Songs are summed once per bucket and genre; the leaders come from the same sums, so
+    the songs are read once.
     """
-    leaders = top_genres_by_rows(songs, k).select("genre")
-    return (
-        songs.join(F.broadcast(leaders), "genre", "left_semi")
+    sums = (
+        songs.where(F.col("genre").isNotNull())
         .groupBy(time_bucket(F.col(moment), length).alias("time_bucket"), "genre")
-        .agg(F.avg("popularity").alias("popularity"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.sum("popularity").cast("double").alias("_sum"),
+            F.count("popularity").alias("_known"),
+        )
+    )
+    counted = sums.groupBy("genre").agg(F.sum("_rows").alias("count"))
+    leaders = top_k(counted, k, F.desc("count"), F.col("genre")).select("genre")
+    return sums.join(leaders, "genre", "left_semi").select(
+        "time_bucket", "genre", F.try_divide("_sum", F.col("_known")).alias("popularity")
     )
 
 

@@ -143,8 +143,7 @@ _LANDED = """
          longevity_score, stability_score AS variance_score, decade_presence_score AS peak_stability,
          CAST(decade_presence AS INTEGER) AS decade_presence,
          CAST(trunc(time_span_decades) AS INTEGER) AS year_span,
-         CAST(total_songs AS INTEGER) AS total_songs,
-         CAST(total_artists AS INTEGER) AS total_unique_artists,
+         total_songs, total_artists AS total_unique_artists,
          CAST(NULL AS VARCHAR) AS period_stats, CAST(NULL AS VARCHAR) AS analysis_metadata
   FROM scores"""
 
@@ -158,9 +157,9 @@ windows AS (
          count(DISTINCT artist) AS unique_artists
   FROM songs WHERE genre IS NOT NULL GROUP BY genre, window_start),
 landed AS (
-  SELECT genre, {_round("avg_popularity", 2)} AS avg_popularity, CAST(song_count AS INTEGER) AS song_count,
+  SELECT genre, {_round("avg_popularity", 2)} AS avg_popularity, song_count,
          window_start AS analysis_window, {_round("std_popularity", 2)} AS std_popularity,
-         max_popularity, min_popularity, CAST(unique_artists AS INTEGER) AS unique_artists
+         max_popularity, min_popularity, unique_artists
   FROM windows)"""
 
 _LEADERS = """
@@ -459,12 +458,16 @@ FROM grid g LEFT JOIN cells c
     "event_type_counts": f"""WITH {SURGES}
 SELECT 'popularity_surge' AS event_type, count(*) AS event_count FROM surges
 UNION ALL SELECT 'timeout_rollback', count(*) FROM surges""",
-    "events_by_genre": f"""WITH {_JOINED.format(events="(SELECT * FROM surges ORDER BY created_at DESC, event_id LIMIT 1000)")}
+    "events_by_genre": f"""WITH {_JOINED.format(events="surges")},
+counted AS (SELECT genre, count(*) AS event_count FROM joined GROUP BY genre),
+listed AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY genre {_NEWEST_FIRST}) AS place FROM joined)
+  WHERE place <= 100)
 SELECT genre, {_list("event_type", "event_type")}, {_list("coalesce(song_title, '')", "song_title")},
        {_list("coalesce(artist, '')", "artist")}, {_list("coalesce(CAST(year AS VARCHAR), '')", "year")},
        {_list("reason", "reason")}, {_list("CAST(boost_amount AS VARCHAR)", "boost_amount")},
-       {_list("strftime(created_at, '%Y-%m-%d %H:%M:%S.%f')", "created_at")}, count(*) AS event_count
-FROM joined GROUP BY genre""",
+       {_list("strftime(created_at, '%Y-%m-%d %H:%M:%S.%f')", "created_at")}, any_value(event_count) AS event_count
+FROM listed JOIN counted USING (genre) GROUP BY genre""",
     "event_counts_by_genre": f"""WITH {_JOINED.format(events="surges")}
 SELECT genre, count(*) AS event_count FROM joined GROUP BY genre""",
     "event_details": f"""WITH {_JOINED.format(events="surges")},
@@ -500,5 +503,10 @@ FROM surges""",
 }
 
 
+_ORACLE["report_totals"] = _ORACLE["catalog_totals"]
+_ORACLE["report_event_details"] = _ORACLE["event_details"]
+_ORACLE["report_trend_rollup"] = _ORACLE["trend_rollup"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)

@@ -25,6 +25,7 @@ from perennial.operators import (
     trends,
 )
 from perennial.params import RECENT_EVENTS, RECENT_SONGS, RECENT_TRENDS, ScoringParams
+from perennial.plans.report_job import report_tables
 from perennial.schemas import SONG_MESSAGE
 from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
@@ -218,8 +219,9 @@ def genre_timeline(spark, sf_dir):
 
 @query
 def timeline_of_genre(spark, sf_dir):
-    metrics = _metrics(spark, sf_dir)
-    timeline = reports.genre_timeline(star.songs(spark, sf_dir), metrics, k=25)
+    metrics = filters.of_genre(_metrics(spark, sf_dir), TIMELINE_GENRE, any_case=True)
+    songs = filters.of_genre(star.songs(spark, sf_dir), TIMELINE_GENRE, any_case=True)
+    timeline = reports.genre_timeline(songs, metrics, k=None)
     return reports.timeline_of_genre(timeline, metrics, TIMELINE_GENRE)
 
 
@@ -282,6 +284,30 @@ def catalog_totals(spark, sf_dir):
     )
 
 
+def _reports(spark, sf_dir):
+    songs = star.songs(spark, sf_dir)
+    landed = trends.trend_landing(trends.genre_trends(songs, exact_artists=True))
+    # Two versions of every window, as a stream leaves them; the newer one counts.
+    older = landed.withColumn("song_count", F.lit(0).cast("long")).withColumn("batch_id", F.lit(0))
+    versions = older.unionByName(landed.withColumn("batch_id", F.lit(1)))
+    return report_tables(songs, versions, star.song_events(spark, sf_dir), _metrics(spark, sf_dir))
+
+
+@query
+def report_totals(spark, sf_dir):
+    return _reports(spark, sf_dir)["totals"]
+
+
+@query
+def report_event_details(spark, sf_dir):
+    return _reports(spark, sf_dir)["event_details"]
+
+
+@query
+def report_trend_rollup(spark, sf_dir):
+    return _reports(spark, sf_dir)["genre_trends"]
+
+
 @query
 def year_range(spark, sf_dir):
     return reports.year_range(filters.strict_filter(star.songs(spark, sf_dir)))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from perennial import params as fixed
 from perennial.operators import reports, song_events, trends
 from perennial.operators.ranking import newest
+from perennial.streaming.landing import latest_versions
 
 
 def report_tables(
@@ -14,15 +14,18 @@ def report_tables(
     genre_trends: DataFrame,
     events: DataFrame,
     metrics: DataFrame,
-    recent_songs: int | None = fixed.RECENT_SONGS,
-    recent_trends: int | None = fixed.RECENT_TRENDS,
-    recent_events: int | None = fixed.RECENT_EVENTS,
+    recent_songs: int | None = None,
+    recent_trends: int | None = None,
+    recent_events: int | None = None,
 ) -> dict[str, DataFrame]:
     """Name to frame; nothing runs until a frame is read.
 
-    By default songs, trends and events are the newest rows of their tables; ``None``
-    takes a whole table. The timeline always reads all songs.
+    Reports are made from whole tables. A number restricts one to the newest rows of
+    songs, trends or events; the timeline reads all songs in any case. Of trends that a
+    stream landed (they have a ``batch_id``) the newest version of each window counts.
     """
+    if "batch_id" in genre_trends.columns:
+        genre_trends = latest_versions(genre_trends, ["genre", "analysis_window"])
     shown = newest(songs, "processed_at", recent_songs) if recent_songs else songs
     windows = newest(genre_trends, "analysis_window", recent_trends) if recent_trends else genre_trends
     live = newest(events, "created_at", recent_events) if recent_events else events

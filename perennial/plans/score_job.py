@@ -16,7 +16,7 @@ from perennial.operators.scoring import score_landing, score_summary, timeless_s
 from perennial.params import ScoringParams
 from perennial.session import build_session, tune
 from perennial.sources import jdbc
-from perennial.sources.tables import replace_days
+from perennial.sources.tables import replace_day
 
 
 def run_scoring(
@@ -28,14 +28,18 @@ def run_scoring(
     normalize_genre: bool = False,
     as_of: Column | None = None,
 ) -> Row | None:
-    """Score, land, and return the summary of what was landed; None without enough songs.
+    """Score, land, and return the summary of what was landed; None without enough songs,
+    which leaves the day's earlier rows as they are. With enough songs they are replaced
+    even if no genre qualifies any more.
 
     The scores are computed once: everything after reads the landed rows.
     """
     if not has_rows(songs, params.min_total_songs):
         return None
-    scores = timeless_scores(songs, params, profile, normalize_genre, as_of)
-    replace_days(score_landing(scores), metrics_path)
+    day = F.current_date() if as_of is None else as_of
+    today = str(spark.range(1).select(day.cast("string")).first()[0])
+    scores = timeless_scores(songs, params, profile, normalize_genre, F.lit(today).cast("date"))
+    replace_day(score_landing(scores), metrics_path, today)
     return score_summary(latest_snapshot(spark.read.parquet(metrics_path))).first()
 
 

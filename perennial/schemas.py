@@ -86,10 +86,11 @@ SONG_ANALYTICS = T.StructType(
 GENRE_TRENDS = T.StructType(
     _fields(T.StringType(), "genre")
     + _fields(_SCORE, "avg_popularity")
-    + _fields(T.IntegerType(), "song_count")
+    + _fields(T.LongType(), "song_count")
     + _fields(T.TimestampType(), "analysis_window")
     + _fields(_SCORE, "std_popularity")
-    + _fields(T.IntegerType(), "max_popularity min_popularity unique_artists")
+    + _fields(T.IntegerType(), "max_popularity min_popularity")
+    + _fields(T.LongType(), "unique_artists")
     + _fields(T.TimestampType(), "created_at")
 )
 
@@ -111,7 +112,8 @@ TIMELESS_GENRE_METRICS = T.StructType(
         _SCORE,
         "timeless_score consistency_score longevity_score variance_score peak_stability",
     )
-    + _fields(T.IntegerType(), "decade_presence year_span total_songs total_unique_artists")
+    + _fields(T.IntegerType(), "decade_presence year_span")
+    + _fields(T.LongType(), "total_songs total_unique_artists")
     + _fields(T.StringType(), "period_stats analysis_metadata")
     + _fields(T.TimestampType(), "created_at")
 )

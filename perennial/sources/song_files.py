@@ -3,33 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from perennial.schemas import RAW_SONG
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from perennial.schemas import SONG_FILE_COLUMNS
+
 
 def read_song_files(
     spark: SparkSession,
     path: str,
     first_only: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All ``*.csv`` below ``path`` (or the one file it names), every cell as text.
 
-    Lines with too few fields come back with NULL in the missing columns. With
-    ``multi_line`` quoted line breaks are understood, at the price of one task per
-    file.
+    Columns are found by their names in the header, wherever they stand; others are left
+    out. A missing one raises an error, and so does a file whose header differs from the
+    first file's. Lines with too few fields come back with NULL in the missing columns.
+
+    Quoted line breaks are understood, at the price of one task per file. Very large files
+    that are known to hold none can be split with ``multi_line=False``.
     """
-    reader = (
-        spark.read.schema(RAW_SONG)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-    )
-    if not path.endswith(".csv"):
-        reader = reader.option("pathGlobFilter", "*.csv")
-    songs = reader.csv(path)
-    return reader.csv(min(songs.inputFiles())) if first_only else songs
+
+    def reader():
+        found = (
+            spark.read.option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("multiLine", multi_line)
+            .option("quote", '"')
+            .option("escape", '"')
+        )
+        return found if path.endswith(".csv") else found.option("pathGlobFilter", "*.csv")
+
+    first = min(reader().schema("line string").csv(path).inputFiles())
+    header = reader().csv(first).columns
+    missing = [name for name in SONG_FILE_COLUMNS if name not in header]
+    if missing:
+        raise ValueError(f"{first} has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
+    songs = reader().schema(schema).option("enforceSchema", False).csv(first if first_only else path)
+    return songs.select(*(F.col(f"`{name}`") for name in SONG_FILE_COLUMNS))
 
 
 def table_from_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:

@@ -76,5 +76,12 @@ def replace_days(df: DataFrame, path: str, day: str = "analysis_date") -> None:
     )
 
 
+def replace_day(df: DataFrame, path: str, value: str, day: str = "analysis_date") -> None:
+    """Replace the rows of one day, also by none: the day's earlier rows go in any case."""
+    df.where(F.col(day).cast("string") == value).drop(day).write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}/{day}={value}"
+    )
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)

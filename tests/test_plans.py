@@ -5,7 +5,6 @@ import re
 
 import pytest
 
-from perennial.operators import ranking
 from perennial.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -42,7 +41,7 @@ def test_scores_count_artists_in_two_steps(spark):
     assert sorted(keys) == [2, 3]
 
 
-@pytest.mark.parametrize("name", ["attribute_top10", "recent_songs", "event_details"])
+@pytest.mark.parametrize("name", ["attribute_top10", "recent_songs", "event_details", "events_by_genre"])
 def test_top_n_is_trimmed_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, SF_DIR))
 
@@ -63,7 +62,8 @@ def test_big_tables_are_joined_by_shuffle_when_no_side_is_small(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_ranking_broadcasts_at_most_one_row_per_score(spark):
-    df = spark.createDataFrame([("a", 1.0)], "genre string, timeless_score double")
-    plan = plan_of(ranking.rank_by_score(df))
-    assert plan.count("BroadcastExchange") == 1
+def test_ten_minute_means_read_the_songs_once(spark):
+    df = QUERIES["popularity_10min"](spark, SF_DIR)
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("l_quantity") > 0

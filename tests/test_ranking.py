@@ -42,6 +42,11 @@ def test_rank_by_score_equals_row_number(spark):
     assert got == {genre: i + 1 for i, (genre, _) in enumerate(expected)}
 
 
+def test_rows_without_a_score_rank_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("c", None)], "genre string, timeless_score double")
+    assert {r["genre"]: r["ranking"] for r in ranking.rank_by_score(df).collect()} == {"b": 1, "a": 2, "c": 3}
+
+
 def test_top_per_group_breaks_ties(spark):
     rows = [("a", 5, "y"), ("a", 5, "x"), ("a", 1, "z"), ("b", 2, "q")]
     df = spark.createDataFrame(rows, "g string, n int, name string")

@@ -39,9 +39,10 @@ def test_lists_by_genre(frames):
     assert rows["noise"]["song_title_list"] == [None]
 
 
-def test_lists_hold_the_newest_events_only(frames):
-    rows = {r["genre"]: r["event_count"] for r in song_events.events_by_genre(*frames, recent=3).collect()}
-    assert rows == {"noise": 1, "Unknown": 2}
+def test_lists_are_bounded_and_counts_are_not(frames):
+    rows = {r["genre"]: r for r in song_events.events_by_genre(*frames, listed=3).collect()}
+    assert {g: r["event_count"] for g, r in rows.items()} == {"folk": 2, "noise": 1, "hip-hop r&b": 7, "Unknown": 2}
+    assert [t.second for t in rows["hip-hop r&b"]["created_at_list"]] == [6, 5, 4]
 
 
 def test_detail_text(frames):

@@ -70,10 +70,30 @@ def test_first_file_only(spark, folder):
 
 def test_quoted_line_break(spark, tmp_path):
     (tmp_path / "m.csv").write_text(HEADER + "\n" + LINES[0].replace("Sunrise", '"Two\nLines"') + "\n")
-    raw = read_song_files(spark, str(tmp_path), multi_line=True)
+    raw = read_song_files(spark, str(tmp_path))
     assert [r["Title"] for r in raw.collect()] == ["Two\nLines"]
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    names = list(SONG_FILE_COLUMNS)
+    swapped = ["Artist", "More", *(n for n in names if n != "Artist")]
+    cells = dict(zip(names, LINES[0].split(","), strict=True)) | {"More": "x"}
+    (tmp_path / "s.csv").write_text(",".join(swapped) + "\n" + ",".join(cells[n] for n in swapped) + "\n")
+    row = read_song_files(spark, str(tmp_path)).first()
+    assert list(row.asDict()) == names and (row["Title"], row["Artist"]) == ("Sunrise", "Norah Jones")
+
+
+def test_missing_columns_and_other_headers_fail(spark, folder, tmp_path):
+    with open(os.path.join(folder, "c.csv"), "w") as f:
+        f.write(HEADER.replace("Title,Artist", "Artist,Title") + "\n" + LINES[0] + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_song_files(spark, folder).collect()
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "m.csv").write_text("Title,Artist\na,b\n")
+    with pytest.raises(ValueError, match="Popularity"):
+        read_song_files(spark, str(tmp_path / "sub"))
+
+
 def test_replay_by_year(spark, folder, root):
     target = os.path.join(root, "replay")
     write_replay(replay_messages(read_song_files(spark, os.path.join(folder, "b.csv"))), target)

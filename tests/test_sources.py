@@ -65,6 +65,15 @@ def test_replace_days_touches_only_its_days(spark, root):
     assert got == {("a", 1), ("c", 2)}
 
 
+def test_a_day_is_replaced_by_nothing_too(spark, root):
+    rows = [("a", datetime.date(2024, 1, 1)), ("b", datetime.date(2024, 1, 2))]
+    df, path = spark.createDataFrame(rows, "genre string, analysis_date date"), f"{root}/metrics"
+    for day in ("2024-01-01", "2024-01-02"):
+        tables.replace_day(df, path, day)
+    tables.replace_day(df.limit(0), path, "2024-01-02")
+    assert [(r["genre"], str(r["analysis_date"])) for r in spark.read.parquet(path).collect()] == [("a", "2024-01-01")]
+
+
 def test_views(spark):
     tables.register_views({"some_songs": spark.range(3)})
     assert spark.sql("SELECT count(*) AS n FROM some_songs").first()["n"] == 3
