@@ -38,6 +38,53 @@ def genre_trends(
     )
 
 
+def trend_partials(
+    songs: DataFrame, moment: str = "processed_at", length: str = "5 minutes"
+) -> DataFrame:
+    """Sums per genre and window from which ``merge_trends`` makes the figures.
+
+    Sums of different batches add up in any order, so a stream that lands them needs no
+    watermark and loses no late song. Artists are an HLL sketch, which merges as well.
+    """
+    popularity = F.col("popularity").cast("long")
+    return (
+        songs.where(F.col("genre").isNotNull())
+        .groupBy("genre", F.window(moment, length).alias("time_window"))
+        .agg(
+            F.count(F.lit(1)).alias("song_count"),
+            F.count("popularity").alias("known"),
+            F.sum(popularity).alias("total"),
+            F.sum(popularity * popularity).alias("squares"),
+            F.max("popularity").alias("max_popularity"),
+            F.min("popularity").alias("min_popularity"),
+            F.hll_sketch_agg("artist").alias("artists"),
+        )
+    )
+
+
+def merge_trends(partials: DataFrame) -> DataFrame:
+    """Figures of ``genre_trends`` from landed partials; artists are estimated."""
+    merged = partials.groupBy("genre", "time_window").agg(
+        *[F.sum(name).alias(name) for name in ("song_count", "known", "total", "squares")],
+        F.max("max_popularity").alias("max_popularity"),
+        F.min("min_popularity").alias("min_popularity"),
+        F.hll_union_agg("artists").alias("artists"),
+    )
+    known = F.col("known")
+    spread = (known * F.col("squares") - F.col("total") * F.col("total")).cast("double")
+    deviation = F.when(known > 1, F.sqrt(F.try_divide(spread, known.cast("double") * (known - 1))))
+    return merged.select(
+        "genre",
+        "time_window",
+        "song_count",
+        F.try_divide(F.col("total").cast("double"), known).alias("avg_popularity"),
+        deviation.alias("std_popularity"),
+        "max_popularity",
+        "min_popularity",
+        F.hll_sketch_estimate("artists").alias("unique_artists"),
+    )
+
+
 def trend_landing(trends: DataFrame) -> DataFrame:
     """Columns of ``genre_trends``."""
     figure = "decimal(5,2)"

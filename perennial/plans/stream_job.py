@@ -50,9 +50,10 @@ def start_analytics(
     """Start the four queries over streams of messages (a ``value`` column).
 
     Tables and checkpoints share ``root``; starting over means a new root. Trends use
-    the time in the message by default; pass ``processed_at`` for arrival time.
-    ``once`` reads what is there and ends. A replay that is sent twice lands twice unless
-    ``unique_songs`` drops the copies that arrive within the watermark.
+    the time in the message by default; pass ``processed_at`` for arrival time. They land
+    as sums per batch, however late a song is; ``landed_trends`` reads them. ``once`` reads
+    what is there and ends. A replay that is sent twice lands twice unless ``unique_songs``
+    drops the copies that arrive within the watermark.
     """
     songs = envelope.flatten_songs(envelope.parse_messages(song_messages, SONG_MESSAGE))
     events = envelope.flatten_events(envelope.parse_messages(event_messages))
@@ -62,12 +63,12 @@ def start_analytics(
         landed_songs = landed_songs.withWatermark("source_timestamp", watermark).dropDuplicatesWithinWatermark(
             ["title", "artist", "genre", "year", "source_timestamp"]
         )
-        if moment == "source_timestamp":
-            watermark = None  # set above already
-    windows = trends.genre_trends(landed_songs, moment, watermark=watermark)
+
+    def sums(batch: DataFrame) -> DataFrame:
+        return trends.trend_partials(batch, moment)
 
     jobs = {
-        "genre_trends": (windows, landing.folder_sink(f"{root}/genre_trends", trends.trend_landing), "update"),
+        "genre_trends": (landed_songs, landing.folder_sink(f"{root}/genre_trends", sums), "append"),
         "song_analytics": (landed_songs, landing.folder_sink(f"{root}/song_analytics"), "append"),
         "real_time_events": (
             events,
@@ -95,6 +96,11 @@ def start_analytics(
     ]
 
 
+def landed_trends(spark: SparkSession, root: str) -> DataFrame:
+    """The trend table from the sums that ``start_analytics`` landed."""
+    return trends.trend_landing(trends.merge_trends(landing.landed(spark, f"{root}/genre_trends")))
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--servers", required=True, help="Kafka bootstrap servers")
