@@ -491,7 +491,7 @@ SELECT {_EVENT_COLUMNS}, least(100, original_popularity + boost_amount) AS new_p
        created_at + INTERVAL 30 SECOND AS expire_time, CAST(30 AS INTEGER) AS timeout_duration
 FROM surges""",
     "surge_rollbacks": f"WITH {SURGES}{_ROLLBACKS}",
-    "stream_surge_expiry": f"WITH {SURGES}{_EXPIRED}",
+    "stream_surge_expiry": f"WITH {SURGES}{_ROLLBACKS}",
     "stream_surge_timers": f"WITH {SURGES}{_EXPIRED}",
     "surges_and_rollbacks": f"""WITH {SURGES}
 SELECT event_type, event_id, CAST(NULL AS VARCHAR) AS original_event_id, boost_amount, created_at FROM surges

@@ -5,7 +5,11 @@ event whose group closes when the watermark, kept one lifetime behind the newest
 event, passes its creation. ``ended_by_timer`` keeps a timer per event instead and can
 also run on the wall clock, where a surge ends although no further event comes.
 
-Both return the ended surges with all their columns, ready for ``surge_rollbacks`` or
+``expiry_sink`` keeps the live surges in a table per batch instead of a state store: a
+surge that arrives after its end is over at once, and ``flush_surges`` ends those that are
+left when a stream stops, so every surge is rolled back once.
+
+All return the ended surges with all their columns, ready for ``surge_rollbacks`` or
 ``rollback_messages``.
 """
 
@@ -14,13 +18,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from perennial.operators.surges import surge_rollbacks
 from perennial.params import SurgeParams
+from perennial.streaming.landing import BatchSink
 
 
 def ended_surges(
@@ -107,3 +113,53 @@ def expire_by_timer(
 ) -> DataFrame:
     """Rollback rows from timers."""
     return surge_rollbacks(ended_by_timer(surges, params, clock, lateness_seconds), params)
+
+
+def _landed_surges(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing landed yet
+        return None
+
+
+def expiry_sink(spark: SparkSession, path: str, params: SurgeParams = SurgeParams()) -> BatchSink:
+    """Land the surges of each batch, and those still live before it, marked ``over`` or not.
+
+    The clock is the newest creation seen so far. A surge delivered twice counts once. A
+    batch that runs again replaces its own rows only.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows, clock = batch, F.max("created_at")
+        before = _landed_surges(spark, path)
+        if before is not None:
+            before = before.where(F.col("batch_id") < batch_id)
+            ended = before.where("over").select("event_id").distinct()
+            live = before.where((F.col("batch_id") == batch_id - 1) & ~F.col("over")).select(batch.columns)
+            rows = batch.unionByName(live).join(ended, "event_id", "left_anti").select(batch.columns)
+            earlier = before.agg(F.max("clock").alias("clock")).first()["clock"]
+            clock = F.greatest(F.max("created_at"), F.lit(earlier).cast("timestamp"))
+        now = batch.agg(clock.alias("clock")).first()["clock"]
+        due = F.col("created_at") + F.make_dt_interval(secs=F.lit(params.lifetime_seconds))
+        moment = F.lit(now).cast("timestamp")
+        marked = rows.dropDuplicates(["event_id"]).withColumns(
+            {"clock": moment, "over": F.coalesce(due <= moment, F.lit(False))}
+        )
+        marked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def flush_surges(spark: SparkSession, path: str) -> None:
+    """End the surges that were live after the last batch. For a stream that has stopped."""
+    landed = _landed_surges(spark, path)
+    last = landed.agg(F.max("batch_id").alias("last")).first()["last"] if landed is not None else None
+    if last is None:
+        return
+    left = landed.where((F.col("batch_id") == last) & ~F.col("over")).drop("batch_id")
+    left.withColumn("over", F.lit(True)).write.mode("overwrite").parquet(f"{path}/batch_id={last + 1}")
+
+
+def landed_ends(spark: SparkSession, path: str) -> DataFrame:
+    """The ended surges that ``expiry_sink`` and ``flush_surges`` landed."""
+    return spark.read.parquet(path).where("over").drop("batch_id", "clock", "over")

@@ -150,6 +150,18 @@ def test_ended_surges_become_messages_with_their_songs(spark, root, end):
     assert got["timeout_e1"]["song_data"]["popularity"] == 10 and len(got["timeout_e1"]["song_data"]) == 14
 
 
+def test_late_and_last_surges_end_once(spark, root):
+    given = surges([500, 10, 20, 490, 505, 499, 15])
+    parts = [given[:1], given[1:3], [given[1], given[3]], given[4:]]
+    write_files(spark, f"{root}/in", parts, SURGES)
+    run(read_stream(spark, f"{root}/in", SURGES), expiry.expiry_sink(spark, f"{root}/out"), root)
+    ended = lambda: sorted(r["event_id"] for r in expiry.landed_ends(spark, f"{root}/out").collect())
+    assert ended() == ["e1", "e2", "e6"]
+    for _ in range(2):
+        expiry.flush_surges(spark, f"{root}/out")
+    assert ended() == [f"e{i}" for i in range(7)]
+
+
 def test_wall_clock_needs_no_later_event(spark, root):
     write_files(spark, f"{root}/in", [surges([0, 1])], SURGES)
     ended = expiry.expire_by_timer(
