@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perennial.operators.ranking import top_per_group
@@ -52,6 +52,28 @@ def attribute_heatmap(sums: DataFrame, years: list[int], n: int = 15, min_values
     return matrix.withColumn("_values", values).where(F.col("_values") >= min_values).drop("_values")
 
 
+def heatmap_rows(sums: DataFrame, years: Column, n: int = 15, min_values: int = 2) -> DataFrame:
+    """The heat map as one row per cell, without asking the driver for its columns.
+
+    ``years`` is an array, such as ``year_list`` gives. A value has one entry per calendar
+    year at most, and an attribute ``n`` values per year.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct("year", "total")))
+    shown = attribute_top(sums.where(F.col("year").isNotNull()), n).groupBy("attribute", "value").agg(
+        entries.alias("_totals")
+    )
+    values = F.count(F.lit(1)).over(Window.partitionBy("attribute"))
+    kept = shown.withColumn("_values", values).where(F.col("_values") >= min_values)
+    return kept.select("attribute", "value", "_totals", F.explode(years).alias("year")).select(
+        "attribute", "value", "year", F.coalesce(F.col("_totals")[F.col("year")], F.lit(0)).alias("total")
+    )
+
+
+def year_list(songs: DataFrame) -> Column:
+    """All years of the songs as one array; there are no more than calendar years."""
+    return songs.agg(F.sort_array(F.collect_set("year"))).scalar()
+
+
 def heatmap_cells(matrix: DataFrame, years: list[int]) -> DataFrame:
     """The matrix as one row per cell."""
     return matrix.unpivot(["attribute", "value"], [str(y) for y in years], "year", "total").withColumn(

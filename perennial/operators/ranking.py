@@ -23,15 +23,28 @@ def newest(df: DataFrame, moment: str, n: int) -> DataFrame:
     """The ``n`` newest rows, newest first.
 
     Rows of one moment are ordered by all other columns, so those still tied are
-    equal. A plain ORDER BY ... LIMIT sends ``n`` rows of every task to a single one;
-    here groups of tasks trim theirs to ``n`` first, and only a few hundred groups
-    reach the last step.
+    equal. Rows are counted per hour first, which reads one column; everything before the
+    hour that holds the n-th newest row is filtered out where it is read, whatever ``n``
+    and the session's settings are. Groups of tasks trim the small rest to ``n`` each, so
+    that an hour with very many rows does not reach the last step whole.
     """
+    hour = F.date_trunc("hour", F.col(moment))
+    since = Window.orderBy(F.col("_hour").desc())
+    cut = (
+        df.where(F.col(moment).isNotNull())
+        .groupBy(hour.alias("_hour"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_newer", F.sum("_n").over(since))
+        .where(F.col("_newer") >= n)
+        .agg(F.max("_hour"))
+        .scalar()
+    )
     order = [F.col(moment).desc_nulls_last()]
     order += [F.col(c).asc_nulls_first() for c in df.columns if c != moment]
     lane = Window.partitionBy("_lane").orderBy(*order)
     trimmed = (
-        df.withColumn("_lane", F.spark_partition_id() % _LANES)
+        df.where(cut.isNull() | (F.col(moment) >= cut))
+        .withColumn("_lane", F.spark_partition_id() % _LANES)
         .withColumn("_place", F.row_number().over(lane))
         .where(F.col("_place") <= n)
         .drop("_lane", "_place")

@@ -503,6 +503,52 @@ FROM surges""",
 }
 
 
+# Songs with gaps and values on the limits: the same SQL over another table of songs.
+_EDGES = (
+    SONGS.replace("songs AS", "plain AS", 1)
+    + """,
+marked AS (
+  SELECT *, CAST(substr(trim(genre), 7) AS INTEGER) AS n, year - 1995 AS step,
+         (valence * 31 + danceability * 7 + energy + liveness) % 97 AS mark
+  FROM plain),
+spanned AS (
+  SELECT *, CASE n % 5 WHEN 0 THEN 1960 + step * 5 WHEN 1 THEN 1985 + step * 5 WHEN 2 THEN 1990 + step * 5
+                       WHEN 3 THEN 1970 + step ELSE 1900 + step * 20 END AS span
+  FROM marked),
+songs AS (
+  SELECT CASE WHEN mark <> 1 THEN title END AS title, CASE WHEN mark <> 2 THEN artist END AS artist,
+         CASE WHEN mark <> 0 THEN genre END AS genre,
+         CAST(CASE WHEN mark = 8 THEN 1899 WHEN mark = 9 AND n % 5 = 4 THEN 1900
+                   WHEN mark = 10 AND n % 5 = 4 THEN 2030 WHEN mark = 11 THEN 2031
+                   WHEN mark <> 12 THEN span END AS INTEGER) AS year,
+         CAST(CASE WHEN mark = 3 THEN 0 WHEN mark = 4 THEN 1 WHEN mark = 5 THEN 100 WHEN mark = 6 THEN 101
+                   WHEN mark = 7 THEN NULL WHEN n = 7 AND span < 2000 THEN 5 WHEN n = 7 THEN 95
+                   ELSE least(100, 1 + popularity * ((n // 5) % 5 + 1) * 2 // 5) END AS INTEGER) AS popularity,
+         bpm, energy, danceability, valence, acousticness, loudness, liveness, length,
+         CAST(3 AS INTEGER) AS speechiness, processed_at, event_type
+  FROM spanned
+  UNION ALL
+  SELECT p_name, 'edge artist ' || (p_partkey % 7),
+         CASE WHEN p_partkey < 59 THEN 'edge a' WHEN p_partkey < 108 THEN 'edge b' ELSE 'edge c' END,
+         CASE WHEN p_partkey < 9 OR p_partkey BETWEEN 59 AND 68 THEN 1990
+              WHEN p_partkey < 59 THEN 1970 + p_partkey % 2 * 10 WHEN p_partkey < 108 THEN 1980
+              WHEN p_partkey < 168 THEN 1980 + p_partkey % 2 * 10 ELSE 2015 END,
+         CASE WHEN p_partkey < 108 THEN 50 + p_partkey % 20 ELSE 50 END,
+         120, 50, 50, 50, 50, -5, 1, 200, 3, TIMESTAMP '2020-01-01', 'historical'
+  FROM part WHERE p_partkey < 170)"""
+)
+
+for _name in (
+    "strict_filter", "lenient_filter", "decade_stats", "genre_summary", "timeless_scores",
+    "timeless_scores_strict", "trend_landing",
+):
+    _ORACLE[f"{_name}_edges"] = _ORACLE[_name].replace(SONGS, _EDGES)
+_ORACLE["genre_timeline_edges"] = f"WITH {_timeline(1_000)} SELECT * FROM labelled".replace(SONGS, _EDGES)
+_ORACLE["attribute_heatmap_edges"] = _ORACLE["attribute_heatmap"].replace(
+    SONGS, _EDGES.replace("songs AS", "edge_songs AS", 1)
+    + f",\nsongs AS (SELECT * FROM edge_songs WHERE {LENIENT.format(end=2030)})"
+)
+
 _ORACLE["report_totals"] = _ORACLE["catalog_totals"]
 _ORACLE["report_event_details"] = _ORACLE["event_details"]
 _ORACLE["report_trend_rollup"] = _ORACLE["trend_rollup"]

@@ -370,9 +370,65 @@ def attribute_top10(spark, sf_dir):
 
 @query
 def attribute_heatmap(spark, sf_dir):
-    years = leaderboards.calendar_years(star.songs(spark, sf_dir))
-    matrix = leaderboards.attribute_heatmap(_attribute_sums(spark, sf_dir), years)
-    return leaderboards.heatmap_cells(matrix, years)
+    years = leaderboards.year_list(star.songs(spark, sf_dir))
+    return leaderboards.heatmap_rows(_attribute_sums(spark, sf_dir), years)
+
+
+# ------------------------------------ songs with gaps and values on the limits
+
+
+@query
+def strict_filter_edges(spark, sf_dir):
+    return filters.with_decade(filters.strict_filter(star.edge_songs(spark, sf_dir)))
+
+
+@query
+def lenient_filter_edges(spark, sf_dir):
+    return filters.with_decade(filters.lenient_filter(star.edge_songs(spark, sf_dir)))
+
+
+@query
+def decade_stats_edges(spark, sf_dir):
+    return decades.decade_stats(star.edge_songs(spark, sf_dir))
+
+
+@query
+def genre_summary_edges(spark, sf_dir):
+    return decades.genre_summary(decades.decade_stats(star.edge_songs(spark, sf_dir)))
+
+
+@query
+def timeless_scores_edges(spark, sf_dir):
+    return _doubles(scoring.timeless_scores(star.edge_songs(spark, sf_dir), as_of=_day(ANALYSIS_DATE)))
+
+
+@query
+def timeless_scores_strict_edges(spark, sf_dir):
+    scores = scoring.timeless_scores(
+        star.edge_songs(spark, sf_dir), profile="strict", normalize_genre=False, as_of=_day(ANALYSIS_DATE)
+    )
+    return _doubles(scores)
+
+
+@query
+def trend_landing_edges(spark, sf_dir):
+    found = trends.genre_trends(star.edge_songs(spark, sf_dir), exact_artists=True)
+    return _doubles(trends.trend_landing(found))
+
+
+@query
+def genre_timeline_edges(spark, sf_dir):
+    songs = star.edge_songs(spark, sf_dir)
+    metrics = scoring.score_landing(scoring.timeless_scores(songs, as_of=_day(ANALYSIS_DATE)))
+    return reports.genre_timeline(songs, metrics, k=None)
+
+
+@query
+def attribute_heatmap_edges(spark, sf_dir):
+    """One attribute has a single value and so no heat map."""
+    songs = filters.lenient_filter(star.edge_songs(spark, sf_dir))
+    sums = leaderboards.attribute_year_sums(songs.withColumnRenamed("genre", "top_genre"))
+    return leaderboards.heatmap_rows(sums, leaderboards.year_list(songs))
 
 
 # ------------------------------------------------------------- event reports

@@ -69,6 +69,83 @@ def streaming_songs(spark: SparkSession, sf_dir: str, spread_out: bool = False)
     return _with_parts(spark, sf_dir, lineitem)
 
 
+def edge_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same songs with flaws and edge values, and three small genres made from parts.
+
+    A mark in 0..96 from the song's numbers decides its flaw. The brand's number n decides
+    the level of popularity (n / 5) and the span of years (n % 5); brand 7 has decades that
+    differ so much that it does not qualify.
+    """
+    n = F.trim("genre").substr(7, 9).cast("int")
+    mark = (F.col("valence") * 31 + F.col("danceability") * 7 + F.col("energy") + F.col("liveness")) % 97
+    step = F.col("year") - 1995
+    span = (
+        F.when(n % 5 == 0, 1960 + step * 5)
+        .when(n % 5 == 1, 1985 + step * 5)
+        .when(n % 5 == 2, 1990 + step * 5)
+        .when(n % 5 == 3, 1970 + step)
+        .otherwise(1900 + step * 20)
+    )
+    level = F.floor(F.col("popularity") * (F.floor(n / 5) % 5 + 1) * 2 / 5)
+    year = (
+        F.when(mark == 8, 1899)
+        .when((mark == 9) & (n % 5 == 4), 1900)
+        .when((mark == 10) & (n % 5 == 4), 2030)
+        .when(mark == 11, 2031)
+        .when(mark != 12, span)
+    )
+    popularity = (
+        F.when(mark == 3, 0)
+        .when(mark == 4, 1)
+        .when(mark == 5, 100)
+        .when(mark == 6, 101)
+        .when(mark == 7, F.lit(None))
+        .when((n == 7) & (span < 2000), 5)
+        .when(n == 7, 95)
+        .otherwise(F.least(F.lit(100), 1 + level))
+    )
+    flawed = songs(spark, sf_dir).select(
+        F.when(mark != 1, F.col("title")).alias("title"),
+        F.when(mark != 2, F.col("artist")).alias("artist"),
+        F.when(mark != 0, F.col("genre")).alias("genre"),
+        year.cast("int").alias("year"),
+        popularity.cast("int").alias("popularity"),
+        *("bpm", "energy", "danceability", "valence", "acousticness", "loudness", "liveness", "length"),
+        F.lit(3).alias("speechiness"),
+        "processed_at",
+        "event_type",
+    )
+
+    # Edge a: 9 songs in one decade, 25 and 25 in others. Edge b: 10 and 39, 49 in all.
+    # Edge c: two decades alike, and a period of two songs.
+    key = F.col("p_partkey")
+    genre = F.when(key < 59, "edge a").when(key < 108, "edge b").otherwise("edge c")
+    year = (
+        F.when((key < 9) | key.between(59, 68), 1990)
+        .when(key < 59, 1970 + key % 2 * 10)
+        .when(key < 108, 1980)
+        .when(key < 168, 1980 + key % 2 * 10)
+        .otherwise(2015)
+    )
+    small = star_table(spark, sf_dir, "part").where(key < 170).select(
+        F.col("p_name").alias("title"),
+        F.concat(F.lit("edge artist "), (key % 7).cast("string")).alias("artist"),
+        genre.alias("genre"),
+        year.cast("int").alias("year"),
+        F.when(key < 108, 50 + key % 20).otherwise(50).cast("int").alias("popularity"),
+        *(
+            F.lit(value).cast(flawed.schema[name].dataType).alias(name)
+            for name, value in (
+                ("bpm", 120), ("energy", 50), ("danceability", 50), ("valence", 50), ("acousticness", 50),
+                ("loudness", -5), ("liveness", 1), ("length", 200), ("speechiness", 3),
+            )
+        ),
+        F.lit("2020-01-01").cast("timestamp").alias("processed_at"),
+        F.lit("historical").alias("event_type"),
+    )
+    return flawed.unionByName(small)
+
+
 def surge_songs_from(events: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
     """One surge per event with the 14 fields of the song it boosts."""
     parts = part.agg(F.count(F.lit(1)).alias("n")).scalar()

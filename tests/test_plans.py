@@ -6,6 +6,7 @@ import re
 import pytest
 
 from perennial.plans.queries import QUERIES
+from perennial.session import RUNTIME_DEFAULTS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -41,11 +42,22 @@ def test_scores_count_artists_in_two_steps(spark):
     assert sorted(keys) == [2, 3]
 
 
-@pytest.mark.parametrize("name", ["attribute_top10", "recent_songs", "event_details", "events_by_genre"])
+@pytest.mark.parametrize("name", ["attribute_top10", "event_details", "events_by_genre"])
 def test_top_n_is_trimmed_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, SF_DIR))
 
 
+def test_newest_filters_by_a_cut_off_moment_without_a_setting(spark):
+    assert "spark.sql.optimizer.windowGroupLimitThreshold" not in RUNTIME_DEFAULTS
+    plan = plan_of(QUERIES["recent_songs"](spark, SF_DIR))
+    assert re.search(r"Filter .*l_shipdate.* >= .*subquery", plan)
+
+
+def test_heat_map_is_neither_collected_nor_pivoted(spark):
+    plan = plan_of(QUERIES["attribute_heatmap"](spark, SF_DIR))
+    assert "pivotfirst" not in plan and "map_from_entries" in plan
+
+
 def test_row_numbers_shuffle_counts_not_rows(spark):
     plan = plan_of(QUERIES["smoke_row_number"](spark, SF_DIR))
     below_window = plan[plan.index("Window") :]
