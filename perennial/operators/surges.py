@@ -118,6 +118,28 @@ def surge_messages(surges: DataFrame, params: SurgeParams = SurgeParams()) -> Da
     return messages(surge_boost(surges, params), F.col("event_id"), surge_envelope())
 
 
+def surges_from_messages(parsed: DataFrame, arrived: Column | None = None) -> DataFrame:
+    """Surges of parsed messages with their song at its original values, created when they
+    ``arrived`` (now). Other messages, and surges without an id, are left out."""
+    detail = F.col("message.metadata")
+    original = detail.getItem("original_popularity").try_cast("int")
+    song = [
+        original.alias(name) if name == "popularity" else F.col(f"message.song_data.{name}").alias(name)
+        for name in parsed.schema["message"].dataType["song_data"].dataType.names
+    ]
+    return parsed.where(
+        (F.col("message.event_type") == SURGE) & detail.getItem("event_id").isNotNull()
+    ).select(
+        detail.getItem("event_id").alias("event_id"),
+        "message.event_type",
+        detail.getItem("reason").alias("reason"),
+        detail.getItem("boost_amount").try_cast("int").alias("boost_amount"),
+        original.alias("original_popularity"),
+        (F.current_timestamp() if arrived is None else arrived).alias("created_at"),
+        *song,
+    )
+
+
 def rollback_messages(ended: DataFrame, params: SurgeParams = SurgeParams()) -> DataFrame:
     """Key and message that take ended surges back."""
     return messages(with_rollback(ended, params), F.col("message_key"), rollback_envelope())

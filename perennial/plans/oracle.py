@@ -549,6 +549,31 @@ _ORACLE["attribute_heatmap_edges"] = _ORACLE["attribute_heatmap"].replace(
     + f",\nsongs AS (SELECT * FROM edge_songs WHERE {LENIENT.format(end=2030)})"
 )
 
+_ORACLE["song_file_scan"] = _ORACLE["clean_songs"]
+_ORACLE["songs_in_year_order"] = f"""WITH {_RAW}
+SELECT CAST(coalesce(year, 9999) AS INTEGER) AS year, count(*) AS song_count, true AS in_order
+FROM raw WHERE line <> 5 GROUP BY 1"""
+_ORACLE["attribute_sums_in_order"] = f"""WITH {_SUMS}
+SELECT attribute, year, count(*) AS value_count, true AS in_order FROM sums GROUP BY attribute, year"""
+_ORACLE["view_counts"] = f"""WITH {SONGS},{SURGES}
+SELECT artist, count(*) AS song_count,
+       (SELECT count(*) FROM surges WHERE surges.artist = songs.artist) AS event_count
+FROM songs GROUP BY artist"""
+_ORACLE["landing_table_counts"] = f"""WITH {SONGS},{SURGES}
+SELECT 'song_analytics' AS table_name, count(*) AS row_count FROM songs
+UNION ALL SELECT 'real_time_events', count(*) FROM surges
+UNION ALL SELECT unnest(['genre_trends', 'timeless_genre_metrics', 'emptied song_analytics',
+  'emptied genre_trends', 'emptied real_time_events', 'emptied timeless_genre_metrics']), 0"""
+_ORACLE["minimum_data_gate"] = f"""WITH {_EDGES}
+SELECT genre, count(*) >= 50 AS enough, count(*) AS song_count
+FROM songs WHERE genre IN ('edge a', 'edge b') GROUP BY genre"""
+_ORACLE["new_event_ids"] = f"""WITH {SONGS}
+SELECT count(*) AS song_count, count(*) AS id_count, CAST(36 AS INTEGER) AS id_length FROM songs"""
+_ORACLE["stamped_events"] = f"""WITH {SURGES}
+SELECT 'popularity_surge' AS event_type, count(*) AS event_count, count(*) AS id_count,
+       CAST(sum(boost_amount) AS BIGINT) AS boost, true AS stamped FROM surges
+UNION ALL SELECT 'timeout_rollback', count(*), 0, NULL, true FROM surges"""
+
 _ORACLE["report_totals"] = _ORACLE["catalog_totals"]
 _ORACLE["report_event_details"] = _ORACLE["event_details"]
 _ORACLE["report_trend_rollup"] = _ORACLE["trend_rollup"]

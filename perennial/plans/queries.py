@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perennial.operators import (
@@ -26,10 +26,11 @@ from perennial.operators import (
 )
 from perennial.params import RECENT_EVENTS, RECENT_SONGS, RECENT_TRENDS, ScoringParams
 from perennial.plans.report_job import report_tables
-from perennial.schemas import SONG_MESSAGE
+from perennial.schemas import LANDING_TABLES, SONG_FILE_COLUMNS, SONG_MESSAGE
 from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
+from perennial.sources.song_files import read_song_files
 from perennial.streaming import expiry, landing, rescoring
 from perennial.streaming.control import finish
 
@@ -345,6 +346,121 @@ def recent_events(spark, sf_dir):
     return ranking.newest(star.song_events(spark, sf_dir), "created_at", RECENT_EVENTS)
 
 
+# ------------------------------------------------------- files, tables, views
+
+
+@query
+def song_file_scan(spark, sf_dir):
+    """Raw songs through CSV files with the header names and back, then cleaned."""
+    folder = scratch_dir(spark, "files")
+    named = star.raw_songs(spark, sf_dir).withColumnsRenamed({c: h for h, c in SONG_FILE_COLUMNS.items()})
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    named.write.options(header=True, escape='"', **blanks).csv(folder)
+    return cleaning.clean_songs(read_song_files(spark, folder))
+
+
+@query
+def songs_in_year_order(spark, sf_dir):
+    """Places of the songs sorted by year: every year begins after the one before it."""
+    ordered = cleaning.prepare_songs(star.raw_songs(spark, sf_dir), ordered=True)
+    placed = ordered.select(F.coalesce("year", F.lit(9999)).alias("year"), F.monotonically_increasing_id().alias("place"))
+    years = placed.groupBy("year").agg(
+        F.count(F.lit(1)).alias("song_count"), F.min("place").alias("first"), F.max("place").alias("last")
+    )
+    before = F.coalesce(F.lag("last").over(Window.orderBy("year")), F.lit(-1))
+    return years.select(F.col("year").cast("int").alias("year"), "song_count", (F.col("first") > before).alias("in_order"))
+
+
+@query
+def attribute_sums_in_order(spark, sf_dir):
+    """Places of the sorted sums: by attribute and year, the largest sum first."""
+    songs = star.songs(spark, sf_dir).withColumnRenamed("genre", "top_genre")
+    sums = leaderboards.attribute_year_sums(songs, ordered=True)
+    placed = sums.withColumn("place", F.monotonically_increasing_id())
+    groups = placed.groupBy("attribute", "year").agg(
+        F.count(F.lit(1)).alias("value_count"),
+        F.min("place").alias("first"),
+        F.max("place").alias("last"),
+        (F.min_by("total", "place") == F.max("total")).alias("best_first"),
+        (F.max_by("total", "place") == F.min("total")).alias("least_last"),
+    )
+    before = F.coalesce(F.lag("last").over(Window.orderBy("attribute", "year")), F.lit(-1))
+    in_order = F.col("best_first") & F.col("least_last") & (F.col("first") > before)
+    return groups.select("attribute", "year", "value_count", in_order.alias("in_order"))
+
+
+@query
+def view_counts(spark, sf_dir):
+    """Songs and events under the names of views, joined by SQL."""
+    tables.register_views(
+        {"catalog_songs": star.songs(spark, sf_dir), "catalog_events": star.song_events(spark, sf_dir)}
+    )
+    return spark.sql(
+        """SELECT s.artist, song_count, coalesce(event_count, 0) AS event_count
+        FROM (SELECT artist, count(*) AS song_count FROM catalog_songs GROUP BY artist) s
+        LEFT JOIN (SELECT artist, count(*) AS event_count FROM catalog_events GROUP BY artist) e
+        ON s.artist = e.artist"""
+    )
+
+
+@query
+def landing_table_counts(spark, sf_dir):
+    """Landing tables made empty, appended to and counted; one root is truncated again."""
+    filled, emptied = scratch_dir(spark, "filled"), scratch_dir(spark, "emptied")
+    for root in (filled, emptied):
+        tables.create_tables(spark, root)
+        tables.append_rows(star.songs(spark, sf_dir), root, "song_analytics")
+        tables.append_rows(star.song_events(spark, sf_dir), root, "real_time_events")
+    tables.truncate_tables(spark, emptied)
+    found = {name: tables.read_table(spark, filled, name) for name in LANDING_TABLES}
+    found |= {f"emptied {name}": tables.read_table(spark, emptied, name) for name in LANDING_TABLES}
+    return tables.table_counts(found)
+
+
+@query
+def minimum_data_gate(spark, sf_dir):
+    """Genres on both sides of the fifty songs that scoring asks for."""
+    songs = star.edge_songs(spark, sf_dir)
+
+    def gate(genre):
+        kept = filters.of_genre(songs, genre)
+        enough = filters.has_rows(kept, ScoringParams().min_total_songs)
+        return kept.agg(F.count(F.lit(1)).alias("song_count")).select(
+            F.lit(genre).alias("genre"), F.lit(enough).alias("enough"), "song_count"
+        )
+
+    return gate("edge a").unionByName(gate("edge b"))
+
+
+@query
+def new_event_ids(spark, sf_dir):
+    """Identifiers drawn once for every song and written down: all differ."""
+    path = scratch_dir(spark, "ids")
+    surges.new_event_ids(star.songs(spark, sf_dir).select("title")).write.parquet(path)
+    drawn = spark.read.parquet(path).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    return drawn.agg(
+        F.sum("n").alias("song_count"),
+        F.count(F.lit(1)).alias("id_count"),
+        F.max(F.length("event_id")).alias("id_length"),
+    )
+
+
+@query
+def stamped_events(spark, sf_dir):
+    """Events without a given time take the time at which they are read; rollbacks that are
+    not correlated have neither id nor boost."""
+    given = star.surge_songs(spark, sf_dir, spread_out=True)
+    sent = surges.surge_messages(given).unionByName(surges.rollback_messages(given))
+    flat = envelope.flatten_events(envelope.parse_messages(sent), correlate=False)
+    near = F.abs(F.unix_timestamp("processed_at") - F.unix_timestamp(F.current_timestamp())) < 60
+    return flat.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.count("event_id").alias("id_count"),
+        F.sum("boost_amount").alias("boost"),
+        F.bool_and(near).alias("stamped"),
+    )
+
+
 # ------------------------------------------------------------- leaderboards
 
 

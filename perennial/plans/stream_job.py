@@ -75,8 +75,9 @@ def start_analytics(
             landing.folder_sink(f"{root}/real_time_events", envelope.event_landing),
             "append",
         ),
+        # A new day has scores although no song arrives; empty rows belong to no genre.
         "timeless_genre_metrics": (
-            landed_songs,
+            landed_songs if once else control.with_ticks(landed_songs),
             rescoring_sink(
                 spark, f"{root}/decade_partials", f"{root}/timeless_genre_metrics", params, as_of=as_of
             ),
@@ -107,13 +108,15 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="shared folder of tables and checkpoints")
     parser.add_argument("--song-topic", default=kafka.SONG_TOPIC)
     parser.add_argument("--event-topic", default=kafka.EVENT_TOPIC)
+    parser.add_argument("--max-offsets", type=int, help="most messages a batch reads from a topic")
     options = parser.parse_args()
+    bound = {"max_offsets_per_trigger": options.max_offsets}
 
     spark = build_session("perennial-streams", settings=STATE_SETTINGS)
     start_analytics(
         spark,
-        kafka.song_stream(spark, options.servers, options.song_topic),
-        kafka.event_stream(spark, options.servers, options.event_topic),
+        kafka.song_stream(spark, options.servers, options.song_topic, **bound),
+        kafka.event_stream(spark, options.servers, options.event_topic, **bound),
         options.root,
     )
     try:

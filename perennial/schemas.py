@@ -70,6 +70,23 @@ EVENT = T.StructType(
 # Song messages land without their metadata, so it is not parsed either.
 SONG_MESSAGE = T.StructType([f for f in EVENT.fields if f.name in ("event_type", "timestamp", "song_data")])
 
+# A rollback carries its song whole, so a surge is parsed with all fields of the song.
+SURGE_MESSAGE = T.StructType(
+    [
+        T.StructField(
+            "song_data",
+            T.StructType(
+                list(SONG_STRUCT.fields)
+                + [T.StructField(name, T.IntegerType(), True) for name in ("loudness", "liveness", "speechiness")]
+            ),
+            True,
+        )
+        if field.name == "song_data"
+        else field
+        for field in EVENT.fields
+    ]
+)
+
 _SCORE = T.DecimalType(5, 2)
 
 SONG_ANALYTICS = T.StructType(

@@ -2,6 +2,7 @@ import datetime
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from perennial.operators import scoring, trends
 from perennial.operators.surges import rollback_messages, surge_rollbacks
 from perennial.params import SurgeParams
 from perennial.schemas import NUMBER_DEFAULTS, TEXT_COLUMNS
+from perennial.plans import surge_job
 from perennial.plans.stream_job import STATE_SETTINGS, landed_trends, start_analytics
 from perennial.streaming import control, expiry, landing, rescoring
 
@@ -267,3 +269,52 @@ def test_copies_can_be_dropped(spark, root):
     assert landing.landed(spark, f"{root}/unique/song_analytics").count() == 2
     assert landed_trends(spark, f"{root}/unique").first()["song_count"] == 2
     assert landed_trends(spark, f"{root}/all").first()["song_count"] == 3
+
+
+def test_surge_job_takes_surges_back_while_no_event_comes(spark, root):
+    song = {"title": "T", "artist": "A", "top_genre": "g", "year": 2000, "popularity": 60}
+    detail = {"event_id": "7", "boost_amount": "20", "reason": "r", "original_popularity": "40"}
+    sent = {"event_type": "popularity_surge", "timestamp": "2024-01-01T00:00:00", "song_data": song, "metadata": detail}
+    values = [json.dumps(sent), "not json", json.dumps(sent | {"metadata": {}})]
+    spark.createDataFrame([(v,) for v in values], "value string").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{root}/in")
+
+    def send(frame):
+        return (
+            frame.writeStream.format("json")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(processingTime="1 second")
+            .start(f"{root}/out")
+        )
+
+    query = surge_job.start_rollbacks(stream, send, SurgeParams(lifetime_seconds=2))
+    try:
+        found, until = [], time.time() + 60
+        while not found and time.time() < until:
+            time.sleep(1)
+            if os.path.isdir(f"{root}/out/_spark_metadata"):
+                found = spark.read.schema("key string, value string").json(f"{root}/out").collect()
+    finally:
+        query.stop()
+    assert [row["key"] for row in found] == ["timeout_7"]
+    message = json.loads(found[0]["value"])
+    assert message["original_event_id"] == "7" and message["song_data"]["popularity"] == 40
+
+
+def test_an_idle_stream_with_ticks_goes_on(spark, root):
+    spark.createDataFrame([("x",)], "genre string").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("genre string").parquet(f"{root}/in")
+    batches = []
+    query = landing.start_query(
+        control.with_ticks(stream),
+        lambda batch, number: batches.append((number, batch.where("genre IS NOT NULL").count())),
+        f"{root}/checkpoint",
+        every="1 second",
+    )
+    try:
+        until = time.time() + 60
+        while len(batches) < 3 and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert len(batches) >= 3 and sum(n for _, n in batches) == 1
