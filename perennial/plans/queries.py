@@ -363,12 +363,13 @@ def song_file_scan(spark, sf_dir):
 def songs_in_year_order(spark, sf_dir):
     """Places of the songs sorted by year: every year begins after the one before it."""
     ordered = cleaning.prepare_songs(star.raw_songs(spark, sf_dir), ordered=True)
-    placed = ordered.select(F.coalesce("year", F.lit(9999)).alias("year"), F.monotonically_increasing_id().alias("place"))
+    year = F.coalesce("year", F.lit(9999)).cast("int").alias("year")
+    placed = ordered.select(year, F.monotonically_increasing_id().alias("place"))
     years = placed.groupBy("year").agg(
         F.count(F.lit(1)).alias("song_count"), F.min("place").alias("first"), F.max("place").alias("last")
     )
     before = F.coalesce(F.lag("last").over(Window.orderBy("year")), F.lit(-1))
-    return years.select(F.col("year").cast("int").alias("year"), "song_count", (F.col("first") > before).alias("in_order"))
+    return years.select("year", "song_count", (F.col("first") > before).alias("in_order"))
 
 
 @query

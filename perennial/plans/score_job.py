@@ -16,7 +16,7 @@ from perennial.operators.scoring import score_landing, score_summary, timeless_s
 from perennial.params import ScoringParams
 from perennial.session import build_session, tune
 from perennial.sources import jdbc
-from perennial.sources.tables import replace_day
+from perennial.sources.tables import METRICS, replace_day
 
 
 def run_scoring(
@@ -59,6 +59,9 @@ def main() -> None:
     parser.add_argument("--table", default="song_analytics")
     parser.add_argument("--jdbc-partitions", type=int, default=64)
     parser.add_argument("--metrics", required=True, help="folder of the score table")
+    parser.add_argument(
+        "--jdbc-target", help="database whose score table the day's rows are appended to, again by a rerun"
+    )
     parser.add_argument("--profile", choices=("strict", "lenient"), default="strict")
     parser.add_argument("--normalize-genre", action="store_true")
     parser.add_argument("--as-of", help="analysis date, yyyy-mm-dd; today if left out")
@@ -82,6 +85,9 @@ def main() -> None:
         normalize_genre=options.normalize_genre,
         as_of=as_of,
     )
+    if summary and options.jdbc_target:
+        today = latest_snapshot(spark.read.parquet(options.metrics))
+        jdbc.append_table(today, options.jdbc_target, METRICS)
     print(summary.asDict() if summary else "not enough songs")
 
 

@@ -46,6 +46,7 @@ def start_analytics(
     once: bool = False,
     as_of: Column | None = None,
     unique_songs: bool = False,
+    jdbc_url: str | None = None,
 ) -> list[StreamingQuery]:
     """Start the four queries over streams of messages (a ``value`` column).
 
@@ -53,7 +54,8 @@ def start_analytics(
     the time in the message by default; pass ``processed_at`` for arrival time. They land
     as sums per batch, however late a song is; ``landed_trends`` reads them. ``once`` reads
     what is there and ends. A replay that is sent twice lands twice unless ``unique_songs``
-    drops the copies that arrive within the watermark.
+    drops the copies that arrive within the watermark. With ``jdbc_url`` songs and events
+    are appended to the tables of that database as well.
     """
     songs = envelope.flatten_songs(envelope.parse_messages(song_messages, SONG_MESSAGE))
     events = envelope.flatten_events(envelope.parse_messages(event_messages))
@@ -67,14 +69,14 @@ def start_analytics(
     def sums(batch: DataFrame) -> DataFrame:
         return trends.trend_partials(batch, moment)
 
+    def land(name: str, shape: landing.Shape | None = None) -> landing.BatchSink:
+        folder = landing.folder_sink(f"{root}/{name}", shape)
+        return landing.each(folder, landing.jdbc_sink(jdbc_url, name, shape)) if jdbc_url else folder
+
     jobs = {
         "genre_trends": (landed_songs, landing.folder_sink(f"{root}/genre_trends", sums), "append"),
-        "song_analytics": (landed_songs, landing.folder_sink(f"{root}/song_analytics"), "append"),
-        "real_time_events": (
-            events,
-            landing.folder_sink(f"{root}/real_time_events", envelope.event_landing),
-            "append",
-        ),
+        "song_analytics": (landed_songs, land("song_analytics"), "append"),
+        "real_time_events": (events, land("real_time_events", envelope.event_landing), "append"),
         # A new day has scores although no song arrives; empty rows belong to no genre.
         "timeless_genre_metrics": (
             landed_songs if once else control.with_ticks(landed_songs),
@@ -109,6 +111,7 @@ def main() -> None:
     parser.add_argument("--song-topic", default=kafka.SONG_TOPIC)
     parser.add_argument("--event-topic", default=kafka.EVENT_TOPIC)
     parser.add_argument("--max-offsets", type=int, help="most messages a batch reads from a topic")
+    parser.add_argument("--jdbc-url", help="database whose tables get songs and events as well")
     options = parser.parse_args()
     bound = {"max_offsets_per_trigger": options.max_offsets}
 
@@ -118,6 +121,7 @@ def main() -> None:
         kafka.song_stream(spark, options.servers, options.song_topic, **bound),
         kafka.event_stream(spark, options.servers, options.event_topic, **bound),
         options.root,
+        jdbc_url=options.jdbc_url,
     )
     try:
         spark.streams.awaitAnyTermination()

@@ -83,5 +83,11 @@ def replace_day(df: DataFrame, path: str, value: str, day: str = "analysis_date"
     )
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of data, on whatever storage it is; none there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)

@@ -43,6 +43,16 @@ def jdbc_sink(url: str, table: str, shape: Shape | None = None, **options: str)
     return write
 
 
+def each(*sinks: BatchSink) -> BatchSink:
+    """Every sink in turn."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for sink in sinks:
+            sink(batch, batch_id)
+
+    return write
+
+
 def start_query(
     stream: DataFrame,
     sink: BatchSink,

@@ -204,6 +204,7 @@ def test_scores_follow_the_songs(spark, root):
     sink = rescoring.rescoring_sink(spark, f"{root}/partials", f"{root}/scores", as_of=day, snapshot_every=1)
     run(read_stream(spark, f"{root}/in", SONGS), sink, root)
     assert sorted(os.listdir(f"{root}/partials/snapshots")) == ["batch_id=1", "batch_id=2"]
+    assert sorted(os.listdir(f"{root}/partials/batches")) == ["batch_id=2"]
     whole = spark.createDataFrame(sum(parts, []), SONGS)
     expected = scoring.score_landing(scoring.timeless_scores(whole, as_of=day)).drop("created_at")
     got = spark.read.parquet(f"{root}/scores").select(expected.columns)
@@ -318,3 +319,14 @@ def test_an_idle_stream_with_ticks_goes_on(spark, root):
     finally:
         query.stop()
     assert len(batches) >= 3 and sum(n for _, n in batches) == 1
+
+
+def test_songs_and_events_land_in_a_database_too(spark, root, monkeypatch):
+    sent = []
+    monkeypatch.setattr(landing, "append_table", lambda df, url, table: sent.append((url, table, df.count())))
+    song = {"event_type": "historical", "timestamp": "2024-01-01T00:00:00", "song_data": {"title": "T", "year": 2000}}
+    spark.createDataFrame([(json.dumps(song),)], "value string").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{root}/in")
+    for query in start_analytics(spark, stream, stream, f"{root}/out", once=True, jdbc_url="jdbc:x"):
+        control.finish(query, 120)
+    assert sorted(sent) == [("jdbc:x", "real_time_events", 1), ("jdbc:x", "song_analytics", 1)]
