@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LANES = 512
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _ROWS_PER_CHUNK = 1_000_000
 
 
@@ -19,6 +21,21 @@ def ranked_top_k(df: DataFrame, k: int, *order: Column | str, rank: str = "ranki
     return top_k(df, k, *order).withColumn(rank, F.row_number().over(Window.orderBy(*order)))
 
 
+def _since_hour(df: DataFrame, moment: str, n: int) -> Column:
+    """Whether a row belongs to the hour of the n-th newest row or a later one; with fewer
+    than ``n`` rows that have a moment, every row does."""
+    cut = (
+        df.where(F.col(moment).isNotNull())
+        .groupBy(F.date_trunc("hour", F.col(moment)).alias("_hour"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_newer", F.sum("_n").over(Window.orderBy(F.col("_hour").desc())))
+        .where(F.col("_newer") >= n)
+        .agg(F.max("_hour"))
+        .scalar()
+    )
+    return cut.isNull() | (F.col(moment) >= cut)
+
+
 def newest(df: DataFrame, moment: str, n: int) -> DataFrame:
     """The ``n`` newest rows, newest first.
 
@@ -26,24 +43,15 @@ def newest(df: DataFrame, moment: str, n: int) -> DataFrame:
     equal. Rows are counted per hour first, which reads one column; everything before the
     hour that holds the n-th newest row is filtered out where it is read, whatever ``n``
     and the session's settings are. Groups of tasks trim the small rest to ``n`` each, so
-    that an hour with very many rows does not reach the last step whole.
+    that an hour with very many rows does not reach the last step whole. A ``moment`` that
+    is no time has no hours, and all its rows are trimmed in groups.
     """
-    hour = F.date_trunc("hour", F.col(moment))
-    since = Window.orderBy(F.col("_hour").desc())
-    cut = (
-        df.where(F.col(moment).isNotNull())
-        .groupBy(hour.alias("_hour"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_newer", F.sum("_n").over(since))
-        .where(F.col("_newer") >= n)
-        .agg(F.max("_hour"))
-        .scalar()
-    )
+    since = _since_hour(df, moment, n) if isinstance(df.schema[moment].dataType, _TIMES) else F.lit(True)
     order = [F.col(moment).desc_nulls_last()]
     order += [F.col(c).asc_nulls_first() for c in df.columns if c != moment]
     lane = Window.partitionBy("_lane").orderBy(*order)
     trimmed = (
-        df.where(cut.isNull() | (F.col(moment) >= cut))
+        df.where(since)
         .withColumn("_lane", F.spark_partition_id() % _LANES)
         .withColumn("_place", F.row_number().over(lane))
         .where(F.col("_place") <= n)

@@ -42,14 +42,18 @@ def test_scores_count_artists_in_two_steps(spark):
     assert sorted(keys) == [2, 3]
 
 
-@pytest.mark.parametrize("name", ["attribute_top10", "event_details", "events_by_genre"])
+@pytest.mark.parametrize("name", ["attribute_top10", "recent_songs", "event_details", "events_by_genre"])
 def test_top_n_is_trimmed_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, SF_DIR))
 
 
 def test_newest_filters_by_a_cut_off_moment_without_a_setting(spark):
-    assert "spark.sql.optimizer.windowGroupLimitThreshold" not in RUNTIME_DEFAULTS
-    plan = plan_of(QUERIES["recent_songs"](spark, SF_DIR))
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(threshold, "1000")
+    try:
+        plan = plan_of(QUERIES["recent_songs"](spark, SF_DIR))
+    finally:
+        spark.conf.set(threshold, RUNTIME_DEFAULTS[threshold])
     assert re.search(r"Filter .*l_shipdate.* >= .*subquery", plan)
 
 

@@ -15,6 +15,20 @@ def test_newest_equals_a_full_sort(spark):
         assert [tuple(r) for r in ranking.newest(df, "moment", n).collect()] == expected[:n]
 
 
+def test_newest_by_time_keeps_ties_gaps_and_all_of_few(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(30)]), rng.choice("abc")) for _ in range(600)]
+    times = [(None if h is None else f"2024-01-01 {h % 24:02}:{h:02}:00", name) for h, name in rows]
+    df = spark.createDataFrame(times, "moment string, name string").withColumn(
+        "moment", F.col("moment").cast("timestamp")
+    )
+    expected = sorted(times, key=lambda r: r[1])
+    expected.sort(key=lambda r: r[0] or "", reverse=True)
+    for n in (1, 40, 590, 1000):
+        got = ranking.newest(df.repartition(7), "moment", n).select(F.col("moment").cast("string"), "name")
+        assert [tuple(r) for r in got.collect()] == expected[:n]
+
+
 def test_newest_trims_before_the_shuffle(spark):
     df = spark.range(100_000).withColumn("moment", F.col("id") % 7)
     plan = ranking.newest(df, "moment", 10_000)._jdf.queryExecution().executedPlan().toString()
