@@ -56,8 +56,8 @@ def parse_messages(stream: DataFrame, schema: T.StructType = EVENT) -> DataFrame
     return stream.select(F.from_json(F.col("value").cast("string"), schema).alias("message"))
 
 
-def _song_fields(names: str) -> list[Column]:
-    return [F.col(f"message.song_data.{name}").alias(name) for name in names.split()]
+def _song_fields(*names: str) -> list[Column]:
+    return [F.col(f"message.song_data.{name}").alias(name) for name in names]
 
 
 def _metadata(key: str) -> Column:
@@ -72,8 +72,9 @@ def flatten_songs(parsed: DataFrame, now: Column | None = None) -> DataFrame:
     """Song messages as flat rows, stamped with the processing time."""
     return parsed.select(
         *_song_fields(
-            "title artist top_genre year popularity energy danceability valence acousticness bpm length"
-        ),
+            "title", "artist", "top_genre", "year", "popularity", "energy", "danceability", "valence",
+            "acousticness", "bpm", "length",
+        ),
         F.col("message.event_type").alias("event_type"),
         F.col("message.timestamp").try_cast("timestamp").alias("source_timestamp"),
         (F.current_timestamp() if now is None else now).alias("processed_at"),
@@ -92,7 +93,10 @@ def flatten_events(parsed: DataFrame, now: Column | None = None, correlate: bool
         boost = F.coalesce(boost, _metadata("original_boost"))
         reason = F.coalesce(reason, _metadata("rollback_reason"))
     return parsed.select(
-        *_song_fields("title artist top_genre year popularity energy danceability valence acousticness"),
+        *_song_fields(
+            "title", "artist", "top_genre", "year", "popularity", "energy", "danceability", "valence",
+            "acousticness",
+        ),
         F.col("message.event_type").alias("event_type"),
         event_id.alias("event_id"),
         _whole(boost).alias("boost_amount"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perennial.operators.ranking import top_per_group
 
@@ -18,12 +19,22 @@ def attribute_year_sums(songs: DataFrame, ordered: bool = False) -> DataFrame:
     """Summed popularity per (attribute, year, value): one scan for all attributes.
 
     Tasks add up their own rows before the shuffle, so a value with a third of all
-    songs arrives as one row per task.
+    songs arrives as one row per task. Whole numbers stay numbers until they are summed.
     """
-    long = songs.select(
-        "year", "popularity", *[F.col(a).cast("string").alias(a) for a in ATTRIBUTES]
-    ).unpivot(["year", "popularity"], list(ATTRIBUTES), "attribute", "value")
-    sums = long.groupBy("attribute", "year", "value").agg(F.sum("popularity").alias("total"))
+
+    def cell(attribute: str) -> Column:
+        whole = isinstance(songs.schema[attribute].dataType, T.IntegralType)
+        text = F.lit(None) if whole else F.col(attribute)
+        number = F.col(attribute) if whole else F.lit(None)
+        return F.struct(text.cast("string").alias("text"), number.cast("long").alias("number"))
+
+    long = songs.select("year", "popularity", *[cell(a).alias(a) for a in ATTRIBUTES]).unpivot(
+        ["year", "popularity"], list(ATTRIBUTES), "attribute", "cell"
+    )
+    text, number = F.col("cell.text").alias("text"), F.col("cell.number").alias("number")
+    summed = long.groupBy("attribute", "year", text, number).agg(F.sum("popularity").alias("total"))
+    value = F.coalesce("text", F.col("number").cast("string")).alias("value")
+    sums = summed.select("attribute", "year", value, "total")
     return sums.orderBy("attribute", "year", F.desc("total"), "value") if ordered else sums
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 _LANES = 512
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _ROWS_PER_CHUNK = 1_000_000
+_NAME_BEGIN = 3
 
 
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
@@ -94,18 +95,26 @@ def rank_by_score(scores: DataFrame, score: str = "timeless_score", name: str =
     """ROW_NUMBER over all rows, best score first, then by name; rows without a score last.
 
     Scores are decimals of two places between 0 and 100, hence at most 10,001 values. The
-    running count over these values meets the rows by value, and each value numbers its
-    own rows.
+    rows of one score are split by how their names begin, so that a score that a third of
+    all rows share is no single task. Rows are counted per score and beginning; the running
+    counts meet the rows, and each beginning numbers its own.
     """
-    per_value = scores.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
-    better = Window.orderBy(F.col(score).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_value.select(
-        F.col(score).alias("_score"), F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_before")
+    begin = F.left(F.col(name), F.lit(_NAME_BEGIN))
+    counts = scores.groupBy(F.col(score).alias("_score"), begin.alias("_begin")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_score").orderBy("_begin").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    better = Window.orderBy(F.col("_value").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    values = (
+        counts.groupBy(F.col("_score").alias("_value"))
+        .agg(F.sum("_n").alias("_rows"))
+        .select("_value", F.coalesce(F.sum("_rows").over(better), F.lit(0)).alias("_better"))
     )
-    within = Window.partitionBy(score).orderBy(name)
-    return (
-        scores.withColumn("_place", F.row_number().over(within))
-        .join(offsets, F.col(score).eqNullSafe(F.col("_score")))
-        .withColumn("ranking", (F.col("_before") + F.col("_place")).cast("long"))
-        .drop("_score", "_before", "_place")
+    offsets = parts.join(values, F.col("_score").eqNullSafe(F.col("_value"))).select(
+        "_score", "_begin", (F.col("_better") + F.col("_earlier")).alias("_before")
+    )
+    within = Window.partitionBy(score, "_own_begin").orderBy(name)
+    own = scores.withColumn("_own_begin", begin).withColumn("_place", F.row_number().over(within))
+    same = F.col(score).eqNullSafe(F.col("_score")) & F.col("_own_begin").eqNullSafe(F.col("_begin"))
+    return own.join(offsets, same).select(
+        *scores.columns, (F.col("_before") + F.col("_place")).cast("long").alias("ranking")
     )

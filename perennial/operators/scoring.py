@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,11 +61,11 @@ def raw_score() -> Column:
     The presence part is an exact decimal product before it joins the sum: scores
     that fall on a rounding tie come out the same on every engine.
     """
-    presence = F.col("decade_presence_score").cast("decimal(5,1)") * F.lit(Decimal(fixed.PRESENCE_WEIGHT))
+    presence = F.col("decade_presence_score").cast("decimal(5,1)") * F.lit(fixed.PRESENCE_WEIGHT)
     weighted = (
-        F.col("consistency_score") * float(fixed.CONSISTENCY_WEIGHT)
-        + F.col("longevity_score") * float(fixed.LONGEVITY_WEIGHT)
-        + F.col("stability_score") * float(fixed.STABILITY_WEIGHT)
+        F.col("consistency_score") * fixed.CONSISTENCY_WEIGHT
+        + F.col("longevity_score") * fixed.LONGEVITY_WEIGHT
+        + F.col("stability_score") * fixed.STABILITY_WEIGHT
         + presence.cast("double")
     )
     return F.greatest(F.lit(0.0), weighted - F.col("popularity_penalty") - F.col("recency_penalty"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 
 @dataclass(frozen=True)
@@ -31,10 +32,10 @@ class SurgeParams:
 
 
 # Weights of the score components.
-CONSISTENCY_WEIGHT = "0.35"
-LONGEVITY_WEIGHT = "0.25"
-STABILITY_WEIGHT = "0.20"
-PRESENCE_WEIGHT = "0.20"
+CONSISTENCY_WEIGHT = 0.35
+LONGEVITY_WEIGHT = 0.25
+STABILITY_WEIGHT = 0.20
+PRESENCE_WEIGHT = Decimal("0.20")
 
 # Fixed values: (upper bound of the average popularity, penalty).
 POPULARITY_PENALTIES = ((30, 15), (45, 8), (60, 3))

@@ -286,7 +286,6 @@ SELECT 'timeout_rollback' AS event_type, event_id AS original_event_id,
        created_at + INTERVAL 30 SECOND AS created_at
 FROM surges"""
 
-_EXPIRED = f"{_ROLLBACKS} WHERE created_at + INTERVAL 30 SECOND <= (SELECT max(created_at) FROM surges)"
 
 _LANDED_SONGS = """
 SELECT title, artist, genre, year, popularity, energy, danceability, valence, acousticness, bpm, length,
@@ -492,7 +491,7 @@ SELECT {_EVENT_COLUMNS}, least(100, original_popularity + boost_amount) AS new_p
 FROM surges""",
     "surge_rollbacks": f"WITH {SURGES}{_ROLLBACKS}",
     "stream_surge_expiry": f"WITH {SURGES}{_ROLLBACKS}",
-    "stream_surge_timers": f"WITH {SURGES}{_EXPIRED}",
+    "stream_surge_timers": f"WITH {SURGES}{_ROLLBACKS}",
     "surges_and_rollbacks": f"""WITH {SURGES}
 SELECT event_type, event_id, CAST(NULL AS VARCHAR) AS original_event_id, boost_amount, created_at FROM surges
 UNION ALL

@@ -687,10 +687,13 @@ def stream_surge_expiry(spark, sf_dir):
 
 @query
 def stream_surge_timers(spark, sf_dir):
+    """Timers in event time, and the surges that they had not ended when the stream stopped."""
     root = scratch_dir(spark, "timers")
     ended = expiry.expire_by_timer(star.song_events(spark, sf_dir, streaming=True))
     _run(ended, landing.folder_sink(f"{root}/rows"), root)
-    return landing.landed(spark, f"{root}/rows").drop("batch_id")
+    ended = landing.landed(spark, f"{root}/rows").drop("batch_id")
+    left = expiry.surges_left(star.song_events(spark, sf_dir), ended)
+    return ended.unionByName(surges.surge_rollbacks(left))
 
 
 @query

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _fields(kind: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, kind, True) for name in names.split()]
+def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(name, kind, True) for name in names]
 
 
 # Header of the song file -> column name, in file order.
@@ -50,10 +50,10 @@ RAW_SONG = T.StructType([T.StructField(name, T.StringType(), True) for name in S
 
 # The message carries all 14 song fields; the reader keeps the 11 that land.
 SONG_STRUCT = T.StructType(
-    _fields(T.StringType(), "title artist top_genre")
+    _fields(T.StringType(), "title", "artist", "top_genre")
     + _fields(
         T.IntegerType(),
-        "year popularity energy danceability valence acousticness bpm length",
+        "year", "popularity", "energy", "danceability", "valence", "acousticness", "bpm", "length",
     )
 )
 
@@ -90,10 +90,10 @@ SURGE_MESSAGE = T.StructType(
 _SCORE = T.DecimalType(5, 2)
 
 SONG_ANALYTICS = T.StructType(
-    _fields(T.StringType(), "title artist genre")
+    _fields(T.StringType(), "title", "artist", "genre")
     + _fields(
         T.IntegerType(),
-        "year popularity energy danceability valence acousticness bpm length",
+        "year", "popularity", "energy", "danceability", "valence", "acousticness", "bpm", "length",
     )
     + _fields(T.TimestampType(), "processed_at")
     + _fields(T.StringType(), "event_type")
@@ -106,13 +106,13 @@ GENRE_TRENDS = T.StructType(
     + _fields(T.LongType(), "song_count")
     + _fields(T.TimestampType(), "analysis_window")
     + _fields(_SCORE, "std_popularity")
-    + _fields(T.IntegerType(), "max_popularity min_popularity")
+    + _fields(T.IntegerType(), "max_popularity", "min_popularity")
     + _fields(T.LongType(), "unique_artists")
     + _fields(T.TimestampType(), "created_at")
 )
 
 REAL_TIME_EVENTS = T.StructType(
-    _fields(T.StringType(), "event_type song_title artist metadata")
+    _fields(T.StringType(), "event_type", "song_title", "artist", "metadata")
     + _fields(T.TimestampType(), "created_at")
     + _fields(T.StringType(), "event_id")
     + _fields(T.IntegerType(), "boost_amount")
@@ -127,11 +127,11 @@ TIMELESS_GENRE_METRICS = T.StructType(
     + _fields(T.IntegerType(), "analysis_period_years")
     + _fields(
         _SCORE,
-        "timeless_score consistency_score longevity_score variance_score peak_stability",
+        "timeless_score", "consistency_score", "longevity_score", "variance_score", "peak_stability",
     )
-    + _fields(T.IntegerType(), "decade_presence year_span")
-    + _fields(T.LongType(), "total_songs total_unique_artists")
-    + _fields(T.StringType(), "period_stats analysis_metadata")
+    + _fields(T.IntegerType(), "decade_presence", "year_span")
+    + _fields(T.LongType(), "total_songs", "total_unique_artists")
+    + _fields(T.StringType(), "period_stats", "analysis_metadata")
     + _fields(T.TimestampType(), "created_at")
 )
 

@@ -115,6 +115,17 @@ def expire_by_timer(
     return surge_rollbacks(ended_by_timer(surges, params, clock, lateness_seconds), params)
 
 
+def surges_left(sent: DataFrame, rollbacks: DataFrame) -> DataFrame:
+    """The surges of ``sent`` that no row of ``rollbacks`` names, each once.
+
+    For a stream that has stopped: the watermark of ``expire_surges`` and
+    ``expire_by_timer`` passes over surges that come late, and the last ones were still
+    live. Rolled back with ``surge_rollbacks``, they complete the stream's rollbacks.
+    """
+    done = rollbacks.select(F.col("original_event_id").alias("event_id"))
+    return sent.dropDuplicates(["event_id"]).join(done, "event_id", "left_anti").select(sent.columns)
+
+
 def _landed_surges(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

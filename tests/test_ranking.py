@@ -56,6 +56,16 @@ def test_rank_by_score_equals_row_number(spark):
     assert got == {genre: i + 1 for i, (genre, _) in enumerate(expected)}
 
 
+def test_equal_scores_rank_by_name_across_beginnings(spark):
+    names = [None, "", "a", "ab", "abc", "abcd", "abce", "abd", "b", "éa", "éb", "zz", "zzzz", "Abc"]
+    rows = [(n, s) for n in names for s in (1.0, None)]
+    df = spark.createDataFrame(rows, "genre string, timeless_score double").repartition(4)
+    got = [tuple(r)[:2] for r in ranking.rank_by_score(df).orderBy("ranking").collect()]
+    key = lambda r: (r[1] is None, r[0] is not None, (r[0] or "").encode())
+    assert got == sorted(rows, key=key)
+    assert ranking.rank_by_score(df.limit(0)).count() == 0
+
+
 def test_rows_without_a_score_rank_last(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0), ("c", None)], "genre string, timeless_score double")
     assert {r["genre"]: r["ranking"] for r in ranking.rank_by_score(df).collect()} == {"b": 1, "a": 2, "c": 3}

@@ -164,6 +164,17 @@ def test_late_and_last_surges_end_once(spark, root):
     assert ended() == [f"e{i}" for i in range(7)]
 
 
+@pytest.mark.parametrize("make", [expiry.expire_surges, expiry.expire_by_timer])
+def test_what_a_watermark_passes_over_is_left(spark, root, make):
+    given = surges([0, 500, 600, 10, 605])  # the fourth comes late, the last ones stay live
+    rollbacks = expired(spark, root, [given[:2], given[2:3], given[3:4], given[4:]], make)
+    sent = spark.createDataFrame(given + given[3:4], SURGES)
+    left = expiry.surges_left(sent, rollbacks)
+    ended = [r["original_event_id"] for r in rollbacks.unionByName(surge_rollbacks(left)).collect()]
+    assert "e3" in {r["event_id"] for r in left.collect()}
+    assert sorted(ended) == [f"e{i}" for i in range(5)]
+
+
 def test_wall_clock_needs_no_later_event(spark, root):
     write_files(spark, f"{root}/in", [surges([0, 1])], SURGES)
     ended = expiry.expire_by_timer(
