@@ -1,7 +1,8 @@
 """Time every query of the library and print one JSON line.
 
 BENCH_SF_DIR names the tables, BENCH_CPUS the local threads, BENCH_RUNS the timed runs.
-Each query runs once to warm up; its figure is the median of the timed runs.
+Each query runs once to warm up; its figure is the median of the timed runs. After
+BENCH_WARM_SECONDS queries run without warm-up; they are listed as cold.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import time
 from perennial import build_session
 from perennial.plans.queries import QUERIES
 
+
 def run(spark, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -35,9 +37,13 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    figures = {}
+    figures, cold = {}, []
+    until = time.monotonic() + float(os.environ.get("BENCH_WARM_SECONDS", "600"))
     for name in sys.argv[1:] or QUERIES:
-        run(spark, name, sf_dir)
+        if time.monotonic() < until:
+            run(spark, name, sf_dir)
+        else:
+            cold.append(name)
         figures[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
     print(
         json.dumps(
@@ -46,6 +52,7 @@ def main() -> None:
                 "value": round(sum(figures.values()), 3),
                 "unit": "sec",
                 "queries": figures,
+                "cold": cold,
                 "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or 0),
             }
         )
