@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from perennial.functions.text import title_case
 from perennial.operators.ranking import top_per_group
+from perennial.params import RECENT_EVENTS
 
 LIST_FIELDS = ("event_type", "song_title", "artist", "year", "reason", "boost_amount", "created_at")
 SHOWN_EVENTS = 5
-LISTED_EVENTS = 100
 
 
 def event_type_counts(events: DataFrame) -> DataFrame:
@@ -64,9 +64,11 @@ def newest_events_by_genre(events: DataFrame, songs: DataFrame, shown: int = SHO
     return top_per_group(joined, ["genre"], order, shown, rank="place")
 
 
-def events_by_genre(events: DataFrame, songs: DataFrame, listed: int = LISTED_EVENTS) -> DataFrame:
+def events_by_genre(events: DataFrame, songs: DataFrame, listed: int = RECENT_EVENTS) -> DataFrame:
     """The newest ``listed`` events of each genre as seven lists, newest first, with the
-    number of all its events."""
+    number of all its events. An event of a song that a genre knows
+    under several years is as many entries; without such songs, no event among the newest
+    1,000 of all is left out by default."""
     entry = F.struct("place", *LIST_FIELDS)
     lists = (
         newest_events_by_genre(events, songs, listed)

@@ -81,3 +81,13 @@ def test_counts_and_newest_equal_the_plain_join(spark):
 
 def test_event_type_counts(frames):
     assert [tuple(r) for r in song_events.event_type_counts(frames[0]).collect()] == [("popularity_surge", 11)]
+
+
+def test_lists_hold_all_of_the_newest_thousand_events(spark):
+    songs = spark.createDataFrame([("Blue", "Joni", "folk", 1971), ("So What", "Miles", "jazz", 1959)], SONGS)
+    events = [event(i, *(("So What", "Miles") if i % 4 == 0 else ("Blue", "Joni"))) for i in range(1200)]
+    rows = song_events.events_by_genre(spark.createDataFrame(events, EVENTS), songs).collect()
+    listed = {t for r in rows for t in r["created_at_list"]}
+    assert {e[6] for e in events[-1000:]} <= listed
+    assert {r["genre"]: len(r["created_at_list"]) for r in rows} == {"folk": 900, "jazz": 300}
+    assert {r["genre"]: r["event_count"] for r in rows} == {"folk": 900, "jazz": 300}
