@@ -1,11 +1,12 @@
 """Conversations in reply order, without quotations, DataFrame functions only.
 
-A line that begins with one or more ``>`` is quoted; their number is its level. Quoted lines
-are normalised (lower case, single blanks, no marks at either end), hashed and joined within
-the conversation to the latest earlier message that says the same unquoted. A message
-answers the one that most of its lines of the lowest matched level come from; a line that
-several earlier messages say counts less. A message that quotes nothing known answers the
-one before it. Messages are ordered depth first: a message, then what follows it in its own
+A line that begins with one or more ``>`` is quoted; their number is its level. Lines of one
+level in a row are a passage, whatever way they are wrapped. Lines, and the sentences and
+runs of five words of passages, are normalised (lower case, single blanks, no marks at either
+end), hashed and joined within the conversation to the latest earlier message that says the
+same unquoted. A message answers the one that most votes of the lowest matched level are for:
+a line has eight, a sentence four, a run of words one, and what several earlier messages say
+counts less. A message that quotes nothing known answers the one before it. Messages are ordered depth first: a message, then what follows it in its own
 branch, then the answers that branch off, each with all that hangs on it.
 
 The join is a window that carries the latest earlier message along each (conversation, line),
@@ -26,6 +27,12 @@ _QUOTED_LINES = r"(?m)^[ \t]*>[^\n]*(?:\n|\z)"
 # Fixed value: an introduction of a quotation that mail programs write.
 _SAYS = r"(?m)^[^\n>]{0,200}\b(?:wrote|writes|schrieb|écrit|escribió) ?:[ \t]*\n(?=[ \t]*>)"
 
+# Lines of equal marks in a row; possessive, so that Java's matcher does not recurse.
+_PASSAGES = r"(?dm)^(>*+)[^\n]*+(?:\n\1(?!>)[^\n]*+)*+"
+_SENTENCE_ENDS = r"(?<=[.!?…])\s+|(?<=[。！？])|\n[ \t]*\n"
+_WORD_RUNS = r"(?:^| )(?=(\S++ \S++ \S++ \S++ \S++))"
+_VOTES = {"line": 8, "sentence": 4, "run": 1}
+
 TEMPLATE = "<|{role}|>\n{body}\n"
 
 
@@ -36,41 +43,58 @@ def unquoted(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(own, r"^\s+|\s+\z", ""), r"\n{3,}", "\n\n")
 
 
-def level_of(line: Column) -> Column:
-    return F.regexp_count(F.regexp_extract(line, _MARKS, 1), F.lit(">"))
-
-
 def normalised(line: Column) -> Column:
     words = F.regexp_replace(F.lower(F.regexp_replace(line, _MARKS, "")), r"[\s\p{P}]+", " ")
     return F.trim(words)
 
 
-def _lines(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, line): different normalised lines of linkable messages."""
-    split = F.explode(F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n"))
-    lines = messages.where("conv_id is not null and turn is not null and text is not null").select(
-        "conv_id", "turn", split.alias("raw")
+def _quoting(messages: DataFrame) -> DataFrame:
+    """The linkable messages of conversations that hold a quoted line."""
+    linkable = messages.where("conv_id is not null and turn is not null and text is not null")
+    quoting = settle(linkable.where(F.col("text").rlike(r"(?m)^[ \t]*>")).select("conv_id").distinct(), "quoting")
+    return linkable.join(quoting, "conv_id", "left_semi")
+
+
+def _said(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, level, vote, said): different lines, sentences and runs of words."""
+
+    def voted(kind: str, texts: Column) -> Column:
+        return F.transform(texts, lambda x: F.struct(F.lit(_VOTES[kind]).alias("vote"), x.alias("said")))
+
+    # Marks without blanks between them.
+    compact = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), r"(?dm)(?:^|\G)[ \t]*>", ">")
+    passage = F.explode(F.regexp_extract_all(compact, F.lit(_PASSAGES), F.lit(0)))
+    passages = messages.select("conv_id", "turn", passage.alias("passage"))
+    body = F.regexp_replace("passage", r"(?dm)^>+[ \t]?", "")
+    level = F.length(F.regexp_extract("passage", r"^>*", 0))
+    items = F.concat(
+        voted("line", F.transform(F.split(body, "\n"), normalised)),
+        voted("sentence", F.transform(F.split(body, _SENTENCE_ENDS), normalised)),
+        voted("run", F.regexp_extract_all(normalised(body), F.lit(_WORD_RUNS), F.lit(1))),
     )
-    lines = lines.select("conv_id", "turn", level_of(F.col("raw")).alias("level"), normalised(F.col("raw")).alias("line"))
-    return lines.where("line <> ''").select("conv_id", "turn", "level", F.xxhash64("line").alias("line")).distinct()
+    said = passages.select("conv_id", "turn", level.alias("level"), F.explode(items).alias("item"))
+    said = said.where("item.said <> ''").select("conv_id", "turn", "level", "item.*")
+    return said.withColumn("said", F.xxhash64("vote", "said")).distinct()
 
 
 def parents(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_turn, level) of messages whose quotations are known."""
-    lines = _lines(messages)
-    quoting = lines.where("level > 0").select("conv_id", "line").distinct()
-    # Unquoted lines matter only where some message quotes them.
-    told = lines.join(quoting, ["conv_id", "line"], "left_semi")
+    lines = _said(_quoting(messages))
+    quoting = lines.where("level > 0").select("conv_id", "said").distinct()
+    # What is said unquoted matters only where some message quotes it.
+    told = lines.join(quoting, ["conv_id", "said"], "left_semi")
     # At one turn quotations come first, so a message never answers itself.
-    order = W.partitionBy("conv_id", "line").orderBy("turn", F.col("level").desc())
+    order = W.partitionBy("conv_id", "said").orderBy("turn", F.col("level").desc())
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
-    said = F.when(F.col("level") == 0, F.col("turn"))
+    unquoted_at = F.when(F.col("level") == 0, F.col("turn"))
     found = (
-        told.withColumn("source", F.last(said, ignorenulls=True).over(earlier))
-        .withColumn("sources", F.count(said).over(earlier))
+        told.withColumn("source", F.last(unquoted_at, ignorenulls=True).over(earlier))
+        .withColumn("sources", F.count(unquoted_at).over(earlier))
         .where("level > 0 and source is not null")
     )
-    votes = found.groupBy("conv_id", "turn", "level", "source").agg(F.sum(1 / F.col("sources")).alias("weight"))
+    votes = found.groupBy("conv_id", "turn", "level", "source").agg(
+        F.sum(F.col("vote") / F.col("sources")).alias("weight")
+    )
     best = F.max_by(F.struct("source", "level"), F.struct(-F.col("level"), F.round("weight", 9), F.col("source")))
     return (
         votes.groupBy("conv_id", "turn").agg(best.alias("best"))

@@ -82,3 +82,37 @@ def test_odd_rows(spark):
     assert by[1, 1].role == "unknown" and by[1, 1].body == "" and by[1, 1].reply_order == 1
     assert by[None, 1].reply_order is None and by[1, None].reply_order is None and by[None, 1].body == ""
     assert by[1, 3].quote_level == 2 and by[1, 3].body.endswith("long \nend") and ">" not in by[1, 3].body
+
+
+def test_quotations_wrapped_elsewhere_and_single_sentences_are_known(spark):
+    long = "The oven has to be hot before the bread goes in, or the crust\nstays soft and pale. Use a stone if you have one. Steam helps."
+    rows = [
+        (1, 1, "u", "Which flour should I take for a dark bread?"),
+        (1, 2, "a", long),
+        (1, 3, "u", "Something else: my knife is blunt."),
+        # Wrapped by the mail program, at two levels of marks.
+        (1, 4, "u", "> The oven has to be hot before the bread\n> goes in, or the crust stays soft\n> and pale.\nHow hot?"),
+        (1, 5, "a", "Sharpen it."),
+        (1, 6, "u", "> Steam helps.\nReally?"),
+        (1, 7, "u", "> before the bread goes in, or the\nI see."),
+        (1, 8, "u", "> > Which flour should I\n> > take for a dark bread?\nRye."),
+        (1, 9, "u", "> nobody ever said these words here\nHello."),
+    ]
+    parents = {r.turn: r.parent_turn for r in run(spark, rows)}
+    assert parents == {1: None, 2: 1, 3: 2, 4: 2, 5: 4, 6: 2, 7: 2, 8: 1, 9: 8}
+
+
+def test_whole_lines_outweigh_shared_words(spark):
+    rows = [
+        (1, 1, "u", "I will come at ten on Monday."),
+        (1, 2, "u", "If it rains I will come at ten on Monday or not at all."),
+        (1, 3, "u", "Fine."),
+        (1, 4, "u", "> I will come at ten on Monday.\nGood."),
+    ]
+    assert {r.turn: r.parent_turn for r in run(spark, rows)}[4] == 1
+
+
+def test_passages_of_many_lines(spark):
+    rows = [(1, 1, "u", "\n".join(f"line number {k}" for k in range(20_000))), (1, 2, "u", "no"),
+            (1, 3, "u", "\n".join(f"> line number {k}" for k in range(20_000)))]
+    assert {r.turn: r.parent_turn for r in run(spark, rows)} == {1: None, 2: 1, 3: 1}
