@@ -46,6 +46,82 @@ FROM sets JOIN least ON node = doc_id
 """
 
 
+def _crc_table() -> str:
+    """The 256 remainders of the reflected CRC-32 polynomial."""
+    found = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        found.append(value)
+    return f"{found}::BIGINT[]"
+
+
+def _draw(text: str) -> str:
+    """Sixty bits of the digest of a seeded text."""
+    return f"('0x' || substr(md5('interleave:' || {text}), 1, 15))::BIGINT"
+
+
+_SHARDS = f"""
+WITH drawn AS (
+    SELECT doc_id, source, (strlen(coalesce(text, '')) + 8)::BIGINT AS size,
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes,
+        {_draw("coalesce(doc_id::VARCHAR, '')")} AS draw
+    FROM documents),
+summed AS (
+    SELECT doc_id, source, size, draw,
+        xor(list_reduce(
+            list_prepend(4294967295, list_transform(bytes, lambda b: ('0x' || b)::BIGINT)),
+            lambda c, b: xor(c >> 8, list_extract({_crc_table()}, (xor(c, b) & 255) + 1))), 4294967295) AS text_crc32
+    FROM drawn),
+ranked AS (
+    SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw, doc_id NULLS FIRST) - 1)::DOUBLE AS rank,
+        (count(*) OVER (PARTITION BY source))::DOUBLE AS of,
+        ({_draw("CASE WHEN source IS NULL THEN '-' ELSE '=' || source END")} >> 30)::DOUBLE / 1073741824.0 AS begin
+    FROM summed),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY (rank + begin) / of, source NULLS FIRST, rank) - 1 AS place,
+        count(*) OVER () AS total
+    FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 24 // total)::INTEGER AS shard,
+    (place - ((place * 24 // total) * total + 23) // 24)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
+_COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words), (SELECT unnest(range(1, 5)) AS k)
+    WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE f >= 30),
+inside AS (
+    SELECT lang, f, array_to_string(w[i:i + s - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(2, k)) AS s FROM frequent WHERE k > 2), (SELECT unnest(range(1, 4)) AS i)
+    WHERE i + s - 1 <= k),
+holders AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY lang, phrase),
+kept AS (
+    SELECT c.* FROM frequent c LEFT JOIN holders h ON h.lang = c.lang AND h.phrase = c.phrase
+    WHERE k > 1 AND NOT coalesce(100 * most >= 80 * f, false)),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r,
+        (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) c
+    JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def _closing(k: int) -> str:
     """One round that closes the gap of each source by the document nearest to it."""
     return f"""
@@ -202,4 +278,6 @@ ORACLE = {
     "op5_pareto_mix": _MIX,
     "op7_odd_sketch": _NEAR,
     "op8_url_reputation": _REPUTATION,
+    "op13_collocations": _COLLOCATIONS,
+    "op12_stratified_shards": _SHARDS,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perennial.llm import (
+    collocations,
     embedding_dedup,
     kneser_ney,
     ngram_bloom,
@@ -15,6 +16,7 @@ from perennial.llm import (
     order_minhash,
     pareto_mix,
     quote_threads,
+    stratified_shards,
     token_packing,
     url_reputation,
     variable_bins,
@@ -89,3 +91,13 @@ def op9_variable_bins(spark, sf_dir):
 @query
 def op10_quote_threads(spark, sf_dir):
     return quote_threads.chat_messages(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_stratified_shards(spark, sf_dir):
+    return stratified_shards.shard_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
