@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -202,14 +202,9 @@ def _edges(sent, params: Collocations):
     return run
 
 
-def _first(size: int) -> F.Column:
-    """All words of a phrase of ``size`` words but the last."""
-    return F.substring_index("phrase", " ", size - 1)
-
-
-def _last() -> F.Column:
-    """All words of a phrase but the first."""
-    return F.expr("substring(phrase, locate(' ', phrase) + 1)")
+def _words(phrase: str, n) -> Column:
+    """The first ``n`` words of a phrase, or the last ones if ``n`` is negative."""
+    return F.call_function("substring_index", F.col(phrase), F.lit(" "), n if isinstance(n, Column) else F.lit(n))
 
 
 @dataclass
@@ -237,7 +232,7 @@ def de_bruijn_graph(documents: DataFrame, params: Collocations = Collocations())
     levels = [edges.where(F.col("size") == LONGEST)]
     settled = []
     for size in range(LONGEST - 1, 0, -1):
-        through = levels[-1].select("lang", F.lit(size).alias("size"), _first(size + 1).alias("phrase"), "n")
+        through = levels[-1].select("lang", F.lit(size).alias("size"), _words("phrase", size).alias("phrase"), "n")
         ended = edges.where(F.col("size") == size)
         flow = settle(through.unionByName(ended).groupBy(*keys).agg(F.sum("n").alias("n")), "flow")
         levels.append(flow)
@@ -250,7 +245,9 @@ def de_bruijn_graph(documents: DataFrame, params: Collocations = Collocations())
     for frame in (edges, *settled):
         drop_settled(frame)
     # The edges out of a phrase begin with it, the edges into it end with it.
-    out, into = F.struct(F.substring_index("phrase", " ", F.col("size") - 1).alias("phrase"), F.col("n").alias("out"), F.lit(0).cast("long").alias("into")), F.struct(_last().alias("phrase"), F.lit(0).cast("long").alias("out"), F.col("n").alias("into"))
+    none = F.lit(0).cast("long")
+    out = F.struct(_words("phrase", F.col("size") - 1).alias("phrase"), F.col("n").alias("out"), none.alias("into"))
+    into = F.struct(_words("phrase", 1 - F.col("size")).alias("phrase"), none.alias("out"), F.col("n").alias("into"))
     longer = flows.where("size > 2").select("lang", F.explode(F.array(out, into)).alias("e"))
     ends = longer.groupBy("lang", F.col("e.phrase").alias("phrase")).agg(
         F.max("e.into").alias("most_in"), F.max("e.out").alias("most_out")
@@ -264,7 +261,7 @@ def de_bruijn_graph(documents: DataFrame, params: Collocations = Collocations())
     return Graph(flows, words, settle(nodes, "nodes"))
 
 
-def _inner() -> F.Column:
+def _inner() -> Column:
     """Points of a path: all of a node's walks come by one edge and leave by one."""
     return (F.col("size") == LONGEST - 1) & (F.col("most_in") == F.col("a")) & (F.col("most_out") == F.col("a"))
 
@@ -278,9 +275,8 @@ def unary_paths(graph: Graph) -> DataFrame:
     """
     edges = graph.nodes.where(F.col("size") == LONGEST).select("lang", F.col("phrase").alias("edge"), F.col("a").alias("n"))
     ends = edges.select(
-        "lang", "edge", F.substring_index("edge", " ", LONGEST - 1).alias("tail"),
-        F.expr("substring(edge, locate(' ', edge) + 1)").alias("head"),
-    )
+        "lang", "edge", _words("edge", LONGEST - 1).alias("tail"), _words("edge", 1 - LONGEST).alias("head")
+    )
     inner = graph.nodes.where(_inner()).select("lang", F.col("phrase").alias("node"))
     entered = ends.join(inner, (F.col("head") == F.col("node")) & (ends["lang"] == inner["lang"]), "left_semi")
     left = ends.join(inner, (F.col("tail") == F.col("node")) & (ends["lang"] == inner["lang"]), "left_semi")
@@ -307,7 +303,7 @@ def unary_paths(graph: Graph) -> DataFrame:
         now = after.drop("moved")
     placed = edges.join(now, ["lang", "edge"], "left").select(
         "lang", F.coalesce("up", "edge").alias("first"), F.coalesce("steps", F.lit(0)).alias("steps"), "n",
-        F.substring_index("edge", " ", -1).alias("word"),
+        _words("edge", -1).alias("word"),
     )
     rows = placed.groupBy("lang", "first").agg(
         F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("steps", "word"))).alias("added")
@@ -342,8 +338,8 @@ def scored(graph: Graph, found: DataFrame) -> DataFrame:
         "lang", F.col("phrase").alias("whole"), "a", "k",
         F.explode(
             F.array(
-                F.struct(F.lit(True).alias("left"), F.substring_index("phrase", " ", F.col("k")).alias("phrase")),
-                F.struct(F.lit(False).alias("left"), F.substring_index("phrase", " ", F.col("k") - count).alias("phrase")),
+                F.struct(F.lit(True).alias("left"), _words("phrase", F.col("k")).alias("phrase")),
+                F.struct(F.lit(False).alias("left"), _words("phrase", F.col("k") - count).alias("phrase")),
             )
         ).alias("part"),
     )
