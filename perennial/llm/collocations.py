@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ _KIND[list(SPACES)] = 1
 _KIND[list(BREAKS)] = 2
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _TEXT_BYTES = 1 << 20  # of texts handled at a time
+_TASKS = 256
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class Collocations:
     top: int = 2000
     # Cells of the table of pairs; one byte each in a task, one bit each when sent around.
     cell_bits: int = 25
-    slice_bits: int = 18
+    slice_bits: int = 16
 
 
 # ----------------------------------------------------------------- words and walks
@@ -139,7 +141,7 @@ def _pair_cells(params: Collocations):
     """One task's counts of pairs by cell, no cell above ``min_count``, in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << params.cell_bits, dtype=np.uint8)
+        cells, task = np.zeros(1 << params.cell_bits, dtype=np.uint8), TaskContext.get().partitionId()
         for _part, walks in _walks(batches):
             found, times = np.unique(walks.cells(params.cell_bits)[walks.linked], return_counts=True)
             cells[found] = np.minimum(cells[found] + np.minimum(times, params.min_count), params.min_count)
@@ -147,13 +149,16 @@ def _pair_cells(params: Collocations):
         for number in range(len(cells) // size):
             held = cells[number * size : (number + 1) * size]
             if held.any():
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([held.tobytes()])], names=["slice", "cells"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([task // _TASKS], pa.int32()), pa.array([held.tobytes()])],
+                    names=["slice", "tasks", "cells"],
+                )
 
     return run
 
 
-def _frequent_cells(params: Collocations):
-    """Adds up the slices that a task gets and marks the cells that reach ``min_count``."""
+def _summed_cells(params: Collocations, last: bool):
+    """Adds up the slices that a task gets; the last round marks the cells that reach ``min_count``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -163,8 +168,8 @@ def _frequent_cells(params: Collocations):
                 known = sums.get(number)
                 sums[number] = part if known is None else np.minimum(known + part, params.min_count)
         for number, held in sums.items():
-            bits = np.packbits(held >= params.min_count)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([bits.tobytes()])], names=["slice", "bits"])
+            held = np.packbits(held >= params.min_count) if last else held
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([held.tobytes()])], names=["slice", "cells"])
 
     return run
 
@@ -173,14 +178,17 @@ def frequent_cells(texts: DataFrame, params: Collocations = Collocations()) -> n
     """One bit per cell of pairs: whether its pairs may reach ``min_count`` together.
 
     2 ** cell_bits bits whatever the size of the table (4 MB), which is what the driver gets
-    and sends around.
+    and sends around. Tasks are added up ``_TASKS`` at a time, then those sums.
     """
+    if params.min_count > 127:
+        raise ValueError("cells of one byte hold counts up to 127")
     slices_ = 1 << (params.cell_bits - params.slice_bits)
-    counted = texts.mapInArrow(_pair_cells(params), "slice int, cells binary")
-    marked = counted.repartition(slices_, "slice").mapInArrow(_frequent_cells(params), "slice int, bits binary")
+    counted = texts.mapInArrow(_pair_cells(params), "slice int, tasks int, cells binary")
+    some = counted.repartition("slice", "tasks").mapInArrow(_summed_cells(params, False), "slice int, cells binary")
+    marked = some.repartition(slices_, "slice").mapInArrow(_summed_cells(params, True), "slice int, cells binary")
     bits = np.zeros((slices_, (1 << params.slice_bits) // 8), dtype=np.uint8)
     for row in marked.collect():
-        bits[row["slice"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+        bits[row["slice"]] = np.frombuffer(row["cells"], dtype=np.uint8)
     return bits.reshape(-1)
 
 

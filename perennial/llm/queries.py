@@ -17,6 +17,7 @@ from perennial.llm import (
     pareto_mix,
     quote_threads,
     stratified_shards,
+    token_alignment,
     token_packing,
     url_reputation,
     variable_bins,
@@ -93,6 +94,11 @@ def op10_quote_threads(spark, sf_dir):
     return quote_threads.chat_messages(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.alignment_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op12_stratified_shards(spark, sf_dir):
     return stratified_shards.shard_digests(table(spark, sf_dir, "documents"))

@@ -24,13 +24,14 @@ from perennial.llm.shared import settle
 
 _HASH_BITS = 60
 _OFFSET_BITS = 30
+_RUN = 4096
 
 
 @dataclass(frozen=True)
 class Shards:
     shards: int = 24
     seed: str = "interleave"
-    bucket_rows: int = 1 << 15
+    bucket_rows: int = 1 << 12
 
 
 def _hash(seed: str, value: Column) -> Column:
@@ -40,9 +41,22 @@ def _hash(seed: str, value: Column) -> Column:
 
 
 def _before(counts: DataFrame, bucket: str, *keys: str) -> DataFrame:
-    """Add ``before``, the rows in the buckets before each one. One row per bucket."""
-    order = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)).cast("long"))
+    """Add ``before``, the rows in the buckets before each one. One row per bucket.
+
+    Buckets are summed in runs of ``_RUN`` each, so no task sees all of them.
+    """
+
+    def running(by: str, *within: str) -> Column:
+        order = W.partitionBy(*within).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(order), F.lit(0)).cast("long")
+
+    runs = counts.withColumn("run", F.floor(F.col(bucket) / _RUN))
+    inner = runs.withColumn("inner", running(bucket, *keys, "run"))
+    totals = runs.groupBy(*keys, "run").agg(F.sum("n").alias("n"))
+    totals = totals.withColumn("outer", running("run", *keys))
+    totals = totals.select(*(F.col(k).alias(f"{k}_") for k in (*keys, "run")), "outer")
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in (*keys, "run")]
+    return inner.join(totals, same).select(*counts.columns, (F.col("inner") + F.col("outer")).alias("before"))
 
 
 def _buckets(rows: int, params: Shards) -> int:

@@ -87,4 +87,9 @@ def test_written_shards(spark, root):
     write_shards(interleaved_shards(frame, Shards(shards=4)), f"{root}/shards", 4)
     back = spark.read.parquet(f"{root}/shards")
     assert back.count() == 60 and sorted(r.shard_of for r in back.select("shard_of").distinct().collect()) == [0, 1, 2, 3]
-    assert [r.slot for r in spark.read.parquet(f"{root}/shards/shard_of=2").collect()] == list(range(15))
+    assert sorted(r.slot for r in back.where("shard_of = 2").collect()) == list(range(15))
+    ordered = back.selectExpr("*", "_metadata.file_path as file", "_metadata.row_index as at")
+    by_file = {}
+    for r in ordered.orderBy("file", "at").collect():
+        by_file.setdefault(r.file, []).append(r.slot)
+    assert all(slots == sorted(slots) for slots in by_file.values())
