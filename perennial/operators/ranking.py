@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perennial.session import scratch_dir
+
 _LANES = 512
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _ROWS_PER_CHUNK = 1_000_000
-_NAME_BEGIN = 3
 
 
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
@@ -91,30 +92,49 @@ def row_numbers_by_value(
     )
 
 
-def rank_by_score(scores: DataFrame, score: str = "timeless_score", name: str = "genre") -> DataFrame:
-    """ROW_NUMBER over all rows, best score first, then by name; rows without a score last.
+_PART_BITS = 33  # of an increasing id: the row's place in its task
+
 
-    Scores are decimals of two places between 0 and 100, hence at most 10,001 values. The
-    rows of one score are split by how their names begin, so that a score that a third of
-    all rows share is no single task. Rows are counted per score and beginning; the running
-    counts meet the rows, and each beginning numbers its own.
+def _in_order(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
+    """The rows sorted and written, with ``_id``: their part and their place in it.
+
+    Ranges of the order are dealt by sampled bounds. Rows that are equal in it are spread by
+    their other columns, and then by where they were read, so no value is one part. Bounds are
+    drawn anew each time, hence the rows are written before they are counted.
     """
-    begin = F.left(F.col(name), F.lit(_NAME_BEGIN))
-    counts = scores.groupBy(F.col(score).alias("_score"), begin.alias("_begin")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_score").orderBy("_begin").rowsBetween(Window.unboundedPreceding, -1)
-    parts = counts.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    better = Window.orderBy(F.col("_value").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    values = (
-        counts.groupBy(F.col("_score").alias("_value"))
-        .agg(F.sum("_n").alias("_rows"))
-        .select("_value", F.coalesce(F.sum("_rows").over(better), F.lit(0)).alias("_better"))
-    )
-    offsets = parts.join(values, F.col("_score").eqNullSafe(F.col("_value"))).select(
-        "_score", "_begin", (F.col("_better") + F.col("_earlier")).alias("_before")
-    )
-    within = Window.partitionBy(score, "_own_begin").orderBy(name)
-    own = scores.withColumn("_own_begin", begin).withColumn("_place", F.row_number().over(within))
-    same = F.col(score).eqNullSafe(F.col("_score")) & F.col("_own_begin").eqNullSafe(F.col("_begin"))
-    return own.join(offsets, same).select(
-        *scores.columns, (F.col("_before") + F.col("_place")).cast("long").alias("ranking")
+    spark = df.sparkSession
+    read_at = F.shiftright(F.monotonically_increasing_id(), 10)
+    rows = df.withColumn("_read_at", read_at)
+    ties = [F.xxhash64(*df.columns), F.col("_read_at")]
+    dealt = rows.repartitionByRange(parts, *order, *ties) if parts else rows.repartitionByRange(*order, *ties)
+    numbered = dealt.sortWithinPartitions(*order, *ties).select(*df.columns, F.monotonically_increasing_id().alias("_id"))
+    path = scratch_dir(spark, "ordered")
+    numbered.write.parquet(path)
+    return spark.read.schema(numbered.schema).parquet(path)
+
+
+def number_rows(df: DataFrame, *order: Column, rank: str = "ranking", parts: int | None = None) -> DataFrame:
+    """ROW_NUMBER over all rows, whatever their number.
+
+    Rows are dealt to parts by ranges of the order and sorted there; a part's rows are counted,
+    and the counts of the parts before it are added to a row's place in its own. The one
+    window runs over a row per part. Rows equal in ``order`` are numbered in an order of
+    their own. ``parts`` defaults to the session's shuffle partitions.
+    """
+    rows = _in_order(df, list(order), parts)
+    part = F.shiftright("_id", _PART_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
+    place = F.col("_id").bitwiseAND(F.lit((1 << _PART_BITS) - 1)) + 1
+    numbered = rows.withColumn("_part", part).join(offsets, "_part")
+    return numbered.select(*df.columns, (F.col("_before") + place).cast("long").alias(rank))
+
+
+def rank_by_score(scores: DataFrame, score: str = "timeless_score", name: str = "genre") -> DataFrame:
+    """ROW_NUMBER over all rows, best score first, then by name; rows without a score last.
+    However many rows share a score or a beginning of their names, no part grows with them."""
+    return number_rows(scores, F.col(score).desc_nulls_last(), F.col(name).asc_nulls_first())

@@ -158,3 +158,35 @@ def matched_rollbacks(surges: DataFrame, rollbacks: DataFrame) -> DataFrame:
         "original_boost",
     )
     return surges.join(ended, "event_id")
+
+
+def stream_rollback_matches(
+    surges: DataFrame,
+    rollbacks: DataFrame,
+    params: SurgeParams = SurgeParams(),
+    slack_seconds: int = 30,
+    lateness_seconds: int = 60,
+) -> DataFrame:
+    """Two streams: every surge beside the rollback that names it, or alone if none does.
+
+    A rollback belongs to its surge if it is created within the lifetime and ``slack_seconds``
+    of it, so each side is held as state only that long, and ``lateness_seconds`` for late
+    rows; later rows than that are not seen. A surge is known to be alone, and comes out with
+    NULLs, once both streams are past that time: a stream that may fall silent needs
+    ``control.with_ticks`` to move on. Further columns of surges are kept.
+    """
+    delay, longest = f"{lateness_seconds} seconds", params.lifetime_seconds + slack_seconds
+    # A key is never NULL: the optimizer would take a tick, which has no id, out of the stream
+    # before the watermark sees it.
+    key = F.coalesce(F.concat(F.lit("="), "original_event_id"), F.lit("-"))
+    ended = rollbacks.select(
+        key.alias("_ended_key"), F.col("created_at").alias("rolled_back_at"), "original_boost"
+    ).withWatermark("rolled_back_at", delay)
+    given = surges.withWatermark("created_at", delay)
+    until = F.expr(f"created_at + INTERVAL {longest} SECONDS")  # a literal, as the state's bound
+    same = (
+        (F.concat(F.lit("="), "event_id") == F.col("_ended_key"))
+        & (F.col("rolled_back_at") >= F.col("created_at"))
+        & (F.col("rolled_back_at") <= until)
+    )
+    return given.join(ended, same, "left_outer").drop("_ended_key")

@@ -461,7 +461,7 @@ UNION ALL SELECT 'timeout_rollback', count(*) FROM surges""",
 counted AS (SELECT genre, count(*) AS event_count FROM joined GROUP BY genre),
 listed AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY genre {_NEWEST_FIRST}) AS place FROM joined)
-  WHERE place <= 100)
+  WHERE place <= 1000)
 SELECT genre, {_list("event_type", "event_type")}, {_list("coalesce(song_title, '')", "song_title")},
        {_list("coalesce(artist, '')", "artist")}, {_list("coalesce(CAST(year AS VARCHAR), '')", "year")},
        {_list("reason", "reason")}, {_list("CAST(boost_amount AS VARCHAR)", "boost_amount")},
@@ -492,6 +492,15 @@ FROM surges""",
     "surge_rollbacks": f"WITH {SURGES}{_ROLLBACKS}",
     "stream_surge_expiry": f"WITH {SURGES}{_ROLLBACKS}",
     "stream_surge_timers": f"WITH {SURGES}{_ROLLBACKS}",
+    "stream_matched_rollbacks": f"""WITH {SURGES},
+ended AS (
+  SELECT event_id AS ended_id, boost_amount AS original_boost,
+         created_at + INTERVAL 30 SECOND
+           + CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN INTERVAL 120 SECOND ELSE INTERVAL 0 SECOND END AS rolled_back_at
+  FROM surges WHERE CAST(event_id AS BIGINT) % 7 <> 0)
+SELECT event_id, reason, boost_amount, created_at, rolled_back_at, original_boost
+FROM surges LEFT JOIN ended ON ended_id = event_id
+  AND rolled_back_at BETWEEN created_at AND created_at + INTERVAL 60 SECOND""",
     "surges_and_rollbacks": f"""WITH {SURGES}
 SELECT event_type, event_id, CAST(NULL AS VARCHAR) AS original_event_id, boost_amount, created_at FROM surges
 UNION ALL

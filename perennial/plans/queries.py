@@ -31,7 +31,7 @@ from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
 from perennial.sources.song_files import read_song_files
-from perennial.streaming import expiry, landing, rescoring
+from perennial.streaming import expiry, landing, rescoring, timers
 from perennial.streaming.control import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,8 +560,7 @@ def event_type_counts(spark, sf_dir):
 
 @query
 def events_by_genre(spark, sf_dir):
-    # The bound of the query's SQL; the operator's default is that of the report, 1,000.
-    grouped = song_events.events_by_genre(star.song_events(spark, sf_dir), star.songs(spark, sf_dir), listed=100)
+    grouped = song_events.events_by_genre(star.song_events(spark, sf_dir), star.songs(spark, sf_dir))
 
     def text(name):
         def show(item):
@@ -674,29 +673,80 @@ def stream_event_landing(spark, sf_dir):
     return landing.landed(spark, f"{root}/rows").drop("batch_id")
 
 
+def _in_files(rows, root, files=8):
+    """A stream of ``rows`` in no order of time, a file at a time."""
+    rows.repartition(files).write.parquet(root)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+# The test events are a month in eight batches.
+_DAY = 86_400
+
+
 @query
 def stream_surge_expiry(spark, sf_dir):
     """Eight batches in no order of time, then the end of the stream: all surges end."""
     root = scratch_dir(spark, "expiry")
-    events = star.song_events(spark, sf_dir)
-    events.repartition(8).write.parquet(f"{root}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
-    _run(stream, expiry.expiry_sink(spark, f"{root}/rows"), root)
-    expiry.flush_surges(spark, f"{root}/rows")
+    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events")
+    sink = expiry.expiry_sink(spark, f"{root}/rows", slice_seconds=_DAY, remember_seconds=60 * _DAY)
+    _run(stream, sink, root)
+    expiry.flush_surges(spark, f"{root}/rows", slice_seconds=_DAY)
     return surges.surge_rollbacks(expiry.landed_ends(spark, f"{root}/rows"))
 
 
 @query
 def stream_surge_timers(spark, sf_dir):
-    """Timers in event time, and the surges that they had not ended when the stream stopped."""
+    """Eight batches in no order of time, ended by timers; at the end the state's live surges."""
     root = scratch_dir(spark, "timers")
-    ended = expiry.expire_by_timer(star.song_events(spark, sf_dir, streaming=True))
-    _run(ended, landing.folder_sink(f"{root}/rows"), root)
+    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events")
+    ended = timers.ended_by_timers(stream, buckets=32, slot_seconds=30 * _DAY)
+    _run(surges.surge_rollbacks(ended), landing.folder_sink(f"{root}/rows"), root)
     ended = landing.landed(spark, f"{root}/rows").drop("batch_id")
-    left = expiry.surges_left(star.song_events(spark, sf_dir), ended)
+    left = timers.live_by_timers(spark, f"{root}/checkpoint", stream)
     return ended.unionByName(surges.surge_rollbacks(left))
 
 
+def _by_time(rows, moment, bounds, root):
+    """A stream of ``rows`` in order of time, a file per span between ``bounds``, and one
+    row long after them in which only the moment is set."""
+    spans = zip([None, *bounds], [*bounds, None], strict=True)
+    for number, (since, until) in enumerate(spans):
+        part = rows
+        if since is not None:
+            part = part.where(F.col(moment) >= F.lit(since))
+        if until is not None:
+            part = part.where(F.col(moment) < F.lit(until))
+        part.coalesce(1).write.parquet(f"{root}/{number}")
+    end = rows.agg((F.max(moment) + F.make_dt_interval(days=F.lit(1))).alias(moment))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != moment]
+    end.select(moment, *empty).select(rows.columns).write.parquet(f"{root}/end")
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+
+
+@query
+def stream_matched_rollbacks(spark, sf_dir):
+    """Eight batches in order of time. Every seventh surge has no rollback; every eleventh one
+    is taken back two minutes late, which is no match."""
+    root = scratch_dir(spark, "matches")
+    given = star.song_events(spark, sf_dir).select("event_id", "reason", "boost_amount", "created_at")
+    number = F.col("original_event_id").cast("long")
+    back = surges.surge_rollbacks(star.song_events(spark, sf_dir)).where(number % 7 != 0)
+    late = F.when(number % 11 == 0, 120).otherwise(0)
+    back = back.select(
+        "original_event_id", "original_boost", (F.col("created_at") + F.make_dt_interval(secs=late)).alias("created_at")
+    )
+    eighths = [k / 8 for k in range(1, 8)]
+    micros = F.percentile_approx(F.unix_micros("created_at"), eighths, 1000)
+    bounds = given.select(F.transform(micros, lambda m: F.timestamp_micros(m)).alias("bounds")).first()["bounds"]
+    matches = surges.stream_rollback_matches(
+        _by_time(given, "created_at", bounds, f"{root}/surges"),
+        _by_time(back, "created_at", bounds, f"{root}/rollbacks"),
+        lateness_seconds=3600,
+    )
+    _run(matches, landing.folder_sink(f"{root}/rows"), root)
+    return landing.landed(spark, f"{root}/rows").drop("batch_id")
+
+
 @query
 def stream_rescoring(spark, sf_dir):
     root = scratch_dir(spark, "scores")

@@ -1,4 +1,5 @@
-"""Surge job: take back every surge of the event topic when its lifetime is over.
+"""Surge job: take back every surge of the event topic when its lifetime is over, and those
+that are still live when the job ends.
 
     python -m perennial.plans.surge_job --servers <host:port> --root <shared folder>
 """
@@ -8,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +19,7 @@ from perennial.plans.stream_job import STATE_SETTINGS
 from perennial.schemas import SURGE_MESSAGE
 from perennial.session import build_session
 from perennial.sources import kafka
-from perennial.streaming import control, expiry
+from perennial.streaming import control, expiry, landing
 
 
 def rollbacks(event_messages: DataFrame, params: SurgeParams = SurgeParams()) -> DataFrame:
@@ -42,6 +43,40 @@ def start_rollbacks(
     return send(rollbacks(event_messages, params))
 
 
+def start_expiry(
+    event_messages: DataFrame,
+    send: Callable[[DataFrame], None],
+    root: str,
+    params: SurgeParams = SurgeParams(),
+    every: str = landing.EVENT_TRIGGER,
+) -> StreamingQuery:
+    """Take surges back from tables of live and ended surges below ``root``, batch by batch.
+
+    ``send`` sends the messages of a batch. A batch that is run again after a failure sends
+    its messages again. Ticks move the clock while no event comes.
+    """
+    spark = event_messages.sparkSession
+    arrived = surges.surges_from_messages(envelope.parse_messages(event_messages, SURGE_MESSAGE))
+    land = expiry.expiry_sink(spark, f"{root}/surges", params)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        land(batch, batch_id)
+        ended = expiry.ended_in(spark, f"{root}/surges", batch_id, batch)
+        send(surges.rollback_messages(ended, params))
+
+    ticking = control.with_ticks(arrived, "created_at")
+    return landing.start_query(ticking, write, f"{root}/checkpoints/expiry", every=every)
+
+
+def flush(
+    spark: SparkSession, send: Callable[[DataFrame], None], root: str, params: SurgeParams = SurgeParams()
+) -> None:
+    """Take back every surge that is still live. For a job whose query has stopped."""
+    left = expiry.flush_surges(spark, f"{root}/surges")
+    if left is not None:
+        send(surges.rollback_messages(left, params))
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--servers", required=True, help="Kafka bootstrap servers")
@@ -54,14 +89,16 @@ def main() -> None:
     events = kafka.event_stream(
         spark, options.servers, options.event_topic, max_offsets_per_trigger=options.max_offsets
     )
-    checkpoint = f"{options.root}/checkpoints/rollbacks"
-    query = start_rollbacks(
-        events, lambda frame: kafka.start_messages(frame, options.servers, options.event_topic, checkpoint)
-    )
+
+    def send(messages: DataFrame) -> None:
+        kafka.write_messages(messages, options.servers, options.event_topic)
+
+    query = start_expiry(events, send, options.root)
     try:
         query.awaitTermination()
     finally:
         control.stop_all(spark)
+        flush(spark, send, options.root)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,9 @@ also run on the wall clock, where a surge ends although no further event comes.
 
 ``expiry_sink`` keeps the live surges in a table per batch instead of a state store: a
 surge that arrives after its end is over at once, and ``flush_surges`` ends those that are
-left when a stream stops, so every surge is rolled back once.
+left when a stream stops, so every surge is rolled back once. What a batch reads does not
+grow with the age of the stream. ``streaming/timers.py`` does the same with timers in a
+state store.
 
 All return the ended surges with all their columns, ready for ``surge_rollbacks`` or
 ``rollback_messages``.
@@ -16,16 +18,18 @@ All return the ended surges with all their columns, ready for ``surge_rollbacks`
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from perennial.operators.surges import surge_rollbacks
 from perennial.params import SurgeParams
+from perennial.sources.tables import drop_folder, folder_exists
 from perennial.streaming.landing import BatchSink
 
 
@@ -126,51 +130,154 @@ def surges_left(sent: DataFrame, rollbacks: DataFrame) -> DataFrame:
     return sent.dropDuplicates(["event_id"]).join(done, "event_id", "left_anti").select(sent.columns)
 
 
-def _landed_surges(spark: SparkSession, path: str) -> DataFrame | None:
+def _landed(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException:  # nothing landed yet
         return None
 
 
-def expiry_sink(spark: SparkSession, path: str, params: SurgeParams = SurgeParams()) -> BatchSink:
-    """Land the surges of each batch, and those still live before it, marked ``over`` or not.
+def _micros(moment: str) -> Column:
+    return F.unix_micros(F.col(moment).cast("timestamp"))
 
-    The clock is the newest creation seen so far. A surge delivered twice counts once. A
-    batch that runs again replaces its own rows only.
+
+@dataclass(frozen=True)
+class ExpiryTables:
+    """Folders of ``expiry_sink`` below ``path``. All that a batch reads is named here.
+
+    ``rows/batch_id=n/over=true``: surges that batch n ended, the sink's output.
+    ``rows/batch_id=n/over=false``: surges live after batch n; kept for the next two batches.
+    ``clock/batch_id=n``: the newest creation up to batch n, in microseconds.
+    ``ids/slice=s/batch_id=n``: ids of ended surges that were created in slice s of time.
+    ``flushed/batch_id=n``: surges ended by ``flush_surges`` after batch n.
+    """
+
+    path: str
+    slice_seconds: int = 60
+    remember_seconds: int = 86_400
+
+    @property
+    def width(self) -> int:
+        return self.slice_seconds * 1_000_000
+
+    def rows(self, batch_id: int) -> str:
+        return f"{self.path}/rows/batch_id={batch_id}"
+
+    def live(self, batch_id: int) -> str:
+        return f"{self.rows(batch_id)}/over=false"
+
+    def clock(self, batch_id: int) -> str:
+        return f"{self.path}/clock/batch_id={batch_id}"
+
+    def ids(self, slice_: int) -> str:
+        return f"{self.path}/ids/slice={slice_}"
+
+    def horizon(self, clock: int | None) -> int | None:
+        """The first slice that is still remembered."""
+        return None if clock is None else (clock - self.remember_seconds * 1_000_000) // self.width
+
+    def read_by(self, spark: SparkSession, batch_id: int, slices: list[int]) -> dict[str, list[str]]:
+        """The folders that a batch reads which holds surges of these slices."""
+        named = {"clock": [self.clock(batch_id - 1)], "live": [self.live(batch_id - 1)], "ids": [self.ids(s) for s in slices]}
+        return {what: [f for f in folders if folder_exists(spark, f)] for what, folders in named.items()}
+
+
+def _keep_ids(ended: DataFrame, tables: ExpiryTables, batch_id: int) -> None:
+    """Note the ids of ended surges by the slice of their creation, replacing this batch's own."""
+    created = F.floor(_micros("created_at") / tables.width).cast("long")
+    noted = ended.where("created_at IS NOT NULL").select(
+        "event_id", created.alias("slice"), F.lit(batch_id).cast("long").alias("batch_id")
+    )
+    noted.repartition("slice").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "slice", "batch_id"
+    ).parquet(f"{tables.path}/ids")
+
+
+def expiry_sink(
+    spark: SparkSession,
+    path: str,
+    params: SurgeParams = SurgeParams(),
+    slice_seconds: int = 60,
+    remember_seconds: int = 86_400,
+) -> BatchSink:
+    """Land the surges of each batch, and those still live before it, as over or live.
+
+    The clock is the newest creation seen so far; a row without ``event_id`` moves it and is
+    no surge. A batch reads the live surges of the one before it and the ended ids of the
+    slices of time that its own surges were created in, whatever the age of the stream; ids
+    more than ``remember_seconds`` behind the clock are deleted. A surge delivered again
+    counts once while it is live or remembered. A late surge ends at once. A batch that runs
+    again replaces its own rows only. Surges without creation are live until the flush.
     """
+    tables = ExpiryTables(path, slice_seconds, remember_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, clock = batch, F.max("created_at")
-        before = _landed_surges(spark, path)
-        if before is not None:
-            before = before.where(F.col("batch_id") < batch_id)
-            ended = before.where("over").select("event_id").distinct()
-            live = before.where((F.col("batch_id") == batch_id - 1) & ~F.col("over")).select(batch.columns)
-            rows = batch.unionByName(live).join(ended, "event_id", "left_anti").select(batch.columns)
-            earlier = before.agg(F.max("clock").alias("clock")).first()["clock"]
-            clock = F.greatest(F.max("created_at"), F.lit(earlier).cast("timestamp"))
-        now = batch.agg(clock.alias("clock")).first()["clock"]
-        due = F.col("created_at") + F.make_dt_interval(secs=F.lit(params.lifetime_seconds))
-        moment = F.lit(now).cast("timestamp")
-        marked = rows.dropDuplicates(["event_id"]).withColumns(
-            {"clock": moment, "over": F.coalesce(due <= moment, F.lit(False))}
-        )
-        marked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        slice_of = F.floor(_micros("created_at") / tables.width).cast("long")
+        facts = batch.agg(
+            F.max(_micros("created_at")).alias("clock"),
+            F.collect_set(F.when(F.col("event_id").isNotNull(), slice_of)).alias("slices"),
+        ).first()
+        earlier = None
+        if batch_id and folder_exists(spark, tables.clock(batch_id - 1)):
+            earlier = spark.read.schema("clock long").parquet(tables.clock(batch_id - 1)).first()["clock"]
+        now = max((c for c in (facts["clock"], earlier) if c is not None), default=None)
+        slices = set(facts["slices"])
+        if earlier is not None:  # of the surges that are live
+            slices |= set(range((earlier - params.lifetime_seconds * 1_000_000) // tables.width, earlier // tables.width + 1))
+        folders = tables.read_by(spark, batch_id, sorted(slices))
+
+        rows = batch.where(F.col("event_id").isNotNull())
+        if folders["live"]:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(*folders["live"]))
+        if folders["ids"]:
+            ended = spark.read.schema("event_id string, slice long, batch_id long").option("basePath", f"{path}/ids")
+            ended = ended.parquet(*folders["ids"]).where(F.col("batch_id") < batch_id).select("event_id")
+            rows = rows.join(ended, "event_id", "left_anti").select(batch.columns)
+        due = _micros("created_at") + params.lifetime_seconds * 1_000_000
+        over = F.coalesce(due <= F.lit(now).cast("long"), F.lit(False))
+        marked = rows.dropDuplicates(["event_id"]).withColumn("over", over)
+        marked.write.mode("overwrite").partitionBy("over").parquet(tables.rows(batch_id))
+        _keep_ids(spark.read.schema(marked.schema).parquet(tables.rows(batch_id)).where("over"), tables, batch_id)
+        spark.createDataFrame([(now,)], "clock long").write.mode("overwrite").parquet(tables.clock(batch_id))
+
+        if batch_id > 1:
+            drop_folder(spark, tables.live(batch_id - 2))
+            drop_folder(spark, tables.clock(batch_id - 2))
+        if earlier is not None:
+            for gone in range(tables.horizon(earlier), min(tables.horizon(now), earlier // tables.width + 1)):
+                drop_folder(spark, tables.ids(gone))
 
     return write
 
 
-def flush_surges(spark: SparkSession, path: str) -> None:
-    """End the surges that were live after the last batch. For a stream that has stopped."""
-    landed = _landed_surges(spark, path)
-    last = landed.agg(F.max("batch_id").alias("last")).first()["last"] if landed is not None else None
+def flush_surges(spark: SparkSession, path: str, slice_seconds: int = 60) -> DataFrame | None:
+    """End the surges that were live after the last batch and return them, or nothing if no
+    batch has landed. For a stream that has stopped; it may run again afterwards, and a
+    flush that is repeated ends no surge twice."""
+    clocks = _landed(spark, f"{path}/clock")
+    last = clocks.agg(F.max("batch_id").alias("last")).first()["last"] if clocks is not None else None
     if last is None:
-        return
-    left = landed.where((F.col("batch_id") == last) & ~F.col("over")).drop("batch_id")
-    left.withColumn("over", F.lit(True)).write.mode("overwrite").parquet(f"{path}/batch_id={last + 1}")
+        return None
+    tables = ExpiryTables(path, slice_seconds)
+    target = f"{path}/flushed/batch_id={last}"
+    if folder_exists(spark, tables.live(last)):
+        left = spark.read.parquet(tables.live(last))
+        left.write.mode("overwrite").parquet(target)
+        # Before any batch, so that one that runs again knows them.
+        _keep_ids(spark.read.schema(left.schema).parquet(target), tables, -1)
+        drop_folder(spark, tables.live(last))
+    return spark.read.parquet(target) if folder_exists(spark, target) else None
 
 
 def landed_ends(spark: SparkSession, path: str) -> DataFrame:
     """The ended surges that ``expiry_sink`` and ``flush_surges`` landed."""
-    return spark.read.parquet(path).where("over").drop("batch_id", "clock", "over")
+    ended = spark.read.parquet(f"{path}/rows").where(F.col("over").cast("boolean")).drop("batch_id", "over")
+    flushed = _landed(spark, f"{path}/flushed")
+    return ended if flushed is None else ended.unionByName(flushed.drop("batch_id"))
+
+
+def ended_in(spark: SparkSession, path: str, batch_id: int, like: DataFrame) -> DataFrame:
+    """The surges that one batch ended, with the columns of ``like``."""
+    folder = f"{ExpiryTables(path).rows(batch_id)}/over=true"
+    found = spark.read.schema(like.schema)
+    return found.parquet(folder) if folder_exists(spark, folder) else spark.createDataFrame([], like.schema)

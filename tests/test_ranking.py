@@ -82,3 +82,30 @@ def test_ranked_top_k(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "name string, n int")
     top = ranking.ranked_top_k(df, 2, F.desc("n"), F.col("name"))
     assert [tuple(r) for r in top.collect()] == [("b", 3, 1), ("c", 3, 2)]
+
+
+def test_numbers_of_any_size_are_split_evenly(spark):
+    """A third of the rows share a score and the beginning of their names."""
+    rows = [(50.0 if k % 3 else k / 1000, f"Brand#{k % 700:04d}", k % 5) for k in range(6000)]
+    frame = spark.createDataFrame(rows, "timeless_score double, genre string, kind int").repartition(6)
+    numbered = ranking.number_rows(frame, F.col("timeless_score").desc(), F.col("genre"), parts=48)
+    got = sorted(numbered.collect(), key=lambda r: r["ranking"])
+    assert [r["ranking"] for r in got] == list(range(1, 6001))
+    assert [(r[0], r[1]) for r in got] == sorted(((r[0], r[1]) for r in rows), key=lambda r: (-r[0], r[1]))
+    parts = ranking._in_order(frame, [F.col("timeless_score").desc(), F.col("genre")], 48)
+    largest = parts.groupBy(F.shiftright("_id", 33)).count().agg(F.max("count")).first()[0]
+    assert largest <= 0.05 * 6000
+
+
+def test_equal_rows_are_no_single_part(spark):
+    frame = spark.range(4000, numPartitions=8).select(F.lit(1.0).alias("s"), F.lit("x").alias("genre"))
+    parts = ranking._in_order(frame, [F.col("s").desc(), F.col("genre")], 32)
+    assert parts.groupBy(F.shiftright("_id", 33)).count().count() >= 2
+    assert sorted(r["ranking"] for r in ranking.rank_by_score(frame, "s").collect()) == list(range(1, 4001))
+
+
+def test_ranking_of_nothing_and_of_nulls(spark):
+    schema = "timeless_score double, genre string"
+    assert ranking.rank_by_score(spark.createDataFrame([], schema)).collect() == []
+    found = ranking.rank_by_score(spark.createDataFrame([(None, "a"), (1.0, None), (1.0, "b")], schema)).collect()
+    assert {(r[0], r[1]): r[2] for r in found} == {(1.0, None): 1, (1.0, "b"): 2, (None, "a"): 3}
