@@ -62,14 +62,19 @@ def trend_partials(
     )
 
 
-def merge_trends(partials: DataFrame) -> DataFrame:
-    """Figures of ``genre_trends`` from landed partials; artists are estimated."""
-    merged = partials.groupBy("genre", "time_window").agg(
+def added_partials(partials: DataFrame) -> DataFrame:
+    """One row of sums per genre and window, for partials to be merged again."""
+    return partials.groupBy("genre", "time_window").agg(
         *[F.sum(name).alias(name) for name in ("song_count", "known", "total", "squares")],
         F.max("max_popularity").alias("max_popularity"),
         F.min("min_popularity").alias("min_popularity"),
         F.hll_union_agg("artists").alias("artists"),
     )
+
+
+def merge_trends(partials: DataFrame) -> DataFrame:
+    """Figures of ``genre_trends`` from landed partials; artists are estimated."""
+    merged = added_partials(partials)
     known = F.col("known")
     spread = (known * F.col("squares") - F.col("total") * F.col("total")).cast("double")
     deviation = F.when(known > 1, F.sqrt(F.try_divide(spread, known.cast("double") * (known - 1))))

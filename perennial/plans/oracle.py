@@ -402,6 +402,7 @@ FROM windows""",
     "recent_trends": f"""WITH {_TREND_GROUPS}
 SELECT * FROM landed ORDER BY analysis_window DESC, genre, avg_popularity, song_count LIMIT 1000""",
     "stream_genre_trends": f"WITH {_TREND_GROUPS} SELECT * EXCLUDE (unique_artists), true AS artists_close FROM landed",
+    "stream_trend_updates": f"WITH {_TREND_GROUPS} SELECT * EXCLUDE (unique_artists), true AS artists_close FROM landed",
     "trend_rollup": f"""WITH {_TREND_GROUPS}
 SELECT genre, CAST(sum(CAST(avg_popularity AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS avg_popularity,
        CAST(sum(song_count) AS BIGINT) AS song_count

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
 from perennial.sources.song_files import read_song_files
-from perennial.streaming import expiry, landing, rescoring, timers
+from perennial.streaming import expiry, landing, levels, rescoring, timers
 from perennial.streaming.control import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -637,24 +638,59 @@ def _run(stream, sink, root, output_mode="append"):
     finish(landing.start_query(stream, sink, f"{root}/checkpoint", output_mode=output_mode))
 
 
-@query
-def stream_genre_trends(spark, sf_dir):
-    """Eight batches in no order of time; the estimated artists are held against the exact
-    ones, within 5 % or one."""
-    root = scratch_dir(spark, "trends")
-    songs = star.songs(spark, sf_dir).select("genre", "artist", "popularity", "processed_at")
-    songs.repartition(8).write.parquet(f"{root}/songs")
-    stream = spark.readStream.schema(songs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/songs")
-    _run(stream, landing.folder_sink(f"{root}/rows", trends.trend_partials), root)
-    merged = trends.trend_landing(trends.merge_trends(landing.landed(spark, f"{root}/rows")))
+def _artists_close(landed, songs):
+    """Landed trends; the estimated artists are held against the exact ones, within 5 % or one."""
     exact = trends.trend_landing(trends.genre_trends(songs, exact_artists=True)).select(
         "genre", "analysis_window", F.col("unique_artists").alias("exact")
     )
     close = F.abs(F.col("unique_artists") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
-    joined = merged.join(exact, ["genre", "analysis_window"]).withColumn("artists_close", close)
+    joined = landed.join(exact, ["genre", "analysis_window"]).withColumn("artists_close", close)
     return _doubles(joined.drop("unique_artists", "exact"))
 
 
+def _in_files(rows, root, files=8):
+    """A stream of ``rows`` in no order of time, a file at a time."""
+    rows.repartition(files).write.parquet(root)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+@query
+def stream_genre_trends(spark, sf_dir):
+    """Eight batches in no order of time, their sums merged three at a time."""
+    root = scratch_dir(spark, "trends")
+    songs = star.songs(spark, sf_dir).select("genre", "artist", "popularity", "processed_at")
+    stream = _in_files(songs, f"{root}/songs")
+    sink = levels.levelled_sink(spark, f"{root}/rows", trends.trend_partials, trends.added_partials, fanout=3)
+    _run(stream, sink, root)
+    merged = trends.merge_trends(levels.read_levels(spark, f"{root}/rows", fanout=3))
+    return _artists_close(trends.trend_landing(merged), songs)
+
+
+@query
+def stream_trend_updates(spark, sf_dir):
+    """Windows kept in the state and sent on as they change, in eight batches. The query stops
+    once a batch has landed but is not yet noted as done, starts again from its checkpoint, and
+    repeats it; the newest version of each window counts."""
+    root = scratch_dir(spark, "updates")
+    songs = star.songs(spark, sf_dir).select("genre", "artist", "popularity", "processed_at")
+    found = trends.genre_trends(_in_files(songs, f"{root}/songs"))
+    land = landing.folder_sink(f"{root}/rows", trends.trend_landing)
+
+    def stopping(batch, batch_id):
+        land(batch, batch_id)
+        if batch_id == 3:
+            raise RuntimeError("stopped after landing")
+
+    try:
+        _run(found, stopping, root, "update")
+    except StreamingQueryException as stopped:
+        if "stopped after landing" not in str(stopped):
+            raise
+    _run(found, land, root, "update")
+    newest = landing.latest_versions(landing.landed(spark, f"{root}/rows"), ["genre", "analysis_window"])
+    return _artists_close(newest, songs)
+
+
 @query
 def stream_song_landing(spark, sf_dir):
     root = scratch_dir(spark, "songs")
@@ -673,12 +709,6 @@ def stream_event_landing(spark, sf_dir):
     return landing.landed(spark, f"{root}/rows").drop("batch_id")
 
 
-def _in_files(rows, root, files=8):
-    """A stream of ``rows`` in no order of time, a file at a time."""
-    rows.repartition(files).write.parquet(root)
-    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(root)
-
-
 # The test events are a month in eight batches.
 _DAY = 86_400
 

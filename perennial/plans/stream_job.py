@@ -17,6 +17,7 @@ from perennial.session import build_session
 from perennial.sources import kafka
 from perennial.sources.tables import register_views
 from perennial.streaming import control, landing
+from perennial.streaming.levels import levelled_sink, read_levels
 from perennial.streaming.rescoring import rescoring_sink
 
 # Window state that outgrows the memory of the executors is kept on their disks.
@@ -52,7 +53,8 @@ def start_analytics(
 
     Tables and checkpoints share ``root``; starting over means a new root. Trends use
     the time in the message by default; pass ``processed_at`` for arrival time. They land
-    as sums per batch, however late a song is; ``landed_trends`` reads them. ``once`` reads
+    as sums per batch, however late a song is, which are merged by levels as the stream
+    goes on; ``landed_trends`` reads them. ``once`` reads
     what is there and ends. A replay that is sent twice lands twice unless ``unique_songs``
     drops the copies that arrive within the watermark. With ``jdbc_url`` songs and events
     are appended to the tables of that database as well.
@@ -74,7 +76,11 @@ def start_analytics(
         return landing.each(folder, landing.jdbc_sink(jdbc_url, name, shape)) if jdbc_url else folder
 
     jobs = {
-        "genre_trends": (landed_songs, landing.folder_sink(f"{root}/genre_trends", sums), "append"),
+        "genre_trends": (
+            landed_songs,
+            levelled_sink(spark, f"{root}/genre_trends", sums, trends.added_partials),
+            "append",
+        ),
         "song_analytics": (landed_songs, land("song_analytics"), "append"),
         "real_time_events": (events, land("real_time_events", envelope.event_landing), "append"),
         # A new day has scores although no song arrives; empty rows belong to no genre.
@@ -101,7 +107,7 @@ def start_analytics(
 
 def landed_trends(spark: SparkSession, root: str) -> DataFrame:
     """The trend table from the sums that ``start_analytics`` landed."""
-    return trends.trend_landing(trends.merge_trends(landing.landed(spark, f"{root}/genre_trends")))
+    return trends.trend_landing(trends.merge_trends(read_levels(spark, f"{root}/genre_trends")))
 
 
 def main() -> None:
