@@ -64,7 +64,7 @@ def op5_pareto_mix(spark, sf_dir):
 def op6_kneser_ney(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trusted = kneser_ney.trusted_ids(table(spark, sf_dir, "labels"))
-    return kneser_ney.judged(documents, trusted).select(
+    return kneser_ney.judged(documents, trusted, carried=("doc_id", "lang")).select(
         "row.doc_id", "row.lang", F.col("quality_words").alias("n_words"), "perplexity", "threshold",
         F.col("keep").alias("kept"),
     )
