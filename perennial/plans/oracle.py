@@ -559,6 +559,7 @@ _ORACLE["attribute_heatmap_edges"] = _ORACLE["attribute_heatmap"].replace(
 )
 
 _ORACLE["song_file_scan"] = _ORACLE["clean_songs"]
+_ORACLE["song_file_split_scan"] = _ORACLE["clean_songs"]
 _ORACLE["songs_in_year_order"] = f"""WITH {_RAW}
 SELECT CAST(coalesce(year, 9999) AS INTEGER) AS year, count(*) AS song_count, true AS in_order
 FROM raw WHERE line <> 5 GROUP BY 1"""

@@ -360,6 +360,18 @@ def song_file_scan(spark, sf_dir):
     return cleaning.clean_songs(read_song_files(spark, folder))
 
 
+@query
+def song_file_split_scan(spark, sf_dir):
+    """The same songs through one file, a column of quotes and line breaks beside them, that is
+    read in parts."""
+    folder = scratch_dir(spark, "files")
+    named = star.raw_songs(spark, sf_dir).withColumnsRenamed({c: h for h, c in SONG_FILE_COLUMNS.items()})
+    note = F.concat(F.lit('a "note",\n'), F.lit("of several lines\n\n"), F.col(named.columns[0]))
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    named.withColumn("Note", note).coalesce(1).write.options(header=True, escape='"', **blanks).csv(folder)
+    return cleaning.clean_songs(read_song_files(spark, folder, split=True))
+
+
 @query
 def songs_in_year_order(spark, sf_dir):
     """Places of the songs sorted by year: every year begins after the one before it."""

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perennial.schemas import SONG_FILE_COLUMNS
+from perennial.sources.quoted_lines import quoted_records
+
+_QUOTES = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
 
 
 def read_song_files(
@@ -14,6 +17,7 @@ def read_song_files(
     path: str,
     first_only: bool = False,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """All ``*.csv`` below ``path`` (or the one file it names), every cell as text.
 
@@ -22,7 +26,8 @@ def read_song_files(
     first file's. Lines with too few fields come back with NULL in the missing columns.
 
     Quoted line breaks are understood, at the price of one task per file. Very large files
-    that are known to hold none can be split with ``multi_line=False``.
+    are read in parts with ``split``, which understands them as well for one shuffle more, or,
+    if they are known to hold none, with ``multi_line=False``.
     """
 
     def reader():
@@ -41,10 +46,25 @@ def read_song_files(
     if missing:
         raise ValueError(f"{first} has no column {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
+    if split:
+        return _split_songs(spark, first if first_only else path, header, schema)
     songs = reader().schema(schema).option("enforceSchema", False).csv(first if first_only else path)
     return songs.select(*(F.col(f"`{name}`") for name in SONG_FILE_COLUMNS))
 
 
+def _split_songs(spark: SparkSession, path: str, header: list[str], schema: T.StructType) -> DataFrame:
+    records = quoted_records(spark, path).where("record <> ''")
+    fields = ", ".join(f"`{field.name}` string" for field in schema.fields)
+    cells = F.from_csv("record", F.lit(fields), _QUOTES)
+    plain = ", ".join(f"c{k} string" for k in range(len(header)))
+    heads = records.where("number = 1").select(F.from_csv("record", F.lit(plain), _QUOTES).alias("h"))
+    others = heads.where(F.array(*(F.col(f"h.c{k}") for k in range(len(header)))) != F.array(*map(F.lit, header)))
+    if others.limit(1).count():
+        raise ValueError(f"the files of {path} have different headers")
+    songs = records.where("number > 1").select(cells.alias("cells"))
+    return songs.select(*(F.col(f"cells.`{name}`").alias(name) for name in SONG_FILE_COLUMNS))
+
+
 def table_from_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
     """Small in-memory table with inferred types."""
     return spark.createDataFrame(rows, names)
