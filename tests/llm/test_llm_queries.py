@@ -16,7 +16,7 @@ LARGER = "/root/testdata/sf0.01"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
-ROWS_OF = {1: "embeddings", 2: "documents", 3: "documents", 5: "documents", 6: "documents", 7: "documents", 8: "pages", 10: "conversations"}
+ROWS_OF = {1: "embeddings", 2: "documents", 3: "documents", 5: "documents", 6: "documents", 7: "documents", 8: "pages", 10: "conversations", 11: "documents", 12: "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
