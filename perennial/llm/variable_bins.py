@@ -3,8 +3,10 @@
 Lengths are words. A document longer than the largest capacity is split into whole
 capacities and a rest, without loss. The table is dealt by a hash into groups of about
 ``group_words`` words; each group is packed by best-fit decreasing over all its open bins,
-a new bin being opened at the capacity of least cost for what is still to come, and every
-bin is cut down at the end to the smallest capacity that holds it. Only ids and lengths are
+a new bin being opened at the capacity of least cost per word that it will hold, by the
+lengths still to come, and every bin is cut down at the end to the smallest capacity that
+holds it. A sequence costs its words, their square over ``square_words`` (attention) and a
+fixed part, so neither the longest nor the shortest capacity is always the cheapest. Only ids and lengths are
 shuffled. A group leaves no more than a few bins partly filled, so groups cost next to
 nothing against packing all documents at once, which no single task could hold.
 """
@@ -24,8 +26,9 @@ from perennial.llm.shared import settle, word_count
 @dataclass(frozen=True)
 class Capacities:
     words: tuple[int, ...] = (256, 512, 1024, 2048)
-    # Cost of a bin besides its words, so that few long bins are preferred to many short ones.
+    # Cost of a bin besides its words: the fixed part favours long bins, the square short ones.
     bin_cost: int = 32
+    square_words: float = 8192
     group_words: int = 1 << 22
 
 
@@ -48,7 +51,7 @@ def _pack_group(params: Capacities):
             for k, size in enumerate(sizes):
                 pieces.append((doc_id, k, len(sizes), size, at))
                 at += size
-        bin_of, offset, capacity = pack([p[3] for p in pieces], list(params.words), params.bin_cost)
+        bin_of, offset, capacity = pack([p[3] for p in pieces], list(params.words), params.bin_cost, params.square_words)
         used = [0] * len(capacity)
         for p, b in zip(pieces, bin_of, strict=True):
             used[b] += p[3]
