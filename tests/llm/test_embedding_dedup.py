@@ -1,8 +1,9 @@
 import math
 
 import numpy as np
+import pytest
 
-from perennial.llm.embedding_dedup import Itq, drop_near_vectors, near_vectors
+from perennial.llm.embedding_dedup import TABLE_BITS, Itq, drop_near_vectors, fit, near_vectors, sign_codes
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -83,3 +84,53 @@ def test_small_sample_still_finds(spark):
     rows = vectors(seed=3)
     got, want = found(near_vectors(spark.createDataFrame(rows, SCHEMA), Itq(sample=20))), brute(rows)
     assert sum(n for n, _c in got.values()) >= 0.95 * sum(n for n, _c in want.values())
+
+
+def _around_a_direction(share, n, dim=128, seed=5):
+    """Unit vectors whose mean has the squared norm ``share``."""
+    own = np.random.default_rng(seed).standard_normal((n, dim))
+    own[:, 0] = 0
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    rows = np.sqrt(1 - share) * own
+    rows[:, 0] = np.sqrt(share)
+    return rows
+
+
+@pytest.mark.parametrize("share", [0.0, 0.5, 0.7, 0.8, 0.9])
+def test_codes_meet_at_the_least_cosine_whatever_the_mean(share):
+    rows = _around_a_direction(share, 6000)
+    model = fit(rows[:3000], Itq(rounds=20))
+    # Pairs not seen by the fit, at raw cosine 0.93 to 0.95, both about the common direction.
+    random = np.random.default_rng(9)
+    x, cosine = rows[3000:], random.uniform(0.93, 0.95, 3000)
+    own = x.copy()
+    own[:, 0] = 0
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    across = random.standard_normal(own.shape)
+    across[:, 0] = 0
+    across -= (across * own).sum(axis=1, keepdims=True) * own
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    inner = ((cosine - share) / (1 - share))[:, None]
+    y = np.sqrt(1 - share) * (inner * own + np.sqrt(1 - inner * inner) * across)
+    y[:, 0] = np.sqrt(share)
+    assert np.allclose((x * y).sum(axis=1), cosine)
+    met, differing = np.zeros(len(x), dtype=bool), np.zeros(len(x))
+    for projection in model.projections:
+        apart = sign_codes(x, model.mean, projection) ^ sign_codes(y, model.mean, projection)
+        for k in range(4):
+            bits = np.bitwise_count((apart >> np.uint64(TABLE_BITS * k)) & np.uint64(0xFFFF))
+            met |= bits <= 2
+            differing += bits
+    assert (met & (differing <= model.max_differing)).mean() >= 0.99
+    assert share > 0 or len(model.projections) == 1
+
+
+@pytest.mark.parametrize("share", [0.6, 0.97])
+def test_links_of_vectors_about_a_direction(spark, share):
+    base = _around_a_direction(share, 60, dim=32)
+    noise = np.random.default_rng(3).standard_normal(base.shape) * 0.05
+    every = np.concatenate([base, base + noise])
+    rows = [(k, v.astype(np.float32).tolist(), 1) for k, v in enumerate(every)]
+    got, want = found(near_vectors(spark.createDataFrame(rows, SCHEMA))), brute(rows)
+    recall = sum(n for n, _c in got.values()) / sum(n for n, _c in want.values())
+    assert recall >= 0.99 and all(got[v][0] <= want[v][0] for v in got)
