@@ -584,6 +584,13 @@ SELECT 'popularity_surge' AS event_type, count(*) AS event_count, count(*) AS id
        CAST(sum(boost_amount) AS BIGINT) AS boost, true AS stamped FROM surges
 UNION ALL SELECT 'timeout_rollback', count(*), 0, NULL, true FROM surges"""
 
+_ORACLE["replay_order"] = f"""WITH {_RAW}, sent AS ({_CLEAN_SELECT} AND year IS NOT NULL)
+SELECT year, count(*) AS message_count, true AS in_order, true AS split FROM sent GROUP BY year"""
+_ORACLE["stream_progress_log"] = f"""WITH {SURGES}
+SELECT 'events' AS name, CAST(8 AS BIGINT) AS batches, count(*) AS input_rows, true AS all_landed, true AS ended,
+       false AS failed, false AS failure_noted FROM surges
+UNION ALL SELECT 'songs', 3, NULL, true, true, true, true"""
+
 _ORACLE["report_totals"] = _ORACLE["catalog_totals"]
 _ORACLE["report_event_details"] = _ORACLE["event_details"]
 _ORACLE["report_trend_rollup"] = _ORACLE["trend_rollup"]

@@ -26,13 +26,14 @@ from perennial.operators import (
     trends,
 )
 from perennial.params import RECENT_EVENTS, RECENT_SONGS, RECENT_TRENDS, ScoringParams
+from perennial.plans.replay_job import in_year_order, replay_messages
 from perennial.plans.report_job import report_tables
 from perennial.schemas import LANDING_TABLES, SONG_FILE_COLUMNS, SONG_MESSAGE
 from perennial.session import scratch_dir, tune
 from perennial.sources import star_tables as star
 from perennial.sources import tables
 from perennial.sources.song_files import read_song_files
-from perennial.streaming import expiry, landing, levels, rescoring, timers
+from perennial.streaming import expiry, landing, levels, progress, rescoring, timers
 from perennial.streaming.control import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,27 @@ def replayable_songs(spark, sf_dir):
     return cleaning.fill_defaults(cleaning.replayable_songs(prepared)).drop("index")
 
 
+@query
+def replay_order(spark, sf_dir):
+    """Places of the replay's messages: a year after the other, none with more than two
+    tasks' rows in one task."""
+    per_task = 5000
+    sent = in_year_order(replay_messages(star.raw_songs(spark, sf_dir)), per_task)
+    placed = sent.select("year", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("place"))
+    pieces = placed.groupBy("year", "task").agg(
+        F.count(F.lit(1)).alias("n"), F.min("place").alias("first"), F.max("place").alias("last")
+    )
+    years = pieces.groupBy("year").agg(
+        F.sum("n").alias("message_count"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        (F.max("n") <= 2 * per_task).alias("split"),
+    )
+    # One row per calendar year.
+    before = F.coalesce(F.lag("last").over(Window.orderBy("year")), F.lit(-1))
+    return years.select("year", "message_count", (F.col("first") > before).alias("in_order"), "split")
+
+
 @query
 def strict_filter(spark, sf_dir):
     return filters.with_decade(filters.strict_filter(star.songs(spark, sf_dir)))
@@ -703,6 +725,56 @@ def stream_trend_updates(spark, sf_dir):
     return _artists_close(newest, songs)
 
 
+@query
+def stream_progress_log(spark, sf_dir):
+    """Two streams whose progress lands as a table: eight batches of events, and songs whose
+    fourth batch fails."""
+    root = scratch_dir(spark, "progress")
+    songs = star.songs(spark, sf_dir).select("title", "genre", "popularity")
+    events = star.song_events(spark, sf_dir).select("event_id", "boost_amount")
+    land = landing.folder_sink(f"{root}/rows/name=songs")
+
+    def failing(batch, batch_id):
+        if batch_id == 3:
+            raise RuntimeError("fourth batch")
+        land(batch, batch_id)
+
+    log = progress.ProgressLog(spark, f"{root}/log")
+    spark.streams.addListener(log)
+    try:
+        runs = [
+            landing.start_query(_in_files(rows, f"{root}/{name}"), sink, f"{root}/{name}_checkpoint", name=name)
+            for name, rows, sink in (
+                ("songs", songs, failing),
+                ("events", events, landing.folder_sink(f"{root}/rows/name=events")),
+            )
+        ]
+        for run in runs:
+            try:
+                finish(run)
+            except StreamingQueryException as stopped:
+                if "fourth batch" not in str(stopped):
+                    raise
+        log.wait_for_end([run.runId for run in runs])
+    finally:
+        spark.streams.removeListener(log)
+    counts = [
+        landing.landed(spark, f"{root}/rows/name={name}").agg(F.count(F.lit(1)).alias("landed_rows")).withColumn("name", F.lit(name))
+        for name in ("songs", "events")
+    ]
+    states = progress.run_states(progress.progress_rows(spark, f"{root}/log"))
+    states = states.join(counts[0].unionByName(counts[1]), "name")
+    return states.select(
+        "name",
+        "batches",
+        F.when(~F.col("failed"), F.col("input_rows")).alias("input_rows"),
+        (F.col("input_rows") == F.col("landed_rows")).alias("all_landed"),
+        "ended",
+        "failed",
+        F.coalesce(F.col("failure").contains("fourth batch"), F.lit(False)).alias("failure_noted"),
+    )
+
+
 @query
 def stream_song_landing(spark, sf_dir):
     root = scratch_dir(spark, "songs")

@@ -16,6 +16,8 @@ from perennial.session import build_session, scratch_dir
 from perennial.sources import kafka
 from perennial.sources.song_files import read_song_files
 
+ROWS_PER_TASK = 500_000
+
 
 def replay_messages(raw: DataFrame, sent_at: Column | None = None) -> DataFrame:
     """Key, message and year of every song that belongs to a year."""
@@ -29,17 +31,25 @@ def write_replay(messages: DataFrame, path: str) -> None:
     messages.write.mode("errorifexists").partitionBy("year").json(path)
 
 
+def in_year_order(messages: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The messages in ascending order of year, over tasks and within them.
+
+    Tasks hold ranges of (year, hash of the row's place), so a year with most of the songs is
+    split over as many tasks as any other rows, and repeated messages are split as well.
+    """
+    tasks = max(1, -(-messages.count() // rows_per_task))
+    dealt = messages.withColumn("_deal", F.xxhash64(F.monotonically_increasing_id()))
+    return dealt.repartitionByRange(tasks, "year", "_deal").sortWithinPartitions("year").drop("_deal")
+
+
 def send_by_year(spark: SparkSession, folder: str, servers: str, topic: str) -> None:
-    """Send a replay folder year by year, one job per calendar year.
+    """Send a replay folder in one job whose tasks start in order of year.
 
-    Each job reads its own year's folder only. Sorting all messages by year instead
-    would put a year with most of the songs into one task.
+    Tasks that run at the same time may hold neighbouring years; a topic keeps the order in
+    which they arrive.
     """
-    messages = spark.read.json(folder)
-    years = messages.select("year").distinct().orderBy("year").collect()
-    for row in years:
-        one_year = messages.where(F.col("year") == row["year"]).select("key", "value")
-        kafka.write_messages(one_year, servers, topic)
+    ordered = in_year_order(spark.read.json(folder))
+    kafka.write_messages(ordered.select("key", "value"), servers, topic)
 
 
 def main() -> None:

@@ -1,15 +1,17 @@
 import os
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from perennial.operators import cleaning
-from perennial.plans.replay_job import replay_messages, write_replay
+from perennial.plans.replay_job import in_year_order, replay_messages, write_replay
 from perennial.schemas import NUMBER_DEFAULTS, SONG_FILE_COLUMNS
 from perennial.sources.song_files import read_song_files, table_from_rows
 
 HEADER = ",".join(SONG_FILE_COLUMNS)
 LINES = [
-    '1,Sunrise,Norah Jones,adult standards,2004,157,30,53,-14,11,68,201,94,3,71',
+    '1,Sunrise,Lake Choir,adult standards,2004,157,30,53,-14,11,68,201,94,3,71',
     '2,"Hello, Goodbye",  The Band ,Album Rock,1967,100,50,50,-8,10,50,"1,412",20,5,60',
     '3,Fraction,Artist,rock,1990,120,50,50,-6.9,10,50,12.7,20,5,60',
     '4,Missing,,rock,1990,120,50,50,-6,10,50,200,20,5,60',
@@ -80,7 +82,7 @@ def test_columns_are_found_by_name(spark, tmp_path):
     cells = dict(zip(names, LINES[0].split(","), strict=True)) | {"More": "x"}
     (tmp_path / "s.csv").write_text(",".join(swapped) + "\n" + ",".join(cells[n] for n in swapped) + "\n")
     row = read_song_files(spark, str(tmp_path)).first()
-    assert list(row.asDict()) == names and (row["Title"], row["Artist"]) == ("Sunrise", "Norah Jones")
+    assert list(row.asDict()) == names and (row["Title"], row["Artist"]) == ("Sunrise", "Lake Choir")
 
 
 def test_missing_columns_and_other_headers_fail(spark, folder, tmp_path):
@@ -100,7 +102,24 @@ def test_replay_by_year(spark, folder, root):
     years = sorted(d for d in os.listdir(target) if d.startswith("year="))
     assert years == ["year=1967", "year=1990", "year=1991", "year=2004"]
     keys = {r["key"] for r in spark.read.json(target).select("key").collect()}
-    assert "Norah Jones_Sunrise" in keys
+    assert "Lake Choir_Sunrise" in keys
+
+
+def test_messages_in_year_order_split_hot_years(spark):
+    # Two thirds of the messages are of one year and alike.
+    rows = [("k", "same", 1990)] * 4000 + [(f"k{i}", f"v{i}", 1970 + i % 40) for i in range(2000)]
+    messages = spark.createDataFrame(rows, "key string, value string, year int").repartition(5)
+    ordered = in_year_order(messages, rows_per_task=500)
+    placed = ordered.select("*", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.key, r.value, r.year) for r in placed) == sorted(rows)
+    years = [r.year for r in placed]
+    assert years == sorted(years)
+    sizes = Counter(r.task for r in placed)
+    assert len(sizes) > 8 and max(sizes.values()) <= 1000
+
+
+def test_an_empty_replay(spark):
+    assert in_year_order(spark.createDataFrame([], "key string, value string, year int")).collect() == []
 
 
 def test_in_memory_table(spark):
