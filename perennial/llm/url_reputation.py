@@ -5,6 +5,10 @@ pages is drawn towards that of its registered domain, the domain's towards that
 suffix, the suffix's towards that of all. How strongly, the data say: the strength of each
 level's beta prior follows from how much its groups differ beyond chance. A host's verdict
 is by the lower bound of its beta posterior.
+
+Which names are suffixes is a table that the user gives, of any number of rows and labels;
+without one, a short list of two-label suffixes is used. Hosts are counted once and written,
+so the pages are read for the counts and for the verdicts only.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perennial.llm.shared import ascii_lower
+from perennial.llm.shared import ascii_lower, settle
 
 # The rules of the query, (host, path, verdict).
 RULES = (
@@ -47,15 +51,69 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def name_of(host: Column) -> Column:
+    """The host without user and port; hosts keep both, priors do not tell them apart."""
+    return F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*$", "")
+
+
+def is_address(name: Column) -> Column:
+    """Numbers of IPv4 or a name in brackets: no part of it is a domain."""
+    return name.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") | name.startswith("[")
+
+
+ADDRESS = "[address]"  # the suffix of all addresses
+
+
 def suffix_of(host: Column) -> Column:
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*LONG_SUFFIXES), last_two).otherwise(F.substring_index(host, ".", -1))
+    name = name_of(host)
+    last_two = F.substring_index(name, ".", -2)
+    known = F.when(last_two.isin(*LONG_SUFFIXES), last_two).otherwise(F.substring_index(name, ".", -1))
+    return F.when(is_address(name), ADDRESS).otherwise(known)
 
 
 def domain_of(host: Column) -> Column:
     """The suffix and one label more."""
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*LONG_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(last_two)
+    name = name_of(host)
+    last_two = F.substring_index(name, ".", -2)
+    known = F.when(last_two.isin(*LONG_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(last_two)
+    return F.when(is_address(name), name).otherwise(known)
+
+
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Add domain and suffix to rows of different hosts.
+
+    ``suffixes`` holds one column, suffix; the longest one that ends a host counts, and a
+    host that ends in none has its last label. NULL and empty suffixes are not used, repeated
+    ones count once, a leading dot is dropped; patterns are not understood. A host has as
+    many rows in the join as the longest suffix has labels.
+    """
+    if suffixes is None:
+        return hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    known = suffixes.select(F.ltrim(ascii_lower(F.col("suffix")), F.lit(".")).alias("__suffix")).distinct()
+    known = known.where("__suffix <> ''")
+    most = known.agg(F.coalesce(F.max(F.size(F.split("__suffix", r"\."))), F.lit(1))).scalar()
+    labels, size = F.split(name_of(F.col("host")), r"\."), F.size("__labels")
+    named = hosts.select("host", labels.alias("__labels")).withColumn("__most", F.least(size, most))
+    ends = F.transform(
+        F.sequence(F.lit(1), "__most"),
+        lambda n: F.array_join(F.slice("__labels", size - n + 1, n), "."),
+    )
+    ends = named.select("host", F.explode(ends).alias("__suffix")).join(known, "__suffix")
+    longest = ends.groupBy("host").agg(F.max(F.size(F.split("__suffix", r"\."))).alias("__long"))
+    out = hosts.withColumn("__labels", labels).join(longest, "host", "left")
+    long = F.coalesce("__long", F.lit(1))
+
+    def last(n: Column) -> Column:
+        n = F.least(size, n)
+        return F.array_join(F.slice("__labels", size - n + 1, n), ".")
+
+    address = is_address(name_of(F.col("host")))
+    return out.withColumns(
+        {
+            "domain": F.when(address, name_of(F.col("host"))).otherwise(last(long + 1)),
+            "suffix": F.when(address, ADDRESS).otherwise(last(long)),
+        }
+    ).drop("__labels", "__long")
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -93,11 +151,12 @@ def _strength(groups: DataFrame, params: Reputation) -> Column:
     return sums.select(F.coalesce(bounded, F.lit(params.strongest)).alias("strength")).scalar()
 
 
-def reputations(hosts: DataFrame, params: Reputation = Reputation()) -> DataFrame:
+def reputations(
+    hosts: DataFrame, params: Reputation = Reputation(), suffixes: DataFrame | None = None
+) -> DataFrame:
     """(host, n, good, mean, bound) from (host, n, good), one row per host; n may be 0."""
-    placed = hosts.select(
-        "host", "n", "good", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")
-    )
+    # Priors and their strengths read it several times.
+    placed = settle(with_domains(hosts.select("host", "n", "good"), suffixes), "hosts")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     domains = placed.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
@@ -122,7 +181,11 @@ def reputations(hosts: DataFrame, params: Reputation = Reputation()) -> DataFram
 
 
 def judged_urls(
-    pages: DataFrame, outcomes: DataFrame, rules=RULES, params: Reputation = Reputation()
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules=RULES,
+    params: Reputation = Reputation(),
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, host_labelled) for every row of ``pages``.
 
@@ -130,7 +193,8 @@ def judged_urls(
     not used, several outcomes of a page all count). Further columns are not read. A NULL
     url, or one without ``://``, has an empty host and path, which is a host like any other.
     Repeated rows are judged alike, a labelled page that is repeated counts as often. Hosts
-    without labels take the prior of their domain. An empty table gives an empty table.
+    without labels take the prior of their domain; an address is a domain of its own.
+    ``suffixes`` is a table as in ``with_domains``. An empty table gives an empty table.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     marks = (
@@ -143,7 +207,7 @@ def judged_urls(
         .groupBy("host")
         .agg(F.coalesce(F.sum("labels"), F.lit(0)).alias("n"), F.coalesce(F.sum("goods"), F.lit(0)).alias("good"))
     )
-    known = reputations(hosts, params)
+    known = reputations(hosts, params, suffixes)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") >= params.min_good, "allow").otherwise("block")
     return rows.join(known, "host").select(
@@ -156,9 +220,15 @@ def judged_urls(
     )
 
 
-def keep_allowed(pages: DataFrame, outcomes: DataFrame, rules=RULES, params: Reputation = Reputation()) -> DataFrame:
+def keep_allowed(
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules=RULES,
+    params: Reputation = Reputation(),
+    suffixes: DataFrame | None = None,
+) -> DataFrame:
     """The rows of ``pages`` whose url is allowed, all columns as given."""
-    verdicts = judged_urls(pages.select("page_id", "url"), outcomes, rules, params)
+    verdicts = judged_urls(pages.select("page_id", "url"), outcomes, rules, params, suffixes)
     allowed = verdicts.where("verdict = 'allow'").select("page_id", "host", "path").distinct()
     allowed = allowed.select(F.col("page_id").alias("__page"), F.col("host").alias("__host"), F.col("path").alias("__path"))
     rows = pages.select(

@@ -7,6 +7,7 @@ from perennial.llm.url_reputation import (
     keep_allowed,
     reputations,
     suffix_of,
+    with_domains,
 )
 
 PAGES = "page_id long, url string"
@@ -49,6 +50,55 @@ def test_suffixes(spark):
     assert got == [("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("y.org", "org"), ("org", "org"), ("", "")]
 
 
+def test_ports_users_and_addresses(spark):
+    cases = {
+        "b.co.uk:8080": ("b.co.uk", "co.uk"),
+        "me:pass@a.x.org": ("x.org", "org"),
+        "10.0.0.7": ("10.0.0.7", "[address]"),
+        "10.0.0.7:80": ("10.0.0.7", "[address]"),
+        "[::1]:80": ("[::1]", "[address]"),
+        "1.2.3.4.org": ("4.org", "org"),
+        "b:": ("b", "b"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in cases], "host string")
+    for suffixes in (None, spark.createDataFrame([("co.uk",), ("org",)], "suffix string")):
+        got = {r.host: (r.domain, r.suffix) for r in with_domains(hosts, suffixes).collect()}
+        assert got == cases
+
+
+def test_a_table_of_suffixes(spark):
+    given = ["org", ".GitHub.io", "io", "co.il", "a.b.c.jp", None, "", "org"]
+    hosts = ["me.github.io", "x.me.github.io", "github.io", "y.io", "z.q.co.il", "w.a.b.c.jp", "b.c.jp",
+             "x.unknown", "", "..", ".".join(["a"] * 3000) + ".org"]
+
+    def brute(host):
+        labels, known = host.split("."), {(g or "").lower().lstrip(".") for g in given} - {""}
+        long = max([n for n in range(1, len(labels) + 1) if ".".join(labels[-n:]) in known], default=1)
+        return ".".join(labels[-long - 1 :]), ".".join(labels[-long:])
+
+    table = spark.createDataFrame([(g,) for g in given], "suffix string")
+    frame = spark.createDataFrame([(h, i) for i, h in enumerate(hosts)], "host string, n int")
+    got = {r.host: (r.domain, r.suffix) for r in with_domains(frame, table).collect()}
+    assert got == {h: brute(h) for h in hosts}
+    none = with_domains(frame, table.where("false")).where("host = 'z.q.co.il'").first()
+    assert (none.domain, none.suffix) == ("co.il", "il")
+
+
+def test_a_suffix_table_parts_the_tenants_of_a_shared_host(spark):
+    urls = [f"http://good.pages.io/{i}" for i in range(60)] + [f"http://bad.pages.io/{i}" for i in range(60)]
+    urls += ["http://www.good.pages.io/", "http://www.bad.pages.io/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), PAGES)
+    outcomes = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], OUTCOMES)
+    table = spark.createDataFrame([("pages.io",), ("io",)], "suffix string")
+    got = {r.host: r.verdict for r in judged_urls(pages, outcomes, suffixes=table).collect()}
+    assert got["good.pages.io"] == "allow" and got["bad.pages.io"] == got["www.bad.pages.io"] == "block"
+    hosts = [("good.pages.io", 60, 60), ("bad.pages.io", 60, 0), ("www.good.pages.io", 0, 0), ("www.bad.pages.io", 0, 0)]
+    hosts = spark.createDataFrame(hosts, "host string, n long, good long")
+    for suffixes, parted in ((table, True), (None, False)):
+        mean = {r.host: r.mean for r in reputations(hosts, suffixes=suffixes).collect()}
+        assert (mean["www.good.pages.io"] > mean["www.bad.pages.io"] + 0.2) == parted
+
+
 def test_shares_are_drawn_towards_the_domain(spark):
     hosts = [(f"h{i}.good.com", 40, 39) for i in range(8)] + [(f"h{i}.bad.com", 40, 2) for i in range(8)]
     hosts += [("new.good.com", 0, 0), ("new.bad.com", 0, 0), ("one.bad.com", 1, 1), ("other.org", 0, 0)]
