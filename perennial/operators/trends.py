@@ -128,8 +128,9 @@ def popularity_over_time(
 ) -> DataFrame:
     """Mean popularity per time bucket for the genres with the most songs.
 
-    Songs are summed once per bucket and genre; the leaders come from the same sums, so
-    the songs are read once.
+    Songs are summed once per bucket and genre; the leaders come from the same sums. Both
+    uses need all columns of the sums (genres differ, so what follows them in the order
+    decides nothing): the shuffled sums are then the same and the songs are read once.
     """
     sums = (
         songs.where(F.col("genre").isNotNull())
@@ -140,11 +141,14 @@ def popularity_over_time(
             F.count("popularity").alias("_known"),
         )
     )
-    counted = sums.groupBy("genre").agg(F.sum("_rows").alias("count"))
-    leaders = top_k(counted, k, F.desc("count"), F.col("genre")).select("genre")
-    return sums.join(leaders, "genre", "left_semi").select(
-        "time_bucket", "genre", F.try_divide("_sum", F.col("_known")).alias("popularity")
+    counted = sums.groupBy("genre").agg(
+        F.sum("_rows").alias("count"), F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known")
     )
+    order = [F.desc("count"), F.col("genre"), F.col("_sum"), F.col("_known")]
+    leaders = top_k(counted, k, *order).select("genre")
+    mean = F.when(F.col("_rows") > 0, F.try_divide("_sum", F.col("_known")))
+    # A semi join would be moved below the sums, which would then differ.
+    return sums.join(leaders, "genre").select("time_bucket", "genre", mean.alias("popularity"))
 
 
 AUDIO_FEATURES = ("energy", "danceability", "valence", "acousticness")
