@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text.
 
-An interpolated modified Kneser-Ney model of word n-grams is trained on a bounded sample
-of trusted documents. Counts, continuation counts, discounts and back-off weights come
+An interpolated modified Kneser-Ney model of word n-grams is trained on all trusted
+documents. Counts, continuation counts, discounts and back-off weights come
 from grouped counts and joins that Spark shards by n-gram. The log probability of a text
 is brought into a form that adds up over its n-grams: each n-gram of the model carries
 what its presence adds to the score of its shorter suffix,
@@ -11,16 +11,18 @@ what its presence adds to the score of its shorter suffix,
 and every occurrence as a context adds log backoff(h). An n-gram outside the model adds
 nothing, so a text's score is its n-grams joined with the model, summed.
 
-The model stays a table of n-gram codes. It is sent to the workers in passes of at most
-about ``pass_bytes``, dealt by code, and each task joins its texts' n-grams with the pass's
-part shard by shard (the high bits of the n-gram's code). A score is a sum over n-grams, so
-the passes add up, and neither the driver nor a worker ever holds more than one pass. A pass
-reads the texts and writes sums beside two hashes that name the text; the sums meet the
+The model stays a table of n-gram codes, which grows with the trusted text. Its most
+frequent n-grams, at most ``pass_bytes`` of them, are sent to the workers, and each task looks
+its texts' n-grams up there, shard by shard (the high bits of the n-gram's code). The n-grams
+that are not found meet the rest of the model in a join by code. A score is a sum over
+n-grams, so both parts add up, and neither the driver nor a worker ever holds more than the
+frequent ones. Texts stay where they are: two hashes name them, and the sums meet the
 documents once, at the end.
 
 Perplexities of short texts are drawn towards their language's mean by ``prior_words``
-words. The threshold of a language is a quantile over its trusted documents in the sample,
-each scored by a model that was trained without its fold (cross-fitting). Mean and quantile are
+words. The threshold of a language is a quantile over its trusted documents, each scored by a
+model that was trained without its fold (cross-fitting); the model that judges the table is
+trained on all of them. Mean and quantile are
 drawn towards those of all languages by ``prior_documents`` documents, by the same rule for
 every language and every size of table; a threshold is never below the language's own
 quantile. Documents of a language without trusted text are kept.
@@ -49,9 +51,9 @@ END = np.uint64(0x5BE0CD19137E2179)
 @dataclass(frozen=True)
 class QualityModel:
     order: int = 3
-    # The fit reads about so many trusted documents per language at most, in ``calibrate``
-    # folds, each scored without itself.
-    sample_per_language: int = 800
+    # The fit reads all trusted documents, or about so many per language at most, in
+    # ``calibrate`` folds, each scored without itself.
+    sample_per_language: int | None = None
     calibrate: int = 3
     quantile: float = 0.995
     slack: float = 1.25  # on the logarithm's distance from the language's mean
@@ -106,7 +108,8 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def train(texts: DataFrame, params: QualityModel, scratch: list[DataFrame] | None = None) -> tuple[DataFrame, float]:
-    """The model's n-grams (order, w0.., gain, backoff) and the log of an unknown word.
+    """The model's n-grams (order, words, gain, backoff, n) and the log of an unknown word; n is
+    the count that the n-gram's order goes by, NULL for contexts of starts alone.
 
     ``scratch`` gets the settled tables that the n-grams are read from.
     """
@@ -159,20 +162,21 @@ def train(texts: DataFrame, params: QualityModel, scratch: list[DataFrame] | Non
                     F.log(
                         (F.col("n") - discount) / F.col("total") + F.exp(F.col("log_backoff") + F.col("log_lower"))
                     ).alias("log_p"),
+                    "n",
                     "log_backoff",
                     "log_lower",
                 )
                 .withColumn("gain", F.col("log_p") - F.col("log_backoff") - F.col("log_lower"))
             )
         # The next order needs log_p; the model holds gains as floats.
-        wanted = [*words, F.col("gain").cast("float").alias("gain"), *(["log_p"] if k < order else [])]
+        wanted = [*words, "n", F.col("gain").cast("float").alias("gain"), *(["log_p"] if k < order else [])]
         lower = settle(now.select(*wanted), "probabilities")
         parts.append((k, words, lower))
     if scratch is not None:
         scratch += [*counts.values(), *contexts.values(), *(grams for _k, _words, grams in parts)]
     model = None
     for k, words, grams in parts:
-        rows = grams.select(*words, "gain")
+        rows = grams.select(*words, "gain", "n")
         if k == order:
             rows = rows.withColumn("backoff", F.lit(0.0))
         else:
@@ -184,7 +188,7 @@ def train(texts: DataFrame, params: QualityModel, scratch: list[DataFrame] | Non
             rows = rows.join(ahead, words, "full")
         rows = rows.select(
             F.lit(k).alias("order"), F.array(*words).alias("words"),
-            F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("backoff", F.lit(0.0)).alias("backoff"),
+            F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("backoff", F.lit(0.0)).alias("backoff"), "n",
         )
         model = rows if model is None else model.unionByName(rows)
     return model, log_unknown
@@ -231,7 +235,7 @@ class Table:
 
 
 def _coded_grams(k: int):
-    """n-grams as their codes, so that the driver gets 16 bytes of each."""
+    """n-grams as their codes, 16 bytes of each with its values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,8 +245,8 @@ def _coded_grams(k: int):
             for place in range(k):
                 total += words[:, place] * _PLACE[place]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(total).view(np.int64)), batch.column("gain"), batch.column("backoff")],
-                names=["code", "gain", "backoff"],
+                [pa.array(mix(total).view(np.int64)), *map(batch.column, ("gain", "backoff", "n"))],
+                names=["code", "gain", "backoff", "n"],
             )
 
     return run
@@ -252,19 +256,20 @@ GRAM_BYTES = 16  # of a code and its two values
 
 
 def _coded(model: DataFrame, params: QualityModel) -> DataFrame:
-    """(code, gain, backoff) of the model's n-grams."""
+    """(code, gain, backoff, n, order) of the model's n-grams."""
     coded = None
     for k in range(1, params.order + 1):
         grams = model.where(F.col("order") == k).select(
-            "words", F.col("gain").cast("float").alias("gain"), F.col("backoff").cast("float").alias("backoff")
+            "words", F.col("gain").cast("float").alias("gain"), F.col("backoff").cast("float").alias("backoff"), "n"
         )
-        rows = grams.mapInArrow(_coded_grams(k), "code long, gain float, backoff float")
+        rows = grams.mapInArrow(_coded_grams(k), "code long, gain float, backoff float, n long")
+        rows = rows.withColumn("order", F.lit(k))
         coded = rows if coded is None else coded.unionByName(rows)
     return coded
 
 
 def _held(coded: DataFrame) -> Table:
-    rows = coded.toArrow()
+    rows = coded.select("code", "gain", "backoff").toArrow()
     code, gain, backoff = (rows.column(name).to_numpy() for name in ("code", "gain", "backoff"))
     return Table(code.view(np.uint64), gain, backoff)
 
@@ -305,7 +310,7 @@ def with_keys(rows: DataFrame, *named: Column | str) -> DataFrame:
 
 
 def _summed(sent, order: int):
-    """One pass: what the part of the model in ``sent`` says about each text, without the text."""
+    """What the n-grams in ``sent`` say about each text, without the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
@@ -329,6 +334,46 @@ def _summed(sent, order: int):
 _SUMS = "key1 long, key2 long, quality_words long, gains double, known long"
 
 
+def missed_grams(codes: np.ndarray, table: Table, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The codes of a text's n-grams that the table does not hold, each once, how often each
+    ends in a word of the text, and how often it is the context of the next word."""
+    padded = _padded(codes, order)
+    missed, ends, contexts = [], [], []
+    for n in range(1, order + 1):
+        grams = gram_codes(padded, n)
+        at = np.flatnonzero(~table.find(grams).any(axis=1))
+        at = at[at >= min(order - n, order - 1 - n if n < order else order)]
+        missed.append(grams[at])
+        ends.append(at >= order - n)
+        contexts.append((at >= order - 1 - n) & (at < len(padded) - n) & (n < order))
+    found, place = np.unique(np.concatenate(missed), return_inverse=True)
+    count = [np.bincount(place, np.concatenate(x), len(found)).astype(np.int32) for x in (ends, contexts)]
+    return found, *count
+
+
+def _asked(sent, order: int):
+    """The n-grams of each text that ``sent`` does not hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        for batch in batches:
+            for part in slices(batch, limit=1 << 20):
+                words = word_codes(part.column("text"), lower=False)
+                missed = [missed_grams(words.of(k), table, order) for k in range(len(words))]
+                sizes = [len(m[0]) for m in missed]
+                keys = [np.repeat(part.column(key).to_numpy(zero_copy_only=False), sizes) for key in _KEYS]
+                code, ends, contexts = (np.concatenate(x) for x in zip(*missed))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (*keys, code.view(np.int64), ends, contexts)],
+                    names=[*_KEYS, "code", "ends", "contexts"],
+                )
+
+    return run
+
+
+_ASKED = "key1 long, key2 long, code long, ends int, contexts int"
+
+
 class Scorer:
     """A trained model; scores texts (key1, key2, text) by (key1, key2, quality_words,
     quality_log), one row per different text of a key."""
@@ -337,25 +382,42 @@ class Scorer:
         self.spark, self.order = texts.sparkSession, params.order
         scratch: list[DataFrame] = []
         model, self.log_unknown = train(texts, params, scratch)
-        self.coded = settle(_coded(model, params), "model")
+        # Frequent n-grams have high levels; contexts of starts are in every text.
+        level = F.coalesce(F.floor(F.log2("n") * 4), F.lit(255)).cast("int")
+        self.coded = settle(_coded(model, params).withColumn("level", level).drop("n"), "model")
         for frame in scratch:
             drop_settled(frame)
-        self.passes = max(1, -(-self.coded.count() * GRAM_BYTES // params.pass_bytes))
+        # As many of the highest levels as may be sent; at most 256 levels.
+        room, self.sent_level, self.all_sent = params.pass_bytes // GRAM_BYTES, 256, True
+        for row in self.coded.groupBy("level").count().orderBy(F.desc("level")).collect():
+            room -= row["count"]
+            if room < 0:
+                self.all_sent = False
+                break
+            self.sent_level = row["level"]
 
     def __call__(self, rows: DataFrame) -> DataFrame:
-        """Every pass reads the texts and writes 40 bytes of each; the passes' sums add up."""
-        sums = None
-        for number in range(self.passes):
-            # The shards of a pass use the high bits of a code, the deal the low ones.
-            part = F.pmod("code", F.lit(self.passes)) == number
-            sent = self.spark.sparkContext.broadcast(_held(self.coded.where(part)))
-            now = rows.select(*_KEYS, "text").mapInArrow(_summed(sent, self.order), _SUMS)
-            now = settle(now.dropDuplicates(list(_KEYS)), "pass")
-            sent.unpersist()
-            sums = now if sums is None else sums.unionByName(now)
-        log = F.sum("gains") + self.log_unknown * (F.max("quality_words") + 1 - F.sum("known"))
-        added = sums.groupBy(*_KEYS).agg(F.max("quality_words").alias("quality_words"), log.alias("quality_log"))
-        return settle(added, "sums")
+        rows = rows.select(*_KEYS, "text")
+        sent = self.spark.sparkContext.broadcast(_held(self.coded.where(F.col("level") >= self.sent_level)))
+        sums = rows.mapInArrow(_summed(sent, self.order), _SUMS).withColumn("copies", F.lit(1))
+        if not self.all_sent:
+            # A word's gain takes back what it cost as an unknown one.
+            unknown = F.when(F.col("order") == 1, F.lit(self.log_unknown)).otherwise(0.0)
+            gain = F.when(F.col("gain") != 0, F.col("gain") - unknown).otherwise(0.0)
+            rest = self.coded.where(F.col("level") < self.sent_level).select("code", gain.alias("gain"), "backoff")
+            found = rows.mapInArrow(_asked(sent, self.order), _ASKED).join(rest, "code")
+            gains = F.sum(F.col("ends") * F.col("gain") + F.col("contexts") * F.col("backoff"))
+            found = found.groupBy(*_KEYS).agg(gains.alias("gains"))
+            none = {c: F.lit(0).cast(t) for c, t in (("quality_words", "long"), ("known", "long"), ("copies", "int"))}
+            sums = sums.unionByName(found.withColumns(none))
+        # Rows with the same keys have the same text and add the same.
+        log = F.sum("gains") + self.log_unknown * (F.sum("quality_words") + F.sum("copies") - F.sum("known"))
+        added = sums.groupBy(*_KEYS).agg(
+            F.max("quality_words").alias("quality_words"), (log / F.sum("copies")).alias("quality_log")
+        )
+        added = settle(added, "sums")
+        sent.unpersist()
+        return added
 
     def free(self) -> None:
         drop_settled(self.coded)
@@ -384,37 +446,38 @@ def judged(
         F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
     )
-    # Which documents the fit reads: by a hash of the id, so many per language. They are
-    # dealt evenly over the folds, so that a language of few documents is in each.
+    # The fit reads all trusted documents unless it is told how many per language; then a hash
+    # of the id decides. They are dealt evenly over the folds, so that a language of few
+    # documents is in each; a language of many is dealt in parts.
     named = docs.select("doc_id", "lang").join(trusted.select(F.col("doc_id").cast("long")).distinct(), "doc_id")
     named = settle(named.distinct(), "trusted")
     sizes = named.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    dealt = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("split")), "doc_id")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.ceil(F.col("size") / 10_000))
+    dealt = W.partitionBy("lang", part).orderBy(F.xxhash64("doc_id", F.lit("split")), "doc_id")
+    named = named.join(sizes, "lang")
+    if params.sample_per_language is not None:
+        draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+        named = named.where(draw * F.col("size") < params.sample_per_language)
     wanted = settle(
-        named.join(sizes, "lang")
-        .where(draw * F.col("size") < params.sample_per_language)
-        .select(
+        named.select(
             "doc_id",
             F.pmod(F.row_number().over(dealt), F.lit(params.calibrate)).alias("fold"),
         ),
-        "sample",
+        "fitted",
     )
     sample = docs.join(wanted.groupBy("doc_id").agg(F.min("fold").alias("fold")), "doc_id")
-    sample = settle(with_keys(sample, "doc_id", "lang", "text"), "sample_texts")
+    sample = settle(with_keys(sample, "doc_id", "lang", "text"), "fitted_texts")
     folds = [r["fold"] for r in wanted.select("fold").distinct().orderBy("fold").collect()]
     per_word = -F.col("quality_log") / (F.col("quality_words") + 1)
-    scored, held = None, None
+    held = None
     for fold in folds or [0]:
         by = Scorer(sample.where(F.col("fold") != fold), params)
         own = sample.where(F.col("fold") == fold)
         part = own.select(*_KEYS, "lang").join(by(own), list(_KEYS))
         part = settle(part.select("lang", "quality_words", "quality_log", per_word.alias("per_word")), "calibration")
-        if scored is None:  # the model that judges the table
-            scored = by
-        else:
-            by.free()
+        by.free()
         held = part if held is None else held.unionByName(part)
+    scored = Scorer(sample, params)  # the model that judges the table
     everything = held.agg(F.avg("per_word").alias("mean")).first()["mean"]
     if everything is None:
         everything = -scored.log_unknown
@@ -436,7 +499,7 @@ def judged(
     quantile = F.percentile("drawn", F.lit(params.quantile))
     overall = calibrated.agg(quantile.alias("limit")).first()["limit"]
     limit = F.greatest(quantile, towards(quantile, overall if overall is not None else float("inf")))
-    # One row per language of the sample.
+    # One row per language of the trusted documents.
     bounds = settle(calibrated.groupBy("lang").agg(F.first("mean").alias("mean"), limit.alias("limit")), "bounds")
     given = documents.select(
         F.struct(*(carried or "*")).alias("given"),

@@ -156,3 +156,18 @@ def test_passes_add_up_and_bound_what_is_held(spark, corpus, monkeypatch):
     parts = kn.QualityModel(sample_per_language=200, pass_bytes=bound)
     assert sorted(kn.judged(corpus, trusted, parts).select(*columns).collect()) == sorted(whole)
     assert len(sizes) > 3 and max(sizes) <= 1.1 * bound
+
+
+def test_every_trusted_document_is_fitted_and_calibrates(spark, documents, monkeypatch):
+    """More than the fit once read of a language: each fold is left out once, and the model that
+    judges the table leaves out none."""
+    fitted, train = [], kn.train
+
+    def noted(texts, *more):
+        fitted.append(texts.count())
+        return train(texts, *more)
+
+    monkeypatch.setattr(kn, "train", noted)
+    given = documents([(i, t, "en", "s") for i, t in enumerate(sentences(1200, 5, 60, 6))])
+    assert kn.judged(given, given.select("doc_id"), kn.QualityModel()).count() == 1200
+    assert fitted == [800, 800, 800, 1200]
