@@ -822,15 +822,17 @@ def stream_surge_timers(spark, sf_dir):
 
 def _by_time(rows, moment, bounds, root):
     """A stream of ``rows`` in order of time, a file per span between ``bounds``, and one
-    row long after them in which only the moment is set."""
-    spans = zip([None, *bounds], [*bounds, None], strict=True)
-    for number, (since, until) in enumerate(spans):
-        part = rows
-        if since is not None:
-            part = part.where(F.col(moment) >= F.lit(since))
-        if until is not None:
-            part = part.where(F.col(moment) < F.lit(until))
-        part.coalesce(1).write.parquet(f"{root}/{number}")
+    row long after them in which only the moment is set. All tasks deal the rows to their
+    spans; a span's own are then put together, one span after the other."""
+    span = F.lit(0)
+    for bound in bounds:
+        span = span + (F.col(moment) >= F.lit(bound)).cast("int")
+    # Without a moment a row is in no span, unless there is but one.
+    dealt = rows.withColumn("span", span).where("span IS NOT NULL")
+    dealt.write.partitionBy("span").parquet(f"{root}_dealt")
+    dealt = rows.sparkSession.read.schema(dealt.schema).parquet(f"{root}_dealt")
+    for number in range(len(bounds) + 1):
+        dealt.where(F.col("span") == number).drop("span").coalesce(1).write.parquet(f"{root}/{number}")
     end = rows.agg((F.max(moment) + F.make_dt_interval(days=F.lit(1))).alias(moment))
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != moment]
     end.select(moment, *empty).select(rows.columns).write.parquet(f"{root}/end")
@@ -842,9 +844,11 @@ def stream_matched_rollbacks(spark, sf_dir):
     """Eight batches in order of time. Every seventh surge has no rollback; every eleventh one
     is taken back two minutes late, which is no match."""
     root = scratch_dir(spark, "matches")
-    given = star.song_events(spark, sf_dir).select("event_id", "reason", "boost_amount", "created_at")
+    star.song_events(spark, sf_dir).write.parquet(f"{root}/events")
+    events = spark.read.parquet(f"{root}/events")
+    given = events.select("event_id", "reason", "boost_amount", "created_at")
     number = F.col("original_event_id").cast("long")
-    back = surges.surge_rollbacks(star.song_events(spark, sf_dir)).where(number % 7 != 0)
+    back = surges.surge_rollbacks(events).where(number % 7 != 0)
     late = F.when(number % 11 == 0, 120).otherwise(0)
     back = back.select(
         "original_event_id", "original_boost", (F.col("created_at") + F.make_dt_interval(secs=late)).alias("created_at")
