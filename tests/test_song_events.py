@@ -91,3 +91,17 @@ def test_lists_hold_all_of_the_newest_thousand_events(spark):
     assert {e[6] for e in events[-1000:]} <= listed
     assert {r["genre"]: len(r["created_at_list"]) for r in rows} == {"folk": 900, "jazz": 300}
     assert {r["genre"]: r["event_count"] for r in rows} == {"folk": 900, "jazz": 300}
+
+
+def test_only_the_newest_entries_of_large_genres_are_kept(spark):
+    """A genre of many entries has a moment to start from, with enough entries since; a genre of
+    few, or without moments, has none."""
+    from perennial.operators.song_events import _newest_since
+
+    entries = spark.sql(
+        "SELECT 'many' AS genre, timestamp_micros(id) AS created_at FROM range(20000) "
+        "UNION ALL SELECT 'few', timestamp_micros(id) FROM range(100) UNION ALL SELECT 'none', NULL FROM range(20000)"
+    )
+    since = {r["_genre"]: r["_since"] for r in _newest_since(entries, 5).collect()}
+    assert since["few"] is None and since["none"] is None
+    assert 19_700 <= since["many"] <= 19_900
