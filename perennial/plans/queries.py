@@ -382,15 +382,20 @@ def song_file_scan(spark, sf_dir):
     return cleaning.clean_songs(read_song_files(spark, folder))
 
 
+# Some 400 MB in a file, which is read in several parts.
+_FILE_SONGS = 2_000_000
+
+
 @query
 def song_file_split_scan(spark, sf_dir):
-    """The same songs through one file, a column of quotes and line breaks beside them, that is
-    read in parts."""
+    """The same songs through one file, or several if there are millions, a column of quotes and
+    line breaks beside them, that are read in parts."""
     folder = scratch_dir(spark, "files")
+    files = -(-star.star_table(spark, sf_dir, "lineitem").count() // _FILE_SONGS) or 1
     named = star.raw_songs(spark, sf_dir).withColumnsRenamed({c: h for h, c in SONG_FILE_COLUMNS.items()})
     note = F.concat(F.lit('a "note",\n'), F.lit("of several lines\n\n"), F.col(named.columns[0]))
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    named.withColumn("Note", note).coalesce(1).write.options(header=True, escape='"', **blanks).csv(folder)
+    named.withColumn("Note", note).coalesce(files).write.options(header=True, escape='"', **blanks).csv(folder)
     return cleaning.clean_songs(read_song_files(spark, folder, split=True))
 
 

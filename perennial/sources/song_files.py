@@ -57,12 +57,15 @@ def _split_songs(spark: SparkSession, path: str, header: list[str], schema: T.St
     fields = ", ".join(f"`{field.name}` string" for field in schema.fields)
     cells = F.from_csv("record", F.lit(fields), _QUOTES)
     plain = ", ".join(f"c{k} string" for k in range(len(header)))
-    heads = records.where("number = 1").select(F.from_csv("record", F.lit(plain), _QUOTES).alias("h"))
+    # Grouped, one row a file, so that no other record is parsed to find it.
+    heads = records.where("number = 1").groupBy("file").agg(F.first("record").alias("record"))
+    heads = heads.select(F.from_csv("record", F.lit(plain), _QUOTES).alias("h"))
     others = heads.where(F.array(*(F.col(f"h.c{k}") for k in range(len(header)))) != F.array(*map(F.lit, header)))
     if others.limit(1).count():
         raise ValueError(f"the files of {path} have different headers")
-    songs = records.where("number > 1").select(cells.alias("cells"))
-    return songs.select(*(F.col(f"cells.`{name}`").alias(name) for name in SONG_FILE_COLUMNS))
+    # As a generator, so that conditions on cells stay above it and a record is parsed once.
+    songs = records.where("number > 1").select(F.inline(F.array(cells)))
+    return songs.select(*(F.col(f"`{name}`") for name in SONG_FILE_COLUMNS))
 
 
 def table_from_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
