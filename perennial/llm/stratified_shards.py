@@ -131,8 +131,9 @@ def interleaved_shards(rows: DataFrame, params: Shards = Shards()) -> DataFrame:
 def write_shards(sharded: DataFrame, path: str, shards: int, files_per_shard: int = 1) -> None:
     """One folder per shard, its rows in files that follow one another by slot."""
     pieces = sharded.withColumn("shard_of", F.col("shard"))
-    pieces.repartitionByRange(shards * files_per_shard, "shard", "slot").sortWithinPartitions(
-        "shard", "slot"
+    # Sorted by the folder's column: the writer would sort by it again and lose the slots' order.
+    pieces.repartitionByRange(shards * files_per_shard, "shard_of", "slot").sortWithinPartitions(
+        "shard_of", "slot"
     ).select("row.*", "slot", "shard_of").write.partitionBy("shard_of").mode("errorifexists").parquet(path)
 
 
