@@ -687,10 +687,16 @@ def _artists_close(landed, songs):
     return _doubles(joined.drop("unique_artists", "exact"))
 
 
-def _in_files(rows, root, files=8):
-    """A stream of ``rows`` in no order of time, a file at a time."""
-    rows.repartition(files).write.parquet(root)
-    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(root)
+# Rows in a file, which one task writes and reads.
+_FILE_ROWS = 100_000
+
+
+def _in_files(rows, root, table, batches=8):
+    """A stream of ``rows`` in no order of time, in so many batches. There is about one row for
+    each of ``table``; if there are many, a batch is several files for several tasks."""
+    files = -(-table.count() // (batches * _FILE_ROWS)) or 1
+    rows.repartition(batches * files).write.parquet(root)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(root)
 
 
 @query
@@ -698,7 +704,7 @@ def stream_genre_trends(spark, sf_dir):
     """Eight batches in no order of time, their sums merged three at a time."""
     root = scratch_dir(spark, "trends")
     songs = star.songs(spark, sf_dir).select("genre", "artist", "popularity", "processed_at")
-    stream = _in_files(songs, f"{root}/songs")
+    stream = _in_files(songs, f"{root}/songs", star.star_table(spark, sf_dir, "lineitem"))
     sink = levels.levelled_sink(spark, f"{root}/rows", trends.trend_partials, trends.added_partials, fanout=3)
     _run(stream, sink, root)
     merged = trends.merge_trends(levels.read_levels(spark, f"{root}/rows", fanout=3))
@@ -712,7 +718,7 @@ def stream_trend_updates(spark, sf_dir):
     repeats it; the newest version of each window counts."""
     root = scratch_dir(spark, "updates")
     songs = star.songs(spark, sf_dir).select("genre", "artist", "popularity", "processed_at")
-    found = trends.genre_trends(_in_files(songs, f"{root}/songs"))
+    found = trends.genre_trends(_in_files(songs, f"{root}/songs", star.star_table(spark, sf_dir, "lineitem")))
     land = landing.folder_sink(f"{root}/rows", trends.trend_landing)
 
     def stopping(batch, batch_id):
@@ -748,10 +754,12 @@ def stream_progress_log(spark, sf_dir):
     spark.streams.addListener(log)
     try:
         runs = [
-            landing.start_query(_in_files(rows, f"{root}/{name}"), sink, f"{root}/{name}_checkpoint", name=name)
-            for name, rows, sink in (
-                ("songs", songs, failing),
-                ("events", events, landing.folder_sink(f"{root}/rows/name=events")),
+            landing.start_query(
+                _in_files(rows, f"{root}/{name}", star.star_table(spark, sf_dir, table)), sink, f"{root}/{name}_checkpoint", name=name
+            )
+            for name, rows, table, sink in (
+                ("songs", songs, "lineitem", failing),
+                ("events", events, "events", landing.folder_sink(f"{root}/rows/name=events")),
             )
         ]
         for run in runs:
@@ -806,7 +814,7 @@ _DAY = 86_400
 def stream_surge_expiry(spark, sf_dir):
     """Eight batches in no order of time, then the end of the stream: all surges end."""
     root = scratch_dir(spark, "expiry")
-    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events")
+    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events", star.star_table(spark, sf_dir, "events"))
     sink = expiry.expiry_sink(spark, f"{root}/rows", slice_seconds=_DAY, remember_seconds=60 * _DAY)
     _run(stream, sink, root)
     expiry.flush_surges(spark, f"{root}/rows", slice_seconds=_DAY)
@@ -817,7 +825,7 @@ def stream_surge_expiry(spark, sf_dir):
 def stream_surge_timers(spark, sf_dir):
     """Eight batches in no order of time, ended by timers; at the end the state's live surges."""
     root = scratch_dir(spark, "timers")
-    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events")
+    stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events", star.star_table(spark, sf_dir, "events"))
     ended = timers.ended_by_timers(stream, buckets=32, slot_seconds=30 * _DAY)
     _run(surges.surge_rollbacks(ended), landing.folder_sink(f"{root}/rows"), root)
     ended = landing.landed(spark, f"{root}/rows").drop("batch_id")
