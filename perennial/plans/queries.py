@@ -827,7 +827,8 @@ def stream_surge_timers(spark, sf_dir):
     root = scratch_dir(spark, "timers")
     stream = _in_files(star.song_events(spark, sf_dir), f"{root}/events", star.star_table(spark, sf_dir, "events"))
     ended = timers.ended_by_timers(stream, buckets=32, slot_seconds=30 * _DAY)
-    _run(surges.surge_rollbacks(ended), landing.folder_sink(f"{root}/rows"), root)
+    with timers.state_partitions(spark, 32):
+        _run(surges.surge_rollbacks(ended), landing.folder_sink(f"{root}/rows"), root)
     ended = landing.landed(spark, f"{root}/rows").drop("batch_id")
     left = timers.live_by_timers(spark, f"{root}/checkpoint", stream)
     return ended.unionByName(surges.surge_rollbacks(left))

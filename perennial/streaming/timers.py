@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,6 +106,20 @@ def use_rocks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, buckets: int) -> Iterator[None]:
+    """A stream started within has no more partitions of state than there are ``buckets``: each
+    costs a state store and a Python worker in every batch, those without a bucket too. It keeps
+    the number in its checkpoint."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), buckets)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _surge_of(text: Column, like: DataFrame) -> Column:
     return F.from_json(text, like.schema, _MOMENTS)
 

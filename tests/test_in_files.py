@@ -3,6 +3,7 @@
 from perennial.plans import queries
 from perennial.streaming import landing
 from perennial.streaming.control import finish
+from perennial.streaming.timers import state_partitions
 
 
 def _batches(spark, rows, root):
@@ -23,3 +24,17 @@ def test_many_rows_are_several_files_a_batch(spark, tmp_path, monkeypatch):
 def test_few_rows_are_a_file_a_batch(spark, tmp_path):
     batches = _batches(spark, spark.range(240), str(tmp_path))
     assert len(batches) == 8 and len(spark.read.parquet(f"{tmp_path}/in").inputFiles()) == 8
+
+
+def test_state_has_no_more_partitions_than_buckets(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        with state_partitions(spark, 32):
+            assert spark.conf.get(key) == "32"
+        assert spark.conf.get(key) == "200"
+        with state_partitions(spark, 500):
+            assert spark.conf.get(key) == "200"
+    finally:
+        spark.conf.set(key, before)
