@@ -11,13 +11,16 @@ what its presence adds to the score of its shorter suffix,
 and every occurrence as a context adds log backoff(h). An n-gram outside the model adds
 nothing, so a text's score is its n-grams joined with the model, summed.
 
-The model stays a table of n-gram codes, which grows with the trusted text. Its most
-frequent n-grams, at most ``pass_bytes`` of them, are sent to the workers, and each task looks
-its texts' n-grams up there, shard by shard (the high bits of the n-gram's code). The n-grams
-that are not found meet the rest of the model in a join by code. A score is a sum over
-n-grams, so both parts add up, and neither the driver nor a worker ever holds more than the
-frequent ones. Texts stay where they are: two hashes name them, and the sums meet the
-documents once, at the end.
+All that an n-gram's probability needs, but for the counts of its last word, is found among the
+n-grams with the same last word of context: counts, continuation counts, sums of contexts. So
+n-grams are dealt to buckets by that word, those of the trusted texts and those of the texts to
+be scored alike, and a bucket is counted and scored at once; no n-gram is written, nor sent on.
+There every probability takes the form a + b * p(last word). Words that are in very many n-grams
+have several buckets, by the word before; what follows them is counted in the fit and given to
+each. Of the words' own counts the most frequent, at most ``pass_bytes``, are sent to the
+workers; what ends in another word meets the other counts by that word. A score is a sum, so
+the table is scored in ``passes``, each with the buckets of some words, and only a pass's n-grams are
+on disk. Two hashes name a text, and the sums meet the documents once, at the end.
 
 Perplexities of short texts are drawn towards their language's mean by ``prior_words``
 words. The threshold of a language is a quantile over its trusted documents, each scored by a
@@ -31,16 +34,17 @@ quantile. Documents of a language without trusted text are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from perennial.llm.shared import drop_settled, settle, small_batches
-from perennial.llm.wordcodes import mix, odd_constants, slices, word_codes
+from perennial.llm.shared import drop_settled, freed_shuffles, settle, small_batches
+from perennial.llm.wordcodes import Words, mix, odd_constants, slices, word_codes
 
 _ORDER_SALTS = odd_constants(8, 31)
 _PLACE = odd_constants(8, 32)
@@ -60,6 +64,8 @@ class QualityModel:
     prior_words: float = 20.0
     prior_documents: float = 10.0
     pass_bytes: int = 24 << 20
+    passes: int = 8
+    bucket_words: int = 1 << 20  # n-grams that a task works on at a time
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -73,33 +79,200 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     )
 
 
-# ------------------------------------------------------------------ training
+# ------------------------------------------------------------- n-grams to buckets
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How n-grams are dealt: the buckets of a pass, the passes, and the words whose n-grams
+    are dealt to several buckets (sorted codes, and to how many)."""
+
+    buckets: int
+    passes: int
+    hot: np.ndarray
+    parts: np.ndarray
 
 
 def _padded(codes: np.ndarray, order: int) -> np.ndarray:
     return np.concatenate([np.full(order - 1, START, dtype=np.uint64), codes, [END]])
 
 
-def _ngrams(order: int):
+def _lined_up(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in a row, padded; where their n-grams end; the text of each n-gram."""
+    texts = len(words)
+    flat = np.full(len(words.codes) + texts * order, START, dtype=np.uint64)
+    text = np.repeat(np.arange(texts), np.diff(words.first) + 1)
+    ends = np.arange(len(text)) + text * (order - 1) + order - 1
+    last = np.cumsum(np.diff(words.first) + 1) - 1
+    inner = np.ones(len(text), dtype=bool)
+    inner[last] = False
+    flat[ends[inner]] = words.codes
+    flat[ends[last]] = END
+    return flat, ends, text
+
+
+def _frequent(order: int):
+    """The words by which many n-grams of a slice are dealt, and under NULL all n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                flat, ends, _text = _lined_up(word_codes(part.column("text"), lower=False), order)
+                words, n = np.unique(flat[ends - min(order - 1, 1)], return_counts=True)
+                often = n >= max(2, len(ends) >> 14)
+                words = pa.array([None, *words[often].view(np.int64).tolist()], pa.int64())
+                n = pa.array(np.concatenate([[len(ends)], n[often]]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
+
+    return run
+
+
+def _plan(texts: DataFrame, params: QualityModel) -> tuple[Plan, int]:
+    """A plan for these texts, and how many n-grams they have."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    found = texts.select("text").mapInArrow(_frequent(params.order), "word long, n long")
+    found = found.groupBy("word").agg(F.sum("n").alias("n"))
+    room = max(1, params.bucket_words // 2)
+    rows = found.where((F.col("n") > room) | F.col("word").isNull()).collect()
+    total = sum(r["n"] for r in rows if r["word"] is None)
+    passes = max(1, min(params.passes, -(-total // params.bucket_words)))
+    buckets = max(4 * cores, -(-total // (passes * params.bucket_words)))
+    hot = sorted((r["word"] % (1 << 64), min(buckets, -(-r["n"] // room))) for r in rows if r["word"] is not None)
+    if params.order == 1:
+        hot = []
+    codes, parts = (np.array([h[k] for h in hot], dtype=np.uint64) for k in (0, 1))
+    return Plan(buckets, passes, codes, parts), total
+
+
+def _in(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each code is in the sorted ones, and whether it is there."""
+    if not len(sorted_codes):
+        return np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=bool)
+    at = np.minimum(np.searchsorted(sorted_codes, codes), len(sorted_codes) - 1)
+    return at, sorted_codes[at] == codes
+
+
+def _segments(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value of a sorted array, and where it is."""
+    cuts = np.flatnonzero(np.diff(sorted_values)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sorted_values)]):
+        if b > a:
+            yield int(sorted_values[a]), slice(a, b)
+
+
+_DEALT = "bucket int, kind int, docs binary, doc binary, grams binary"
+_FIT, _ASKED, _FOLLOWERS = 0, 1, 2
+_KEYS = ("key1", "key2")
+_KEY = np.dtype([(key, "<i8") for key in _KEYS])
+
+
+def _rows_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, types = zip(*(c.split() for c in schema.split(", ")))
+    of = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, of[t]) for c, t in zip(columns, types)], names=list(names))
+
+
+def _deal(order: int, plan: Plan, turn: int, kind: int):
+    """The n-grams of a pass, by bucket; texts to be scored are named by their keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f"w{k}" for k in range(order)]
         for batch in batches:
             for part in slices(batch):
-                words = word_codes(part.column("text"), lower=False)
-                texts = [_padded(words.of(k), order) for k in range(len(words))]
-                columns = [
-                    np.concatenate([t[k : len(t) - order + 1 + k] for t in texts]).view(np.int64)
-                    for k in range(order)
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+                flat, ends, text = _lined_up(word_codes(part.column("text"), lower=False), order)
+                key = flat[ends - min(order - 1, 1)]
+                wanted = key % np.uint64(plan.passes) == np.uint64(turn)
+                key, ends, text = key[wanted], ends[wanted], text[wanted]
+                bucket = key // np.uint64(plan.passes) % np.uint64(plan.buckets)
+                at, hot = _in(plan.hot, key)
+                if hot.any():
+                    beside = flat[ends[hot] - (2 if order > 2 else 0)]
+                    bucket[hot] = (bucket[hot] + mix(beside) % plan.parts[at[hot]]) % np.uint64(plan.buckets)
+                # Sorted by word within a bucket, which makes them shorter to send.
+                by = np.argsort(bucket << np.uint64(40) | key >> np.uint64(24))
+                bucket, ends, text = bucket[by], ends[by], text[by]
+                rows = []
+                if kind == _ASKED:
+                    keys = np.empty(part.num_rows, dtype=_KEY)
+                    for name in _KEYS:
+                        keys[name] = part.column(name).to_numpy(zero_copy_only=False)
+                for b, own in _segments(bucket):
+                    grams = np.stack([flat[ends[own] - k] for k in range(order - 1, -1, -1)])
+                    docs, doc = b"", b""
+                    if kind == _ASKED:
+                        seen, doc = np.unique(text[own], return_inverse=True)
+                        docs, doc = keys[seen].tobytes(), doc.astype(np.int32).tobytes()
+                    rows.append((b, kind, docs, doc, grams.tobytes()))
+                yield _rows_of(rows, _DEALT)
+
+    return run
+
+
+def column_codes(columns: np.ndarray) -> np.ndarray:
+    """The codes of n-grams whose words are columns; see ``gram_codes``."""
+    total = np.full(columns.shape[1], _ORDER_SALTS[len(columns)], dtype=np.uint64)
+    for k, words in enumerate(columns):
+        total += words * _PLACE[k]
+    return mix(total)
+
+
+def _arrays(group: pa.Table, kind: int, column: str, dtype) -> list[np.ndarray]:
+    rows = group.filter(pa.compute.equal(group.column("kind"), kind)).column(column)
+    return [np.frombuffer(value.as_buffer(), dtype=dtype) for value in rows]
+
+
+def _columns(group: pa.Table, kind: int, width: int) -> np.ndarray:
+    found = [x.reshape(width, -1) for x in _arrays(group, kind, "grams", np.uint64)]
+    return np.concatenate(found, axis=1) if found else np.zeros((width, 0), dtype=np.uint64)
+
+
+def _counted(grams: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order above 1 the different n-grams: codes (sorted), words, counts; of the
+    lower orders how many different words come before."""
+    levels = {}
+    for k in range(len(grams), 1, -1):
+        codes, at, n = np.unique(column_codes(grams), return_index=True, return_counts=True)
+        grams = grams[:, at]
+        levels[k] = codes, grams, n
+        grams = grams[1:]
+    return levels
+
+
+# ------------------------------------------------------------------ training
+
+# order, last word or count, word before, count: of n-grams with a count (orders above 1), of the
+# words before a word (order 1), of n-grams of two whose first word has several buckets.
+_PIECES = "k int, word long, before long, n long"
+_PAIRS = -2
+
+
+def _pieces(order: int, plan: Plan):
+    def run(group: pa.Table) -> pa.Table:
+        grams = _columns(group, _FIT, order)
+        levels, out = _counted(grams), []
+
+        def add(k: int, word: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> None:
+            before = np.zeros(len(word), dtype=np.int64) if before is None else before.view(np.int64)
+            out.append((np.full(len(word), k, dtype=np.int32), word.view(np.int64), before, n.astype(np.int64)))
+
+        for k, (_codes, words, n) in levels.items():
+            if k == 2:
+                hot = _in(plan.hot, words[0])[1]
+                add(_PAIRS, words[1][hot], n[hot], words[0][hot])
+                words, n = words[:, ~hot], n[~hot]
+                add(1, *np.unique(words[1], return_counts=True))
+            add(k, *np.unique(n[n <= 4], return_counts=True))
+        if order == 1:
+            add(1, *np.unique(grams[0], return_counts=True))
+        columns = [np.concatenate(x) for x in zip(*out)]
+        return pa.table(dict(zip(("k", "word", "before", "n"), columns)))
 
     return run
 
 
-def _discounts(counts: DataFrame) -> list[float]:
+def _discounts(counts: dict[int, int]) -> list[float]:
     """The discounts of counts 1, 2 and above, from the counts of counts."""
-    rows = dict(counts.where("n <= 4").groupBy("n").count().collect())
-    n1, n2, n3, n4 = (rows.get(k, 0) for k in (1, 2, 3, 4))
+    n1, n2, n3, n4 = (counts.get(k, 0) for k in (1, 2, 3, 4))
     if not (n1 and n2):
         return [0.5, 0.5, 0.5]
     y = n1 / (n1 + 2 * n2)
@@ -107,91 +280,195 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(found)]
 
 
-def train(texts: DataFrame, params: QualityModel, scratch: list[DataFrame] | None = None) -> tuple[DataFrame, float]:
+@dataclass
+class Fit:
+    """What a model needs to know beyond a bucket's n-grams."""
+
+    texts: DataFrame
+    plan: Plan
+    discounts: dict[int, list[float]]
+    words: DataFrame  # word, n: of how many different words it is preceded
+    pairs: DataFrame | None  # before, word, n: pairs whose first word has several buckets
+    total: int
+    even: float  # the probability of an unknown word
+
+    def without_words(self) -> "Fit":
+        """As sent to tasks."""
+        return replace(self, texts=None, words=None, pairs=None)
+
+    def word_probability(self, n: np.ndarray) -> np.ndarray:
+        cut = np.array([0.0, *self.discounts[1]])[np.minimum(n, 3).astype(np.int64)]
+        return (n - cut) / self.total + self.even
+
+    def dealt(self, order: int, turn: int) -> DataFrame:
+        """The n-grams of the fitted texts in a pass, with the pairs given to their buckets."""
+        rows = self.texts.select("text").mapInArrow(_deal(order, self.plan, turn, _FIT), _DEALT)
+        if self.pairs is None:
+            return rows
+        # Grouped, then copied to each bucket of the first word.
+        some = F.pmod(F.xxhash64("word"), F.lit(16))
+        pairs = self.pairs.groupBy("before", some.alias("some")).agg(
+            F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")
+        )
+        return rows.unionByName(pairs.mapInArrow(_given(self.plan, turn), _DEALT))
+
+
+def _given(plan: Plan, turn: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before = batch.column("before").to_numpy(zero_copy_only=False).view(np.uint64)
+            for row in np.flatnonzero(before % np.uint64(plan.passes) == np.uint64(turn)):
+                words, n = (batch.column(c)[row].values.to_numpy().view(np.uint64) for c in ("words", "counts"))
+                data = np.stack([np.full(len(words), before[row], dtype=np.uint64), words, n]).tobytes()
+                first = int(before[row]) // plan.passes % plan.buckets
+                parts = min(plan.buckets, int(plan.parts[np.searchsorted(plan.hot, before[row])]))
+                yield _rows_of(
+                    [((first + k) % plan.buckets, _FOLLOWERS, b"", b"", data) for k in range(parts)], _DEALT
+                )
+
+    return run
+
+
+def fit(texts: DataFrame, params: QualityModel, plan: Plan | None = None) -> Fit:
+    """Count the n-grams of the texts, as far as their counts are not found in a bucket."""
+    order = params.order
+    texts = texts.select(F.col("text").cast("string").alias("text"))
+    if plan is None:
+        plan = _plan(texts, params)[0]
+    # Few texts are fitted, so a few passes do.
+    few = replace(plan, passes=-(-plan.passes // 4))
+    parts = []
+    with freed_shuffles(texts.sparkSession):
+        for turn in range(few.passes):
+            dealt = texts.mapInArrow(_deal(order, few, turn, _FIT), _DEALT)
+            found = dealt.groupBy("bucket").applyInArrow(_pieces(order, few), _PIECES)
+            found = found.groupBy("k", "word", "before").agg(F.sum("n").alias("n"))
+            parts.append(settle(found, "counts"))
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        pairs, preceded = None, found.where("k = 1").select("word", "n")
+        sizes = found.where("k >= 2").groupBy("k", "word").agg(F.sum("n").alias("n"))
+        if len(plan.hot):
+            # A first word is in one pass, so the pairs of passes are different.
+            pairs = settle(found.where(F.col("k") == _PAIRS).select("before", "word", "n"), "pairs")
+            preceded = preceded.unionByName(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+            of_pairs = pairs.where("n <= 4").groupBy(F.col("n").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+            sizes = sizes.unionByName(of_pairs.select(F.lit(2).alias("k"), "word", "n"))
+        words = settle(preceded.groupBy("word").agg(F.sum("n").alias("n")), "words")
+        of_counts: dict[int, dict[int, int]] = {k: {} for k in range(1, order + 1)}
+        for r in sizes.collect():
+            of_counts[r["k"]][r["word"]] = of_counts[r["k"]].get(r["word"], 0) + r["n"]
+        by_count = F.least("n", F.lit(5)).alias("least")
+        rows = words.groupBy(by_count).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).collect()
+    of_counts[1] = {r["least"]: r["size"] for r in rows}
+    discounts = {k: _discounts(counts) for k, counts in of_counts.items()}
+    total, known = sum(r["total"] for r in rows), sum(r["size"] for r in rows)
+    left = sum(r["size"] * discounts[1][min(r["least"], 3) - 1] for r in rows)
+    even = left / total / (known + 1) if total else 1.0
+    for part in parts:
+        drop_settled(part)
+    return Fit(texts, plan, discounts, words, pairs, total or 1, even)
+
+
+class Bucket:
+    """The model's n-grams above single words in a bucket."""
+
+    def __init__(self, group: pa.Table, order: int, about: Fit):
+        self.levels = _counted(_columns(group, _FIT, order))
+        if 2 in self.levels and len(about.plan.hot):
+            _codes, words, n = self.levels[2]
+            own = ~_in(about.plan.hot, words[0])[1]
+            # Rows of one word may come in any order, but each once.
+            given = _columns(group, _FOLLOWERS, 3)
+            words = np.concatenate([words[:, own], given[:2]], axis=1)
+            n = np.concatenate([n[own], given[2].astype(np.int64)])
+            codes = column_codes(words)
+            by = np.argsort(codes)
+            self.levels[2] = codes[by], words[:, by], n[by]
+        self.contexts = {}
+        self.cuts = {k: np.array([0.0, *d]) for k, d in about.discounts.items()}
+        for k, (_codes, words, n) in self.levels.items():
+            codes, first, at = np.unique(column_codes(words[:-1]), return_index=True, return_inverse=True)
+            total = np.bincount(at, n, len(codes))
+            left = np.bincount(at, self.cuts[k][np.minimum(n, 3)], len(codes))
+            self.contexts[k] = codes, words[:-1, first], total, left / np.maximum(total, 1)
+
+    def affine(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """a and b of p(last word | words before) = a + b * p(last word)."""
+        a, b = np.zeros(grams.shape[1]), np.ones(grams.shape[1])
+        for k in range(2, len(grams) + 1):
+            words = grams[len(grams) - k :]
+            contexts, _words, total, backoff = self.contexts[k]
+            codes, _grams, n = self.levels[k]
+            at, seen = _in(contexts, column_codes(words[:-1]))
+            seen = np.flatnonzero(seen)
+            at = at[seen]
+            place, hit = _in(codes, column_codes(words[:, seen]))
+            n = np.where(hit, n[place], 0) if len(n) else np.zeros(len(seen), dtype=np.int64)
+            a[seen] = (n - self.cuts[k][np.minimum(n, 3)]) / total[at] + backoff[at] * a[seen]
+            b[seen] *= backoff[at]
+        return a, b
+
+
+_MODEL = "order int, words array<bigint>, a double, b double, a_lower double, b_lower double, backoff double, n long"
+
+
+def _model_rows(order: int, about: Fit):
+    """n-grams with what their gains are made of, and contexts with their back-off."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket, tables = Bucket(group, order, about), []
+
+        def add(words: np.ndarray, **columns: np.ndarray) -> None:
+            k, size = words.shape
+            ends = pa.array(np.arange(size + 1, dtype=np.int32) * k)
+            of = {"order": pa.array(np.full(size, k, dtype=np.int32))}
+            of["words"] = pa.ListArray.from_arrays(ends, pa.array(words.T.ravel().view(np.int64)))
+            for name in ("a", "b", "a_lower", "b_lower", "backoff"):
+                of[name] = pa.array(columns[name]) if name in columns else pa.nulls(size, pa.float64())
+            of["n"] = pa.array(columns["n"].astype(np.int64)) if "n" in columns else pa.nulls(size, pa.int64())
+            tables.append(pa.table(of))
+
+        for k, (_codes, words, n) in bucket.levels.items():
+            (a, b), (a_lower, b_lower) = bucket.affine(words), bucket.affine(words[1:])
+            add(words, a=a, b=b, a_lower=a_lower, b_lower=b_lower, n=n)
+            _codes, contexts, _total, backoff = bucket.contexts[k]
+            add(contexts, backoff=np.log(backoff))
+        return pa.concat_tables(tables)
+
+    return run
+
+
+def train(texts: DataFrame, params: QualityModel, plan: Plan | None = None, fits: list[Fit] | None = None) -> tuple[DataFrame, float]:
     """The model's n-grams (order, words, gain, backoff, n) and the log of an unknown word; n is
     the count that the n-gram's order goes by, NULL for contexts of starts alone.
 
-    ``scratch`` gets the settled tables that the n-grams are read from.
+    ``fits`` gets the counts from which texts are scored; the table of n-grams, which the
+    scorer does without, is made when it is read.
     """
-    order = params.order
-    names = [f"w{k}" for k in range(order)]
-    whole = (
-        texts.select(F.col("text").cast("string").alias("text"))
-        .mapInArrow(_ngrams(order), ", ".join(f"{c} long" for c in names))
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Continuation counts: of how many different words an n-gram is preceded.
-    counts = {order: settle(whole, "counts")}
-    for k in range(order - 1, 0, -1):
-        counts[k] = settle(
-            counts[k + 1].groupBy(*names[order - k :]).agg(F.count(F.lit(1)).alias("n")), "counts"
-        )
-
-    discounts = {}
-    for k, frame in counts.items():
-        d1, d2, d3 = _discounts(frame)
-        discounts[k] = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-
-    vocabulary = counts[1].count() + 1  # and the unknown word
-    log_unknown, lower, parts, contexts = 0.0, None, [], {}
-    for k in range(1, order + 1):
-        words = names[order - k :]
-        context = words[:-1]
-        discount = discounts[k]
-        sums = counts[k].groupBy(*context).agg(F.sum("n").alias("total"), F.sum(discount).alias("left_over"))
-        if k == 1:
-            row = sums.first()
-            total, left = (row["total"], row["left_over"]) if row and row["total"] else (1, 1.0)
-            even = left / total / vocabulary
-            log_unknown = float(np.log(even))
-            now = counts[1].select(
-                *words, F.log((F.col("n") - discount) / total + even).alias("log_p"), F.col("n")
-            )
-            now = now.withColumn("gain", F.col("log_p"))
-        else:
-            # Written once: the probabilities here and the model below read it.
-            log_backoff = F.log(F.col("left_over") / F.col("total")).alias("log_backoff")
-            contexts[k] = settle(sums.select(*context, "total", log_backoff), "contexts")
-            now = (
-                counts[k]
-                .join(contexts[k], context)
-                .join(lower.select(*words[1:], F.col("log_p").alias("log_lower")), words[1:])
-                .select(
-                    *words,
-                    F.log(
-                        (F.col("n") - discount) / F.col("total") + F.exp(F.col("log_backoff") + F.col("log_lower"))
-                    ).alias("log_p"),
-                    "n",
-                    "log_backoff",
-                    "log_lower",
-                )
-                .withColumn("gain", F.col("log_p") - F.col("log_backoff") - F.col("log_lower"))
-            )
-        # The next order needs log_p; the model holds gains as floats.
-        wanted = [*words, "n", F.col("gain").cast("float").alias("gain"), *(["log_p"] if k < order else [])]
-        lower = settle(now.select(*wanted), "probabilities")
-        parts.append((k, words, lower))
-    if scratch is not None:
-        scratch += [*counts.values(), *contexts.values(), *(grams for _k, _words, grams in parts)]
-    model = None
-    for k, words, grams in parts:
-        rows = grams.select(*words, "gain", "n")
-        if k == order:
-            rows = rows.withColumn("backoff", F.lit(0.0))
-        else:
-            before = names[order - k - 1 : -1]
-            ahead = contexts[k + 1].select(
-                *(F.col(b).alias(w) for b, w in zip(before, words)), F.col("log_backoff").alias("backoff")
-            )
-            # Contexts of starts alone are no n-grams themselves, yet they back off.
-            rows = rows.join(ahead, words, "full")
-        rows = rows.select(
-            F.lit(k).alias("order"), F.array(*words).alias("words"),
-            F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("backoff", F.lit(0.0)).alias("backoff"), "n",
-        )
-        model = rows if model is None else model.unionByName(rows)
-    return model, log_unknown
+    about = fit(texts, params, plan)
+    if fits is not None:
+        fits.append(about)
+    d1, d2, d3 = about.discounts[1]
+    cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+    p = ((F.col("n") - cut) / about.total + about.even).alias("p")
+    singles = about.words.select(F.col("word").alias("last"), p, "n")
+    model = singles.select(
+        F.lit(1).alias("order"), F.array("last").alias("words"), F.log("p").alias("gain"),
+        F.lit(None).cast("double").alias("backoff"), "n",
+    )
+    if params.order > 1:
+        whole = replace(about, plan=replace(about.plan, passes=1))
+        rows = whole.dealt(params.order, 0).groupBy("bucket")
+        rows = rows.applyInArrow(_model_rows(params.order, whole.without_words()), _MODEL)
+        rows = rows.withColumn("last", F.element_at("words", -1)).join(singles.drop("n"), "last", "left")
+        here, lower = (F.log(F.expr(f"a{x} + b{x} * p")) for x in ("", "_lower"))
+        gain = here - F.log(F.col("b") / F.col("b_lower")) - lower
+        model = model.unionByName(rows.select("order", "words", gain.alias("gain"), "backoff", "n"))
+    # An n-gram and the context it is are dealt by different words; copies of a row are alike.
+    model = model.groupBy("order", "words").agg(*(F.max(c).alias(c) for c in ("gain", "backoff", "n")))
+    return model.fillna(0.0, ["gain", "backoff"]), float(np.log(about.even))
 
 
 # ------------------------------------------------------------------- scoring
@@ -240,12 +517,9 @@ def _coded_grams(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("words").flatten().to_numpy(zero_copy_only=False)
-            words = words.view(np.uint64).reshape(batch.num_rows, k)
-            total = np.full(len(words), _ORDER_SALTS[k], dtype=np.uint64)
-            for place in range(k):
-                total += words[:, place] * _PLACE[place]
+            codes = column_codes(words.view(np.uint64).reshape(batch.num_rows, k).T)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(total).view(np.int64)), *map(batch.column, ("gain", "backoff", "n"))],
+                [pa.array(codes.view(np.int64)), *map(batch.column, ("gain", "backoff", "n"))],
                 names=["code", "gain", "backoff", "n"],
             )
 
@@ -309,118 +583,179 @@ def with_keys(rows: DataFrame, *named: Column | str) -> DataFrame:
     return rows.withColumns({key: F.xxhash64(F.lit(key), *named) for key in _KEYS})
 
 
-def _summed(sent, order: int):
-    """What the n-grams in ``sent`` say about each text, without the text."""
+_SUM = np.dtype([*_KEY.descr, ("grams", "<i4"), ("copies", "<i4"), ("log", "<f8")])
+_OPEN = np.dtype([*_KEY.descr, ("word", "<u8"), ("a", "<f8"), ("b", "<f8")])
+_WORD = np.dtype([("word", "<u8"), ("n", "<i8")])
+_SENT = "kind int, home int, data binary"
+_SUMS, _OPENS, _WORDS = 0, 1, 2
+
+
+def _homes(records: np.ndarray, homes: int, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The records sorted by where they are put together, and their places."""
+    home = mix(records[name].view(np.uint64)) % np.uint64(homes)
+    by = np.argsort(home, kind="stable")
+    return records[by], home[by]
+
+
+def _sent(records: np.ndarray, homes: int, name: str, kind: int) -> list[tuple]:
+    records, home = _homes(records, homes, name)
+    return [(kind, h, records[own].tobytes()) for h, own in _segments(home)]
+
+
+def _added(records: np.ndarray) -> np.ndarray:
+    """One record for each text."""
+    if not len(records):
+        return records
+    records = records[np.lexsort([records[key] for key in _KEYS])]
+    new = np.ones(len(records), dtype=bool)
+    new[1:] = (records["key1"][1:] != records["key1"][:-1]) | (records["key2"][1:] != records["key2"][:-1])
+    first = np.flatnonzero(new)
+    out = records[first]
+    for name in ("grams", "copies", "log"):
+        out[name] = np.add.reduceat(records[name], first)
+    return out
+
+
+def _scored(sent, order: int, about: Fit, homes: int, all_sent: bool):
+    """What a bucket's n-grams add to the texts they are of."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs = _arrays(group, _ASKED, "docs", _KEY)
+        if not docs:
+            return pa.Table.from_batches([_rows_of([], _SENT)])
+        first = np.cumsum([0, *map(len, docs)])
+        doc = np.concatenate([d + f for d, f in zip(_arrays(group, _ASKED, "doc", np.int32), first)])
+        keys, grams = np.concatenate(docs), _columns(group, _ASKED, order)
+        a, b = Bucket(group, order, about).affine(grams)
+        n = sent.value.find(grams[-1])[:, 0].astype(np.float64)
+        log = np.log(a + b * np.where(n > 0, about.word_probability(n), about.even))
+        rows = []
+        if not all_sent:
+            left = np.flatnonzero(n == 0)
+            opens = np.empty(len(left), dtype=_OPEN)
+            for name in _KEYS:
+                opens[name] = keys[name][doc[left]]
+            opens["word"], opens["a"], opens["b"] = grams[-1][left], a[left], b[left]
+            rows += _sent(opens, homes, "word", _OPENS)
+            log[left] = 0.0
+        sums = np.empty(len(keys), dtype=_SUM)
+        for name in _KEYS:
+            sums[name] = keys[name]
+        sums["grams"] = np.bincount(doc, minlength=len(keys))
+        sums["copies"] = np.bincount(doc, grams[-1] == END, len(keys))
+        sums["log"] = np.bincount(doc, log, len(keys))
+        rows += _sent(_added(sums), homes, "key1", _SUMS)
+        return pa.Table.from_batches([_rows_of(rows, _SENT)])
 
+    return run
+
+
+def _word_rows(homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
         for batch in batches:
-            for part in slices(batch):
-                words = word_codes(part.column("text"), lower=False)
-                sums = [gain_sum(words.of(k), table, order) for k in range(len(words))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *map(part.column, _KEYS),
-                        pa.array(np.diff(words.first), pa.int64()),
-                        pa.array([s[0] for s in sums], pa.float64()),
-                        pa.array([s[1] for s in sums], pa.int64()),
-                    ],
-                    names=[*_KEYS, "quality_words", "gains", "known"],
-                )
+            records = np.empty(batch.num_rows, dtype=_WORD)
+            records["word"] = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
+            records["n"] = batch.column("n").to_numpy(zero_copy_only=False)
+            yield _rows_of(_sent(records, homes, "word", _WORDS), _SENT)
 
     return run
 
 
-_SUMS = "key1 long, key2 long, quality_words long, gains double, known long"
+def _records(group: pa.Table, kind: int, dtype: np.dtype, column: str = "data") -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=dtype), *_arrays(group, kind, column, dtype)])
 
 
-def missed_grams(codes: np.ndarray, table: Table, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The codes of a text's n-grams that the table does not hold, each once, how often each
-    ends in a word of the text, and how often it is the context of the next word."""
-    padded = _padded(codes, order)
-    missed, ends, contexts = [], [], []
-    for n in range(1, order + 1):
-        grams = gram_codes(padded, n)
-        at = np.flatnonzero(~table.find(grams).any(axis=1))
-        at = at[at >= min(order - n, order - 1 - n if n < order else order)]
-        missed.append(grams[at])
-        ends.append(at >= order - n)
-        contexts.append((at >= order - 1 - n) & (at < len(padded) - n) & (n < order))
-    found, place = np.unique(np.concatenate(missed), return_inverse=True)
-    count = [np.bincount(place, np.concatenate(x), len(found)).astype(np.int32) for x in (ends, contexts)]
-    return found, *count
+def _closed(about: Fit, homes: int):
+    """Sums of texts as they are; n-grams meet the counts of their last words."""
 
+    def run(group: pa.Table) -> pa.Table:
+        opens, words = _records(group, _OPENS, _OPEN), _records(group, _WORDS, _WORD)
+        words = words[np.argsort(words["word"])]
+        at, known = _in(words["word"], opens["word"])
+        p = np.full(len(opens), about.even)
+        p[known] = about.word_probability(words["n"][at[known]].astype(np.float32).astype(np.float64))
+        closed = np.zeros(len(opens), dtype=_SUM)
+        for name in _KEYS:
+            closed[name] = opens[name]
+        closed["log"] = np.log(opens["a"] + opens["b"] * p)
+        sums = _added(np.concatenate([_records(group, _SUMS, _SUM), closed]))
+        return pa.Table.from_batches([_rows_of(_sent(sums, homes, "key1", _SUMS), _SENT)])
 
-def _asked(sent, order: int):
-    """The n-grams of each text that ``sent`` does not hold."""
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
-        for batch in batches:
-            for part in slices(batch, limit=1 << 20):
-                words = word_codes(part.column("text"), lower=False)
-                missed = [missed_grams(words.of(k), table, order) for k in range(len(words))]
-                sizes = [len(m[0]) for m in missed]
-                keys = [np.repeat(part.column(key).to_numpy(zero_copy_only=False), sizes) for key in _KEYS]
-                code, ends, contexts = (np.concatenate(x) for x in zip(*missed))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*keys, code.view(np.int64), ends, contexts)],
-                    names=[*_KEYS, "code", "ends", "contexts"],
-                )
 
-    return run
+_ADDED = "key1 long, key2 long, grams long, copies long, log double"
+
 
+def _put_together(group: pa.Table) -> pa.Table:
+    sums = _added(_records(group, _SUMS, _SUM))
+    of = {"grams": np.int64, "copies": np.int64}
+    return pa.table({name: np.ascontiguousarray(sums[name], dtype=of.get(name)) for name in _SUM.names})
 
-_ASKED = "key1 long, key2 long, code long, ends int, contexts int"
+
+def with_keys(rows: DataFrame, *named: Column | str) -> DataFrame:
+    """Add two hashes of 64 bits that name a row of these columns; equal rows have equal ones."""
+    return rows.withColumns({key: F.xxhash64(F.lit(key), *named) for key in _KEYS})
 
 
 class Scorer:
     """A trained model; scores texts (key1, key2, text) by (key1, key2, quality_words,
     quality_log), one row per different text of a key."""
 
-    def __init__(self, texts: DataFrame, params: QualityModel):
+    def __init__(self, texts: DataFrame, params: QualityModel, plan: Plan | None = None):
         self.spark, self.order = texts.sparkSession, params.order
-        scratch: list[DataFrame] = []
-        model, self.log_unknown = train(texts, params, scratch)
-        # Frequent n-grams have high levels; contexts of starts are in every text.
-        level = F.coalesce(F.floor(F.log2("n") * 4), F.lit(255)).cast("int")
-        self.coded = settle(_coded(model, params).withColumn("level", level).drop("n"), "model")
-        for frame in scratch:
-            drop_settled(frame)
+        fits: list[Fit] = []
+        _model, self.log_unknown = train(texts, params, plan, fits)
+        self.about = fits[0]
+        # Frequent words have high levels.
+        level = F.floor(F.log2("n") * 4).cast("int").alias("level")
+        words = self.about.words.select("word", "n", level)
         # As many of the highest levels as may be sent; at most 256 levels.
-        room, self.sent_level, self.all_sent = params.pass_bytes // GRAM_BYTES, 256, True
-        for row in self.coded.groupBy("level").count().orderBy(F.desc("level")).collect():
+        room, sent_level, self.all_sent = params.pass_bytes // GRAM_BYTES, 256, True
+        for row in words.groupBy("level").count().orderBy(F.desc("level")).collect():
             room -= row["count"]
             if room < 0:
                 self.all_sent = False
                 break
-            self.sent_level = row["level"]
+            sent_level = row["level"]
+        self.sent = words.where(F.col("level") >= sent_level).select(
+            F.col("word").alias("code"), F.col("n").cast("float").alias("gain"), F.lit(0.0).cast("float").alias("backoff")
+        )
+        self.rest = words.where(F.col("level") < sent_level).select("word", "n")
 
     def __call__(self, rows: DataFrame) -> DataFrame:
         rows = rows.select(*_KEYS, "text")
-        sent = self.spark.sparkContext.broadcast(_held(self.coded.where(F.col("level") >= self.sent_level)))
-        sums = rows.mapInArrow(_summed(sent, self.order), _SUMS).withColumn("copies", F.lit(1))
-        if not self.all_sent:
-            # A word's gain takes back what it cost as an unknown one.
-            unknown = F.when(F.col("order") == 1, F.lit(self.log_unknown)).otherwise(0.0)
-            gain = F.when(F.col("gain") != 0, F.col("gain") - unknown).otherwise(0.0)
-            rest = self.coded.where(F.col("level") < self.sent_level).select("code", gain.alias("gain"), "backoff")
-            found = rows.mapInArrow(_asked(sent, self.order), _ASKED).join(rest, "code")
-            gains = F.sum(F.col("ends") * F.col("gain") + F.col("contexts") * F.col("backoff"))
-            found = found.groupBy(*_KEYS).agg(gains.alias("gains"))
-            none = {c: F.lit(0).cast(t) for c, t in (("quality_words", "long"), ("known", "long"), ("copies", "int"))}
-            sums = sums.unionByName(found.withColumns(none))
-        # Rows with the same keys have the same text and add the same.
-        log = F.sum("gains") + self.log_unknown * (F.sum("quality_words") + F.sum("copies") - F.sum("known"))
-        added = sums.groupBy(*_KEYS).agg(
-            F.max("quality_words").alias("quality_words"), (log / F.sum("copies")).alias("quality_log")
-        )
-        added = settle(added, "sums")
+        order, plan, about = self.order, self.about.plan, self.about.without_words()
+        sent = self.spark.sparkContext.broadcast(_held(self.sent))
+        homes, parts = plan.buckets, []
+        with freed_shuffles(self.spark):
+            for turn in range(plan.passes):
+                asked = rows.mapInArrow(_deal(order, plan, turn, _ASKED), _DEALT)
+                dealt = self.about.dealt(order, turn).unionByName(asked).groupBy("bucket")
+                sums = dealt.applyInArrow(_scored(sent, order, about, homes, self.all_sent), _SENT)
+                if not self.all_sent:
+                    words = self.rest.mapInArrow(_word_rows(homes), _SENT)
+                    sums = sums.unionByName(words).groupBy(F.col("kind") == _SUMS, "home")
+                    sums = sums.applyInArrow(_closed(about, homes), _SENT)
+                parts.append(settle(sums.groupBy("home").applyInArrow(_put_together, _ADDED), "sums"))
+            added = parts[0]
+            for part in parts[1:]:
+                added = added.unionByName(part)
+            # Rows with the same keys have the same text and add the same.
+            words = (F.sum("grams") / F.sum("copies")).cast("long") - 1
+            added = added.groupBy(*_KEYS).agg(
+                words.alias("quality_words"), (F.sum("log") / F.sum("copies")).alias("quality_log")
+            )
+            added = settle(added, "sums")
+        for part in parts:
+            drop_settled(part)
         sent.unpersist()
         return added
 
     def free(self) -> None:
-        drop_settled(self.coded)
+        for frame in (self.about.words, self.about.pairs):
+            if frame is not None:
+                drop_settled(frame)
 
 
 def judged(
@@ -469,15 +804,20 @@ def judged(
     sample = settle(with_keys(sample, "doc_id", "lang", "text"), "fitted_texts")
     folds = [r["fold"] for r in wanted.select("fold").distinct().orderBy("fold").collect()]
     per_word = -F.col("quality_log") / (F.col("quality_words") + 1)
+    plan, n_grams = _plan(docs, params)
+    # A fold and its fit are a part of the table, and take as much smaller a part of its passes.
+    fitted, _n = _plan(sample, params)
+    share = _n / max(n_grams, 1)
+    fitted = replace(plan, buckets=fitted.buckets, passes=max(1, int(np.ceil(plan.passes * min(share, 1.0)))))
     held = None
     for fold in folds or [0]:
-        by = Scorer(sample.where(F.col("fold") != fold), params)
+        by = Scorer(sample.where(F.col("fold") != fold), params, fitted)
         own = sample.where(F.col("fold") == fold)
         part = own.select(*_KEYS, "lang").join(by(own), list(_KEYS))
         part = settle(part.select("lang", "quality_words", "quality_log", per_word.alias("per_word")), "calibration")
         by.free()
         held = part if held is None else held.unionByName(part)
-    scored = Scorer(sample, params)  # the model that judges the table
+    scored = Scorer(sample, params, plan)  # the model that judges the table
     everything = held.agg(F.avg("per_word").alias("mean")).first()["mean"]
     if everything is None:
         everything = -scored.log_unknown

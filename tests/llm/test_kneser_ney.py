@@ -171,3 +171,42 @@ def test_every_trusted_document_is_fitted_and_calibrates(spark, documents, monke
     given = documents([(i, t, "en", "s") for i, t in enumerate(sentences(1200, 5, 60, 6))])
     assert kn.judged(given, given.select("doc_id"), kn.QualityModel()).count() == 1200
     assert fitted == [800, 800, 800, 1200]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("pass_bytes", [1 << 20, 160])
+def test_scores_of_buckets_are_kneser_ney(spark, order, pass_bytes):
+    """Words in several buckets, several passes, words' counts sent and joined, copies, odd texts."""
+    train = sentences(80, 3)
+    texts = [*sentences(30, 4, 60), "", None, "never seen before", train[0], train[0]]
+    params = kn.QualityModel(order=order, passes=3, bucket_words=40, pass_bytes=pass_bytes)
+    fitted = spark.createDataFrame([(t,) for t in train], "text string")
+    plan = kn._plan(fitted, params)[0]
+    assert order == 1 or max(plan.parts) > 2
+    scorer = kn.Scorer(fitted, params)
+    assert scorer.all_sent == (pass_bytes > 160)
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    rows = {r.key1: r for r in scorer(kn.with_keys(asked, F.coalesce("text", F.lit("-")))).collect()}
+    keys = [r.key1 for r in kn.with_keys(asked, F.coalesce("text", F.lit("-"))).orderBy("k").collect()]
+    log = brute(train, order)
+    assert len(rows) == len(texts) - 1
+    for text, key in zip(texts, keys):
+        assert rows[key].quality_words == len((text or "").split())
+        assert rows[key].quality_log == pytest.approx(log(text or ""), rel=1e-6)
+
+
+def test_scores_come_from_buckets_without_tables_of_n_grams(spark, documents, monkeypatch):
+    """Nothing that is written has a row per n-gram, and no shuffle outlives its step."""
+    settled, settle = [], kn.settle
+
+    def noted(frame, name):
+        out = settle(frame, name)
+        settled.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(kn, "settle", noted)
+    texts = sentences(300, 6, 4000, 200)
+    given = documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+    assert kn.judged(given, given.select("doc_id"), kn.QualityModel()).count() == 300
+    n_grams = len({g for t in texts for w in [t.split()] for g in zip(w, w[1:], w[2:])})
+    assert max(n for _name, n in settled) < n_grams / 4
