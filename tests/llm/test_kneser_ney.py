@@ -196,7 +196,7 @@ def test_scores_of_buckets_are_kneser_ney(spark, order, pass_bytes):
 
 
 def test_scores_come_from_buckets_without_tables_of_n_grams(spark, documents, monkeypatch):
-    """Nothing that is written has a row per n-gram, and no shuffle outlives its step."""
+    """Nothing that is written has a row per n-gram."""
     settled, settle = [], kn.settle
 
     def noted(frame, name):
