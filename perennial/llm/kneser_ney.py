@@ -39,6 +39,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -84,13 +85,15 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Plan:
-    """How n-grams are dealt: the buckets of a pass, the passes, and the words whose n-grams
-    are dealt to several buckets (sorted codes, and to how many)."""
+    """How n-grams are dealt: the buckets of a pass, the passes, the words whose n-grams
+    are dealt to several buckets (sorted codes, and to how many), and the most frequent
+    words (sorted codes), which are sent by their place among these."""
 
     buckets: int
     passes: int
     hot: np.ndarray
     parts: np.ndarray
+    common: np.ndarray
 
 
 def _padded(codes: np.ndarray, order: int) -> np.ndarray:
@@ -119,21 +122,26 @@ def _frequent(order: int):
             for part in slices(batch):
                 flat, ends, _text = _lined_up(word_codes(part.column("text"), lower=False), order)
                 words, n = np.unique(flat[ends - min(order - 1, 1)], return_counts=True)
-                often = n >= max(2, len(ends) >> 14)
-                words = pa.array([None, *words[often].view(np.int64).tolist()], pa.int64())
+                often = n >= max(2, len(ends) >> 16)
+                words = pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(words[often].view(np.int64))])
                 n = pa.array(np.concatenate([[len(ends)], n[often]]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
 
     return run
 
 
+_OTHER = (1 << 16) - 1  # in place of a word that is not among the most frequent
+
+
 def _plan(texts: DataFrame, params: QualityModel) -> tuple[Plan, int]:
     """A plan for these texts, and how many n-grams they have."""
     cores = texts.sparkSession.sparkContext.defaultParallelism
     found = texts.select("text").mapInArrow(_frequent(params.order), "word long, n long")
-    found = found.groupBy("word").agg(F.sum("n").alias("n"))
+    found = settle(found.groupBy("word").agg(F.sum("n").alias("n")), "frequent")
     room = max(1, params.bucket_words // 2)
     rows = found.where((F.col("n") > room) | F.col("word").isNull()).collect()
+    common = found.where("word is not null").orderBy(F.desc("n"), "word").limit(_OTHER).select("word").toArrow()
+    drop_settled(found)
     total = sum(r["n"] for r in rows if r["word"] is None)
     passes = max(1, min(params.passes, -(-total // params.bucket_words)))
     buckets = max(4 * cores, -(-total // (passes * params.bucket_words)))
@@ -141,7 +149,8 @@ def _plan(texts: DataFrame, params: QualityModel) -> tuple[Plan, int]:
     if params.order == 1:
         hot = []
     codes, parts = (np.array([h[k] for h in hot], dtype=np.uint64) for k in (0, 1))
-    return Plan(buckets, passes, codes, parts), total
+    common = np.sort(common.column("word").to_numpy().view(np.uint64))
+    return Plan(buckets, passes, codes, parts, common), total
 
 
 def _in(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,10 +169,15 @@ def _segments(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
             yield int(sorted_values[a]), slice(a, b)
 
 
-_DEALT = "bucket int, kind int, docs binary, doc binary, grams binary"
-_FIT, _ASKED, _FOLLOWERS = 0, 1, 2
+# A row holds n-grams of one slice of texts in one bucket, sorted by the word by which they are
+# dealt: these words, how many n-grams each is in, the texts' places in the slice, the other
+# words' places among the most frequent ones, and the codes of those that are not.
+_DEALT = "bucket int, kind int, fold int, slice long, keys binary, runs binary, doc binary, ids binary, rest binary"
+_FIT, _ASKED, _FOLLOWERS, _TEXTS = 0, 1, 2, 3
+_NO_FOLD = -1
 _KEYS = ("key1", "key2")
 _KEY = np.dtype([(key, "<i8") for key in _KEYS])
+_TEXT = np.dtype([*_KEY.descr, ("words", "<i4")])
 
 
 def _rows_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -173,37 +187,93 @@ def _rows_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, of[t]) for c, t in zip(columns, types)], names=list(names))
 
 
-def _deal(order: int, plan: Plan, turn: int, kind: int):
-    """The n-grams of a pass, by bucket; texts to be scored are named by their keys."""
+def _binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of the values, so many of them a row."""
+    ends = np.zeros(len(counts) + 1, dtype=np.int64)
+    np.cumsum(counts * values.itemsize, out=ends[1:])
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), data]).cast(pa.binary())
+
+
+def _values(rows: pa.Table, column: str, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column, and how many each row has."""
+    found, dtype = rows.column(column).cast(pa.large_binary()).combine_chunks(), np.dtype(dtype)
+    if not len(found):
+        return np.zeros(0, dtype=dtype), np.zeros(0, dtype=np.int64)
+    _valid, ends, data = found.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[found.offset : found.offset + len(found) + 1]
+    if ends[-1] == ends[0]:
+        return np.zeros(0, dtype=dtype), np.zeros(len(found), dtype=np.int64)
+    data = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]]
+    return data.view(dtype), np.diff(ends) // dtype.itemsize
+
+
+def _deal(order: int, plan: Plan, turn: int, kind: int, named: bool = False):
+    """The n-grams of a pass, by bucket and fold. If ``named``, n-grams know their texts, and a
+    row of each slice has the keys of its texts."""
+    own = min(order - 1, 1)  # how far from the end the word is by which an n-gram is dealt
+    others = [k for k in range(order - 1, -1, -1) if k != own]
+
+    def dealt(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = word_codes(part.column("text"), lower=False)
+        flat, ends, text = _lined_up(words, order)
+        key = flat[ends - own]
+        if plan.passes > 1:
+            wanted = np.flatnonzero(key % np.uint64(plan.passes) == np.uint64(turn))
+            key, ends, text = key[wanted], ends[wanted], text[wanted]
+        bucket = key // np.uint64(plan.passes) % np.uint64(plan.buckets)
+        at, hot = _in(plan.hot, key)
+        if hot.any():
+            beside = flat[ends[hot] - (2 if order > 2 else 0)]
+            bucket[hot] = (bucket[hot] + mix(beside) % plan.parts[at[hot]]) % np.uint64(plan.buckets)
+        group, width = bucket.astype(np.int64), 1
+        if "fold" in part.schema.names:
+            fold = part.column("fold").fill_null(_NO_FOLD).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            width = int(fold.max(initial=0)) + 1
+            group = group * width + fold[text]
+        by = np.argsort(group.astype(np.uint64) << np.uint64(40) | key >> np.uint64(24))
+        key, ends, text, group = key[by], ends[by], text[by], group[by]
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        new[first] = True
+        runs = np.flatnonzero(new)
+        n = np.diff(first, append=len(key))
+        sent = np.stack([flat[ends - k] for k in others], axis=1) if others else np.zeros((len(key), 0), dtype=np.uint64)
+        at, known = _in(plan.common, sent.ravel())
+        rest = (~known).reshape(sent.shape).sum(axis=1)
+
+        def a_row(per_gram: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(per_gram.astype(np.int64), first) if len(first) else first
+
+        name = 0
+        if named:
+            texts = np.empty(part.num_rows, dtype=_TEXT)
+            for column in _KEYS:
+                texts[column] = part.column(column).to_numpy(zero_copy_only=False)
+            texts["words"] = np.diff(words.first)
+            name = xxhash.xxh64_intdigest(texts.tobytes(), seed=kind)
+            name -= (name >> 63) << 64
+            yield _rows_of([(name % plan.buckets, _TEXTS, int(kind == _FIT), name, texts.tobytes(), *[b""] * 4)], _DEALT)
+        rows = len(first)
+        columns = [
+            pa.array((group[first] // width).astype(np.int32)),
+            pa.array(np.full(rows, kind, dtype=np.int32)),
+            pa.array((group[first] % width - 1 if width > 1 else np.full(rows, _NO_FOLD)).astype(np.int32)),
+            pa.array(np.full(rows, name, dtype=np.int64)),
+            _binaries(key[runs], a_row(new)),
+            _binaries(np.diff(runs, append=len(key)).astype(np.uint32), a_row(new)),
+            _binaries(text.astype(np.uint16), n if named else np.zeros(rows, dtype=np.int64)),
+            _binaries(np.where(known, at, _OTHER).astype(np.uint16), n * len(others)),
+            _binaries(sent.ravel()[~known], a_row(rest)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _DEALT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                flat, ends, text = _lined_up(word_codes(part.column("text"), lower=False), order)
-                key = flat[ends - min(order - 1, 1)]
-                wanted = key % np.uint64(plan.passes) == np.uint64(turn)
-                key, ends, text = key[wanted], ends[wanted], text[wanted]
-                bucket = key // np.uint64(plan.passes) % np.uint64(plan.buckets)
-                at, hot = _in(plan.hot, key)
-                if hot.any():
-                    beside = flat[ends[hot] - (2 if order > 2 else 0)]
-                    bucket[hot] = (bucket[hot] + mix(beside) % plan.parts[at[hot]]) % np.uint64(plan.buckets)
-                # Sorted by word within a bucket, which makes them shorter to send.
-                by = np.argsort(bucket << np.uint64(40) | key >> np.uint64(24))
-                bucket, ends, text = bucket[by], ends[by], text[by]
-                rows = []
-                if kind == _ASKED:
-                    keys = np.empty(part.num_rows, dtype=_KEY)
-                    for name in _KEYS:
-                        keys[name] = part.column(name).to_numpy(zero_copy_only=False)
-                for b, own in _segments(bucket):
-                    grams = np.stack([flat[ends[own] - k] for k in range(order - 1, -1, -1)])
-                    docs, doc = b"", b""
-                    if kind == _ASKED:
-                        seen, doc = np.unique(text[own], return_inverse=True)
-                        docs, doc = keys[seen].tobytes(), doc.astype(np.int32).tobytes()
-                    rows.append((b, kind, docs, doc, grams.tobytes()))
-                yield _rows_of(rows, _DEALT)
+                for at in range(0, part.num_rows, 1 << 16):
+                    yield from dealt(part.slice(at, 1 << 16))
 
     return run
 
@@ -216,56 +286,99 @@ def column_codes(columns: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
-def _arrays(group: pa.Table, kind: int, column: str, dtype) -> list[np.ndarray]:
-    rows = group.filter(pa.compute.equal(group.column("kind"), kind)).column(column)
-    return [np.frombuffer(value.as_buffer(), dtype=dtype) for value in rows]
+def _of_kind(group: pa.Table, kind: int) -> pa.Table:
+    return group.filter(pa.compute.equal(group.column("kind"), kind))
+
+
+class Grams:
+    """The n-grams of the rows of a kind: their words as columns, the row, fold and text of each."""
+
+    def __init__(self, group: pa.Table, kind: int, order: int, common: np.ndarray):
+        rows = _of_kind(group, kind)
+        keys, per_row = _values(rows, "keys", np.uint64)
+        runs, _per_row = _values(rows, "runs", np.uint32)
+        ids, _per_row = _values(rows, "ids", np.uint16)
+        rest, _per_row = _values(rows, "rest", np.uint64)
+        self.doc, _per_row = _values(rows, "doc", np.uint16)
+        key = np.repeat(keys, runs)
+        n = np.diff(np.concatenate([[0], np.cumsum(runs, dtype=np.int64)])[np.concatenate([[0], np.cumsum(per_row)])])
+        sent, known = np.empty(len(ids), dtype=np.uint64), ids != _OTHER
+        sent[known] = common[ids[known]]
+        sent[~known] = rest
+        self.words = np.empty((order, len(key)), dtype=np.uint64)
+        own = order - 1 - min(order - 1, 1)
+        self.words[own] = key
+        self.words[[k for k in range(order) if k != own]] = sent.reshape(len(key), order - 1).T
+        self.slices = rows.column("slice").to_numpy()
+        self.row = np.repeat(np.arange(rows.num_rows), n)
+        self.fold = rows.column("fold").to_numpy()[self.row]
+
+
+def _by_model(at: np.ndarray, size: int, weights: np.ndarray) -> np.ndarray:
+    """Sums by place of each model's weights."""
+    return np.stack([np.bincount(at, w, size) for w in weights])
+
+
+def _occurrences(at: np.ndarray, size: int, fold: np.ndarray, left_out: list[int | None]) -> np.ndarray:
+    """How often each place occurs, for each model without the fold that it leaves out."""
+    total = np.bincount(at, minlength=size)
+    return np.stack([total if f is None else total - np.bincount(at[fold == f], minlength=size) for f in left_out])
+
+
+def _counted(grams: Grams, left_out: list[int | None]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order above 1 the different n-grams: codes (sorted), words, counts for each model;
+    of the lower orders how many different words come before."""
+    words, n, levels = grams.words, None, {}
+    for k in range(len(words), 1, -1):
+        codes, first, at = np.unique(column_codes(words), return_index=True, return_inverse=True)
+        if n is None:
+            n = _occurrences(at, len(codes), grams.fold, left_out)
+        else:
+            n = _by_model(at, len(codes), n > 0).astype(np.int64)
+        words = words[:, first]
+        levels[k] = codes, words, n
+        words = words[1:]
+    return levels
 
 
-def _columns(group: pa.Table, kind: int, width: int) -> np.ndarray:
-    found = [x.reshape(width, -1) for x in _arrays(group, kind, "grams", np.uint64)]
-    return np.concatenate(found, axis=1) if found else np.zeros((width, 0), dtype=np.uint64)
+# ------------------------------------------------------------------ training
 
+_PAIRS = -2
 
-def _counted(grams: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order above 1 the different n-grams: codes (sorted), words, counts; of the
-    lower orders how many different words come before."""
-    levels = {}
-    for k in range(len(grams), 1, -1):
-        codes, at, n = np.unique(column_codes(grams), return_index=True, return_counts=True)
-        grams = grams[:, at]
-        levels[k] = codes, grams, n
-        grams = grams[1:]
-    return levels
 
+def _columns_of(models: int) -> list[str]:
+    return [f"n{m}" for m in range(models)]
 
-# ------------------------------------------------------------------ training
 
-# order, last word or count, word before, count: of n-grams with a count (orders above 1), of the
-# words before a word (order 1), of n-grams of two whose first word has several buckets.
-_PIECES = "k int, word long, before long, n long"
-_PAIRS = -2
+def _pieces_schema(models: int) -> str:
+    """Order, last word or count, word before, and for each model a count: of n-grams with a
+    count (orders above 1), of the words before a word (order 1), of n-grams of two whose first
+    word has several buckets."""
+    return ", ".join(["k int, word long, before long", *(f"{n} long" for n in _columns_of(models))])
 
 
-def _pieces(order: int, plan: Plan):
+def _pieces(order: int, plan: Plan, left_out: list[int | None]):
     def run(group: pa.Table) -> pa.Table:
-        grams = _columns(group, _FIT, order)
-        levels, out = _counted(grams), []
+        grams, out = Grams(group, _FIT, order, plan.common), []
 
         def add(k: int, word: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> None:
             before = np.zeros(len(word), dtype=np.int64) if before is None else before.view(np.int64)
-            out.append((np.full(len(word), k, dtype=np.int32), word.view(np.int64), before, n.astype(np.int64)))
+            out.append((np.full(len(word), k, dtype=np.int32), word.view(np.int64), before, *n.astype(np.int64)))
 
-        for k, (_codes, words, n) in levels.items():
+        for k, (_codes, words, n) in _counted(grams, left_out).items():
             if k == 2:
                 hot = _in(plan.hot, words[0])[1]
-                add(_PAIRS, words[1][hot], n[hot], words[0][hot])
-                words, n = words[:, ~hot], n[~hot]
-                add(1, *np.unique(words[1], return_counts=True))
-            add(k, *np.unique(n[n <= 4], return_counts=True))
+                add(_PAIRS, words[1][hot], n[:, hot], words[0][hot])
+                words, n = words[:, ~hot], n[:, ~hot]
+                last, at = np.unique(words[1], return_inverse=True)
+                add(1, last, _by_model(at, len(last), n > 0))
+            sizes = np.stack([np.bincount(np.minimum(x, 5), minlength=6)[1:5] for x in n])
+            add(k, np.arange(1, 5), sizes)
         if order == 1:
-            add(1, *np.unique(grams[0], return_counts=True))
+            last, at = np.unique(grams.words[0], return_inverse=True)
+            add(1, last, _occurrences(at, len(last), grams.fold, left_out))
         columns = [np.concatenate(x) for x in zip(*out)]
-        return pa.table(dict(zip(("k", "word", "before", "n"), columns)))
+        return pa.table(dict(zip(("k", "word", "before", *_columns_of(len(left_out))), columns)))
 
     return run
 
@@ -288,7 +401,7 @@ class Fit:
     plan: Plan
     discounts: dict[int, list[float]]
     words: DataFrame  # word, n: of how many different words it is preceded
-    pairs: DataFrame | None  # before, word, n: pairs whose first word has several buckets
+    pairs: DataFrame | None  # before, word, n0: pairs whose first word has several buckets
     total: int
     even: float  # the probability of an unknown word
 
@@ -300,113 +413,147 @@ class Fit:
         cut = np.array([0.0, *self.discounts[1]])[np.minimum(n, 3).astype(np.int64)]
         return (n - cut) / self.total + self.even
 
-    def dealt(self, order: int, turn: int) -> DataFrame:
-        """The n-grams of the fitted texts in a pass, with the pairs given to their buckets."""
-        rows = self.texts.select("text").mapInArrow(_deal(order, self.plan, turn, _FIT), _DEALT)
-        if self.pairs is None:
-            return rows
-        # Grouped, then copied to each bucket of the first word.
-        some = F.pmod(F.xxhash64("word"), F.lit(16))
-        pairs = self.pairs.groupBy("before", some.alias("some")).agg(
-            F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")
-        )
-        return rows.unionByName(pairs.mapInArrow(_given(self.plan, turn), _DEALT))
+
+def _dealt_fit(texts: DataFrame, pairs: DataFrame | None, order: int, plan: Plan, turn: int, named: bool) -> DataFrame:
+    """The n-grams of the fitted texts in a pass, with the pairs given to their buckets."""
+    rows = texts.mapInArrow(_deal(order, plan, turn, _FIT, named), _DEALT)
+    if pairs is None:
+        return rows
+    # Grouped, then copied to each bucket of the first word.
+    some = F.pmod(F.xxhash64("word"), F.lit(16))
+    columns = [c for c in pairs.columns if c != "before"]
+    pairs = pairs.groupBy("before", some.alias("some")).agg(*(F.collect_list(c).alias(c) for c in columns))
+    return rows.unionByName(pairs.mapInArrow(_given(plan, turn, columns), _DEALT))
 
 
-def _given(plan: Plan, turn: int):
+def _given(plan: Plan, turn: int, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             before = batch.column("before").to_numpy(zero_copy_only=False).view(np.uint64)
             for row in np.flatnonzero(before % np.uint64(plan.passes) == np.uint64(turn)):
-                words, n = (batch.column(c)[row].values.to_numpy().view(np.uint64) for c in ("words", "counts"))
-                data = np.stack([np.full(len(words), before[row], dtype=np.uint64), words, n]).tobytes()
+                found = [batch.column(c)[row].values.to_numpy().view(np.uint64) for c in columns]
+                # One n-gram after the other, so that rows can be put together.
+                data = np.stack([np.full(len(found[0]), before[row], dtype=np.uint64), *found], axis=1).tobytes()
                 first = int(before[row]) // plan.passes % plan.buckets
                 parts = min(plan.buckets, int(plan.parts[np.searchsorted(plan.hot, before[row])]))
                 yield _rows_of(
-                    [((first + k) % plan.buckets, _FOLLOWERS, b"", b"", data) for k in range(parts)], _DEALT
+                    [((first + k) % plan.buckets, _FOLLOWERS, _NO_FOLD, 0, data, *[b""] * 4) for k in range(parts)], _DEALT
                 )
 
     return run
 
 
+class Counts:
+    """What several models need of their texts' counts, as far as it is not found in a bucket.
+
+    The texts are dealt and counted once for all models, of which each leaves out a fold, or
+    none (None). ``words`` and ``pairs`` have a count of each model.
+    """
+
+    def __init__(self, texts: DataFrame, params: QualityModel, plan: Plan, left_out: list[int | None]):
+        self.plan, self.left_out, order = plan, left_out, params.order
+        n = _columns_of(len(left_out))
+        # Few texts are fitted, so a few passes do.
+        few = replace(plan, passes=-(-plan.passes // 4))
+        parts = []
+        with freed_shuffles(texts.sparkSession):
+            for turn in range(few.passes):
+                dealt = texts.mapInArrow(_deal(order, few, turn, _FIT), _DEALT)
+                found = dealt.groupBy("bucket").applyInArrow(_pieces(order, few, left_out), _pieces_schema(len(n)))
+                found = found.groupBy("k", "word", "before").agg(*(F.sum(c).alias(c) for c in n))
+                parts.append(settle(found, "counts"))
+            found = parts[0]
+            for part in parts[1:]:
+                found = found.unionByName(part)
+            self.pairs, preceded = None, found.where("k = 1").select("word", *n)
+            sizes = found.where("k >= 2").groupBy("k", "word").agg(*(F.sum(c).alias(c) for c in n))
+            if len(plan.hot):
+                # A first word is in one pass, so the pairs of passes are different.
+                self.pairs = settle(found.where(F.col("k") == _PAIRS).select("before", "word", *n), "pairs")
+                some = (F.count_if(F.col(c) > 0).alias(c) for c in n)
+                preceded = preceded.unionByName(self.pairs.groupBy("word").agg(*some))
+                for count in range(1, 5):
+                    some = (F.count_if(F.col(c) == count).alias(c) for c in n)
+                    of_pairs = self.pairs.agg(*some).select(F.lit(2).alias("k"), F.lit(count).alias("word"), *n)
+                    sizes = sizes.unionByName(of_pairs)
+            self.words = settle(preceded.groupBy("word").agg(*(F.sum(c).alias(c) for c in n)), "words")
+            self.of_counts: list[dict[int, dict[int, int]]] = [{k: {} for k in range(1, order + 1)} for _ in n]
+            for r in sizes.collect():
+                for c, counts in zip(n, self.of_counts):
+                    counts[r["k"]][r["word"]] = counts[r["k"]].get(r["word"], 0) + r[c]
+            by_count = [F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in n for k in range(1, 5)]
+            known = [F.count_if(F.col(c) > 0).alias(f"{c}_known") for c in n]
+            row = self.words.agg(*(F.sum(c).alias(c) for c in n), *known, *by_count).first()
+        for c, counts in zip(n, self.of_counts):
+            counts[1] = {k: row[f"{c}_{k}"] for k in range(1, 5)}
+        self.totals, self.known = [row[c] or 0 for c in n], [row[f"{c}_known"] for c in n]
+        for part in parts:
+            drop_settled(part)
+
+    def fit(self, texts: DataFrame, model: int) -> Fit:
+        """A model's counts and discounts; the texts are those it does not leave out."""
+        of_counts, total, known, n = self.of_counts[model], self.totals[model], self.known[model], F.col(f"n{model}")
+        discounts = {k: _discounts(counts) for k, counts in of_counts.items()}
+        more = known - of_counts[1][1] - of_counts[1][2]
+        left = sum(size * d for size, d in zip((of_counts[1][1], of_counts[1][2], more), discounts[1]))
+        even = left / total / (known + 1) if total else 1.0
+        words = self.words.where(n > 0).select("word", n.alias("n"))
+        pairs = None if self.pairs is None else self.pairs.where(n > 0).select("before", "word", n.alias("n0"))
+        return Fit(texts, self.plan, discounts, words, pairs, total or 1, even)
+
+    def free(self) -> None:
+        for frame in (self.words, self.pairs):
+            if frame is not None:
+                drop_settled(frame)
+
+
 def fit(texts: DataFrame, params: QualityModel, plan: Plan | None = None) -> Fit:
     """Count the n-grams of the texts, as far as their counts are not found in a bucket."""
-    order = params.order
     texts = texts.select(F.col("text").cast("string").alias("text"))
     if plan is None:
         plan = _plan(texts, params)[0]
-    # Few texts are fitted, so a few passes do.
-    few = replace(plan, passes=-(-plan.passes // 4))
-    parts = []
-    with freed_shuffles(texts.sparkSession):
-        for turn in range(few.passes):
-            dealt = texts.mapInArrow(_deal(order, few, turn, _FIT), _DEALT)
-            found = dealt.groupBy("bucket").applyInArrow(_pieces(order, few), _PIECES)
-            found = found.groupBy("k", "word", "before").agg(F.sum("n").alias("n"))
-            parts.append(settle(found, "counts"))
-        found = parts[0]
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        pairs, preceded = None, found.where("k = 1").select("word", "n")
-        sizes = found.where("k >= 2").groupBy("k", "word").agg(F.sum("n").alias("n"))
-        if len(plan.hot):
-            # A first word is in one pass, so the pairs of passes are different.
-            pairs = settle(found.where(F.col("k") == _PAIRS).select("before", "word", "n"), "pairs")
-            preceded = preceded.unionByName(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-            of_pairs = pairs.where("n <= 4").groupBy(F.col("n").alias("word")).agg(F.count(F.lit(1)).alias("n"))
-            sizes = sizes.unionByName(of_pairs.select(F.lit(2).alias("k"), "word", "n"))
-        words = settle(preceded.groupBy("word").agg(F.sum("n").alias("n")), "words")
-        of_counts: dict[int, dict[int, int]] = {k: {} for k in range(1, order + 1)}
-        for r in sizes.collect():
-            of_counts[r["k"]][r["word"]] = of_counts[r["k"]].get(r["word"], 0) + r["n"]
-        by_count = F.least("n", F.lit(5)).alias("least")
-        rows = words.groupBy(by_count).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).collect()
-    of_counts[1] = {r["least"]: r["size"] for r in rows}
-    discounts = {k: _discounts(counts) for k, counts in of_counts.items()}
-    total, known = sum(r["total"] for r in rows), sum(r["size"] for r in rows)
-    left = sum(r["size"] * discounts[1][min(r["least"], 3) - 1] for r in rows)
-    even = left / total / (known + 1) if total else 1.0
-    for part in parts:
-        drop_settled(part)
-    return Fit(texts, plan, discounts, words, pairs, total or 1, even)
+    return Counts(texts, params, plan, [None]).fit(texts, 0)
 
 
 class Bucket:
-    """The model's n-grams above single words in a bucket."""
+    """The n-grams above single words in a bucket, as the models count them."""
 
-    def __init__(self, group: pa.Table, order: int, about: Fit):
-        self.levels = _counted(_columns(group, _FIT, order))
-        if 2 in self.levels and len(about.plan.hot):
+    def __init__(self, group: pa.Table, grams: Grams, abouts: list[Fit], left_out: list[int | None]):
+        self.levels, hot = _counted(grams, left_out), abouts[0].plan.hot
+        if 2 in self.levels and len(hot):
             _codes, words, n = self.levels[2]
-            own = ~_in(about.plan.hot, words[0])[1]
+            own = ~_in(hot, words[0])[1]
             # Rows of one word may come in any order, but each once.
-            given = _columns(group, _FOLLOWERS, 3)
+            given = _values(_of_kind(group, _FOLLOWERS), "keys", np.uint64)[0].reshape(-1, 2 + len(abouts)).T
             words = np.concatenate([words[:, own], given[:2]], axis=1)
-            n = np.concatenate([n[own], given[2].astype(np.int64)])
+            n = np.concatenate([n[:, own], given[2:].astype(np.int64)], axis=1)
             codes = column_codes(words)
             by = np.argsort(codes)
-            self.levels[2] = codes[by], words[:, by], n[by]
+            self.levels[2] = codes[by], words[:, by], n[:, by]
         self.contexts = {}
-        self.cuts = {k: np.array([0.0, *d]) for k, d in about.discounts.items()}
+        self.cuts = [{k: np.array([0.0, *d]) for k, d in about.discounts.items()} for about in abouts]
         for k, (_codes, words, n) in self.levels.items():
             codes, first, at = np.unique(column_codes(words[:-1]), return_index=True, return_inverse=True)
-            total = np.bincount(at, n, len(codes))
-            left = np.bincount(at, self.cuts[k][np.minimum(n, 3)], len(codes))
+            total = _by_model(at, len(codes), n)
+            left = _by_model(at, len(codes), [cuts[k][np.minimum(x, 3)] for cuts, x in zip(self.cuts, n)])
             self.contexts[k] = codes, words[:-1, first], total, left / np.maximum(total, 1)
 
-    def affine(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def affine(self, grams: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
         """a and b of p(last word | words before) = a + b * p(last word)."""
         a, b = np.zeros(grams.shape[1]), np.ones(grams.shape[1])
         for k in range(2, len(grams) + 1):
             words = grams[len(grams) - k :]
             contexts, _words, total, backoff = self.contexts[k]
             codes, _grams, n = self.levels[k]
+            total, backoff, n = total[model], backoff[model], n[model]
+            if not len(contexts):
+                continue
             at, seen = _in(contexts, column_codes(words[:-1]))
-            seen = np.flatnonzero(seen)
+            seen = np.flatnonzero(seen & (total[at] > 0))
             at = at[seen]
             place, hit = _in(codes, column_codes(words[:, seen]))
-            n = np.where(hit, n[place], 0) if len(n) else np.zeros(len(seen), dtype=np.int64)
-            a[seen] = (n - self.cuts[k][np.minimum(n, 3)]) / total[at] + backoff[at] * a[seen]
+            n = np.where(hit, n[place], 0)
+            a[seen] = (n - self.cuts[model][k][np.minimum(n, 3)]) / total[at] + backoff[at] * a[seen]
             b[seen] *= backoff[at]
         return a, b
 
@@ -418,7 +565,7 @@ def _model_rows(order: int, about: Fit):
     """n-grams with what their gains are made of, and contexts with their back-off."""
 
     def run(group: pa.Table) -> pa.Table:
-        bucket, tables = Bucket(group, order, about), []
+        bucket, tables = Bucket(group, Grams(group, _FIT, order, about.plan.common), [about], [None]), []
 
         def add(words: np.ndarray, **columns: np.ndarray) -> None:
             k, size = words.shape
@@ -431,23 +578,31 @@ def _model_rows(order: int, about: Fit):
             tables.append(pa.table(of))
 
         for k, (_codes, words, n) in bucket.levels.items():
-            (a, b), (a_lower, b_lower) = bucket.affine(words), bucket.affine(words[1:])
-            add(words, a=a, b=b, a_lower=a_lower, b_lower=b_lower, n=n)
+            (a, b), (a_lower, b_lower) = bucket.affine(words, 0), bucket.affine(words[1:], 0)
+            add(words, a=a, b=b, a_lower=a_lower, b_lower=b_lower, n=n[0])
             _codes, contexts, _total, backoff = bucket.contexts[k]
-            add(contexts, backoff=np.log(backoff))
+            add(contexts, backoff=np.log(backoff[0]))
         return pa.concat_tables(tables)
 
     return run
 
 
-def train(texts: DataFrame, params: QualityModel, plan: Plan | None = None, fits: list[Fit] | None = None) -> tuple[DataFrame, float]:
+def train(
+    texts: DataFrame,
+    params: QualityModel,
+    plan: Plan | None = None,
+    fits: list[Fit] | None = None,
+    counts: Counts | None = None,
+    number: int = 0,
+) -> tuple[DataFrame, float]:
     """The model's n-grams (order, words, gain, backoff, n) and the log of an unknown word; n is
     the count that the n-gram's order goes by, NULL for contexts of starts alone.
 
-    ``fits`` gets the counts from which texts are scored; the table of n-grams, which the
-    scorer does without, is made when it is read.
+    ``counts`` may have counted the texts already, for the model of that number. ``fits`` gets
+    the counts from which texts are scored; the table of n-grams, which the scorer does without,
+    is made when it is read.
     """
-    about = fit(texts, params, plan)
+    about = fit(texts, params, plan) if counts is None else counts.fit(texts, number)
     if fits is not None:
         fits.append(about)
     d1, d2, d3 = about.discounts[1]
@@ -460,7 +615,7 @@ def train(texts: DataFrame, params: QualityModel, plan: Plan | None = None, fits
     )
     if params.order > 1:
         whole = replace(about, plan=replace(about.plan, passes=1))
-        rows = whole.dealt(params.order, 0).groupBy("bucket")
+        rows = _dealt_fit(whole.texts.select("text"), whole.pairs, params.order, whole.plan, 0, False).groupBy("bucket")
         rows = rows.applyInArrow(_model_rows(params.order, whole.without_words()), _MODEL)
         rows = rows.withColumn("last", F.element_at("words", -1)).join(singles.drop("n"), "last", "left")
         here, lower = (F.log(F.expr(f"a{x} + b{x} * p")) for x in ("", "_lower"))
@@ -575,187 +730,219 @@ def log_probability(codes: np.ndarray, table: Table, log_unknown: float, order:
     return total + log_unknown * (len(codes) + 1 - known)
 
 
-_KEYS = ("key1", "key2")
-
-
 def with_keys(rows: DataFrame, *named: Column | str) -> DataFrame:
     """Add two hashes of 64 bits that name a row of these columns; equal rows have equal ones."""
     return rows.withColumns({key: F.xxhash64(F.lit(key), *named) for key in _KEYS})
 
 
-_SUM = np.dtype([*_KEY.descr, ("grams", "<i4"), ("copies", "<i4"), ("log", "<f8")])
-_OPEN = np.dtype([*_KEY.descr, ("word", "<u8"), ("a", "<f8"), ("b", "<f8")])
-_WORD = np.dtype([("word", "<u8"), ("n", "<i8")])
-_SENT = "kind int, home int, data binary"
-_SUMS, _OPENS, _WORDS = 0, 1, 2
+# What a bucket sends on: of a slice its texts' keys, the places of some of its texts with what
+# n-grams add to them; n-grams whose last word's count is not at hand, and such counts.
+_SENT = "kind int, home int, model int, slice long, a binary, b binary"
+_NAMES, _SUMS, _OPENS, _WORDS = 0, 1, 2, 3
+_OPEN = np.dtype([("slice", "<i8"), ("doc", "<u2"), ("model", "<u2"), ("word", "<u8"), ("a", "<f8"), ("b", "<f8")])
 
 
-def _homes(records: np.ndarray, homes: int, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """The records sorted by where they are put together, and their places."""
-    home = mix(records[name].view(np.uint64)) % np.uint64(homes)
-    by = np.argsort(home, kind="stable")
-    return records[by], home[by]
+def _word_dtype(models: int) -> np.dtype:
+    return np.dtype([("word", "<u8"), ("n", "<f4", (models,))])
+
 
+def _sent_table(kind: int, homes: int, model: int, slices: np.ndarray, a: pa.Array, b: pa.Array) -> pa.Table:
+    columns = [np.full(len(slices), kind), slices % homes, np.full(len(slices), model)]
+    columns = [pa.array(c.astype(np.int32)) for c in columns]
+    return pa.Table.from_arrays([*columns, pa.array(slices), a, b], names=[c.split()[0] for c in _SENT.split(", ")])
 
-def _sent(records: np.ndarray, homes: int, name: str, kind: int) -> list[tuple]:
-    records, home = _homes(records, homes, name)
-    return [(kind, h, records[own].tobytes()) for h, own in _segments(home)]
+
+def _nothing(rows: int) -> pa.Array:
+    return _binaries(np.zeros(0, dtype=np.uint8), np.zeros(rows, dtype=np.int64))
+
+
+def _by_word(records: np.ndarray, homes: int, kind: int) -> pa.RecordBatch:
+    home = mix(records["word"]) % np.uint64(homes)
+    by = np.argsort(home, kind="stable")
+    records, home = records[by], home[by]
+    return _rows_of([(kind, h, 0, 0, records[own].tobytes(), b"") for h, own in _segments(home)], _SENT)
 
 
-def _added(records: np.ndarray) -> np.ndarray:
-    """One record for each text."""
-    if not len(records):
-        return records
-    records = records[np.lexsort([records[key] for key in _KEYS])]
-    new = np.ones(len(records), dtype=bool)
-    new[1:] = (records["key1"][1:] != records["key1"][:-1]) | (records["key2"][1:] != records["key2"][:-1])
-    first = np.flatnonzero(new)
-    out = records[first]
-    for name in ("grams", "copies", "log"):
-        out[name] = np.add.reduceat(records[name], first)
-    return out
+def _added(slice_of: np.ndarray, doc: np.ndarray, log: np.ndarray, names: np.ndarray, homes: int, model: int) -> pa.Table:
+    """One sum for each text; ``names`` are of the slices, or rows, that the n-grams are numbered by."""
+    place = slice_of.astype(np.int64) << 16 | doc
+    by = np.argsort(place)
+    place, log = place[by], log[by]
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    log = np.add.reduceat(log, first) if len(first) else log
+    row, n = np.unique(place[first] >> 16, return_counts=True)
+    a = _binaries((place[first] & 0xFFFF).astype(np.uint16), n)
+    return _sent_table(_SUMS, homes, model, names[row], a, _binaries(log, n))
 
 
-def _scored(sent, order: int, about: Fit, homes: int, all_sent: bool):
-    """What a bucket's n-grams add to the texts they are of."""
+def _scored(sent, order: int, abouts: list[Fit], left_out: list[int | None], homes: int, all_sent: list[bool]):
+    """What a bucket's n-grams add to the texts they are of: the fitted ones by the model that
+    leaves out their fold, the others by the last model."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs = _arrays(group, _ASKED, "docs", _KEY)
-        if not docs:
-            return pa.Table.from_batches([_rows_of([], _SENT)])
-        first = np.cumsum([0, *map(len, docs)])
-        doc = np.concatenate([d + f for d, f in zip(_arrays(group, _ASKED, "doc", np.int32), first)])
-        keys, grams = np.concatenate(docs), _columns(group, _ASKED, order)
-        a, b = Bucket(group, order, about).affine(grams)
-        n = sent.value.find(grams[-1])[:, 0].astype(np.float64)
-        log = np.log(a + b * np.where(n > 0, about.word_probability(n), about.even))
-        rows = []
-        if not all_sent:
-            left = np.flatnonzero(n == 0)
-            opens = np.empty(len(left), dtype=_OPEN)
-            for name in _KEYS:
-                opens[name] = keys[name][doc[left]]
-            opens["word"], opens["a"], opens["b"] = grams[-1][left], a[left], b[left]
-            rows += _sent(opens, homes, "word", _OPENS)
-            log[left] = 0.0
-        sums = np.empty(len(keys), dtype=_SUM)
-        for name in _KEYS:
-            sums[name] = keys[name]
-        sums["grams"] = np.bincount(doc, minlength=len(keys))
-        sums["copies"] = np.bincount(doc, grams[-1] == END, len(keys))
-        sums["log"] = np.bincount(doc, log, len(keys))
-        rows += _sent(_added(sums), homes, "key1", _SUMS)
-        return pa.Table.from_batches([_rows_of(rows, _SENT)])
+        common = abouts[0].plan.common
+        fitted, asked = (Grams(group, kind, order, common) for kind in (_FIT, _ASKED))
+        bucket = Bucket(group, fitted, abouts, left_out)
+        texts = _of_kind(group, _TEXTS)
+        names, n = _values(texts, "keys", _TEXT)
+        # A slice's row says by its model whether its texts are fitted ones.
+        out = [
+            _sent_table(_NAMES, homes, 0, texts.column("slice").to_numpy(), _binaries(names, n), _nothing(len(n))).set_column(
+                2, "model", texts.column("fold").cast(pa.int32())
+            )
+        ]
+        todo = [(m, fitted, np.flatnonzero(fitted.fold == f)) for m, f in enumerate(left_out) if f is not None]
+        for m, grams, own in [*todo, (len(abouts) - 1, asked, slice(None))]:
+            words, row, doc, about = grams.words[:, own], grams.row[own], grams.doc[own], abouts[m]
+            if not len(row):
+                continue
+            a, b = bucket.affine(words, m)
+            n = sent[m].value.find(words[-1])[:, 0].astype(np.float64)
+            log = np.log(a + b * np.where(n > 0, about.word_probability(n), about.even))
+            if not all_sent[m]:
+                left = np.flatnonzero(n == 0)
+                opens = np.empty(len(left), dtype=_OPEN)
+                opens["slice"], opens["doc"], opens["model"] = grams.slices[row[left]], doc[left], m
+                opens["word"], opens["a"], opens["b"] = words[-1][left], a[left], b[left]
+                out.append(pa.Table.from_batches([_by_word(opens, homes, _OPENS)]))
+                log[left] = 0.0
+            out.append(_added(row, doc, log, grams.slices, homes, m))
+        return pa.concat_tables(out)
 
     return run
 
 
-def _word_rows(homes: int):
+def _word_rows(homes: int, models: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            records = np.empty(batch.num_rows, dtype=_WORD)
+            records = np.empty(batch.num_rows, dtype=_word_dtype(models))
             records["word"] = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
-            records["n"] = batch.column("n").to_numpy(zero_copy_only=False)
-            yield _rows_of(_sent(records, homes, "word", _WORDS), _SENT)
+            for m, n in enumerate(_columns_of(models)):
+                records["n"][:, m] = batch.column(n).to_numpy(zero_copy_only=False)
+            yield _by_word(records, homes, _WORDS)
 
     return run
 
 
-def _records(group: pa.Table, kind: int, dtype: np.dtype, column: str = "data") -> np.ndarray:
-    return np.concatenate([np.zeros(0, dtype=dtype), *_arrays(group, kind, column, dtype)])
-
-
-def _closed(about: Fit, homes: int):
+def _closed(abouts: list[Fit], homes: int):
     """Sums of texts as they are; n-grams meet the counts of their last words."""
 
     def run(group: pa.Table) -> pa.Table:
-        opens, words = _records(group, _OPENS, _OPEN), _records(group, _WORDS, _WORD)
-        words = words[np.argsort(words["word"])]
-        at, known = _in(words["word"], opens["word"])
-        p = np.full(len(opens), about.even)
-        p[known] = about.word_probability(words["n"][at[known]].astype(np.float32).astype(np.float64))
-        closed = np.zeros(len(opens), dtype=_SUM)
-        for name in _KEYS:
-            closed[name] = opens[name]
-        closed["log"] = np.log(opens["a"] + opens["b"] * p)
-        sums = _added(np.concatenate([_records(group, _SUMS, _SUM), closed]))
-        return pa.Table.from_batches([_rows_of(_sent(sums, homes, "key1", _SUMS), _SENT)])
+        columns = [c.split()[0] for c in _SENT.split(", ")]
+        out = [group.filter(pa.compute.less_equal(group.column("kind"), _SUMS)).select(columns)]
+        opens, _n = _values(_of_kind(group, _OPENS), "a", _OPEN)
+        words, _n = _values(_of_kind(group, _WORDS), "a", _word_dtype(len(abouts)))
+        if len(opens):
+            words = words[np.argsort(words["word"])]
+            at, known = _in(words["word"], opens["word"])
+            p = np.empty(len(opens))
+            for m, about in enumerate(abouts):
+                own = np.flatnonzero(opens["model"] == m)
+                n = np.zeros(len(own))
+                n[known[own]] = words["n"][at[own[known[own]]], m]
+                p[own] = np.where(n > 0, about.word_probability(n), about.even)
+            log = np.log(opens["a"] + opens["b"] * p)
+            names, row = np.unique(opens["slice"], return_inverse=True)
+            out.append(_added(row, opens["doc"], log, names, homes, 0))
+        return pa.concat_tables(out)
 
     return run
 
 
-_ADDED = "key1 long, key2 long, grams long, copies long, log double"
+_ADDED = "fitted int, key1 long, key2 long, words long, log double"
 
 
 def _put_together(group: pa.Table) -> pa.Table:
-    sums = _added(_records(group, _SUMS, _SUM))
-    of = {"grams": np.int64, "copies": np.int64}
-    return pa.table({name: np.ascontiguousarray(sums[name], dtype=of.get(name)) for name in _SUM.names})
-
-
-def with_keys(rows: DataFrame, *named: Column | str) -> DataFrame:
-    """Add two hashes of 64 bits that name a row of these columns; equal rows have equal ones."""
-    return rows.withColumns({key: F.xxhash64(F.lit(key), *named) for key in _KEYS})
+    """The sums of a slice's texts, once for each copy of the slice."""
+    named = _of_kind(group, _NAMES)
+    names, sums = _values(named, "a", _TEXT)[0], _of_kind(group, _SUMS)
+    copies = named.num_rows
+    if not copies:
+        raise ValueError("texts came in another order when they were read again")
+    doc, log = _values(sums, "a", np.uint16)[0], _values(sums, "b", np.float64)[0]
+    log = np.bincount(doc, log, len(names) // copies) / copies
+    columns = {name: np.ascontiguousarray(names[name], dtype=np.int64) for name in (*_KEYS, "words")}
+    fitted = np.full(len(names), named.column("model")[0].as_py(), dtype=np.int32)
+    return pa.table({"fitted": fitted, **columns, "log": np.tile(log, copies)})
 
 
 class Scorer:
-    """A trained model; scores texts (key1, key2, text) by (key1, key2, quality_words,
-    quality_log), one row per different text of a key."""
+    """Trained models; scores texts (key1, key2, text) by (key1, key2, quality_words,
+    quality_log), one row per different text of a key.
 
-    def __init__(self, texts: DataFrame, params: QualityModel, plan: Plan | None = None):
+    The model of all texts scores. If they have a ``fold`` and keys, there is a model more for each of
+    the ``folds``, which leaves it out; ``left_out`` are the scores of the fitted texts by these.
+    """
+
+    def __init__(self, texts: DataFrame, params: QualityModel, plan: Plan | None = None, folds: list[int] | None = None):
         self.spark, self.order = texts.sparkSession, params.order
+        self.plan = plan or _plan(texts, params)[0]
+        columns, self.folds = ("text", *_KEYS, "fold") if folds else ("text",), [*(folds or []), None]
+        self.texts, self.left_out = texts.select(*columns), None
+        self.counts = Counts(self.texts.drop(*_KEYS), params, self.plan, self.folds)
         fits: list[Fit] = []
-        _model, self.log_unknown = train(texts, params, plan, fits)
-        self.about = fits[0]
-        # Frequent words have high levels.
-        level = F.floor(F.log2("n") * 4).cast("int").alias("level")
-        words = self.about.words.select("word", "n", level)
-        # As many of the highest levels as may be sent; at most 256 levels.
-        room, sent_level, self.all_sent = params.pass_bytes // GRAM_BYTES, 256, True
-        for row in words.groupBy("level").count().orderBy(F.desc("level")).collect():
-            room -= row["count"]
-            if room < 0:
-                self.all_sent = False
-                break
-            sent_level = row["level"]
-        self.sent = words.where(F.col("level") >= sent_level).select(
-            F.col("word").alias("code"), F.col("n").cast("float").alias("gain"), F.lit(0.0).cast("float").alias("backoff")
-        )
-        self.rest = words.where(F.col("level") < sent_level).select("word", "n")
+        for m, fold in enumerate(self.folds):
+            own = texts if fold is None else texts.where(F.col("fold") != fold)
+            _model, self.log_unknown = train(own, params, self.plan, fits, self.counts, m)
+        self.abouts, self.sent, self.all_sent, rest = fits, [], [], F.lit(False)
+        for m, about in enumerate(fits):
+            # The model of all has half of what may be sent, or all of it.
+            room = params.pass_bytes // GRAM_BYTES
+            if folds:
+                room = room // 2 if m == len(folds) else room // (2 * len(folds))
+            # Frequent words have high levels.
+            words = about.words.select("word", "n", F.floor(F.log2("n") * 4).cast("int").alias("level"))
+            # As many of the highest levels as may be sent; at most 256 levels.
+            sent_level, all_sent = 256, True
+            for row in words.groupBy("level").count().orderBy(F.desc("level")).collect():
+                room -= row["count"]
+                if room < 0:
+                    all_sent = False
+                    break
+                sent_level = row["level"]
+            self.all_sent.append(all_sent)
+            sent = words.where(F.col("level") >= sent_level)
+            backoff = F.lit(0.0).cast("float").alias("backoff")
+            self.sent.append(sent.select(F.col("word").alias("code"), F.col("n").cast("float").alias("gain"), backoff))
+            n = F.col(_columns_of(len(fits))[m])
+            rest = rest | ((n > 0) & (F.floor(F.log2(F.when(n > 0, n)) * 4) < sent_level))
+        self.rest = self.counts.words.where(rest)
+        self.all_sent, self._all_sent = all(self.all_sent), self.all_sent
 
     def __call__(self, rows: DataFrame) -> DataFrame:
         rows = rows.select(*_KEYS, "text")
-        order, plan, about = self.order, self.about.plan, self.about.without_words()
-        sent = self.spark.sparkContext.broadcast(_held(self.sent))
+        order, plan, folds = self.order, self.plan, len(self.folds) > 1
+        abouts = [about.without_words() for about in self.abouts]
+        sent = [self.spark.sparkContext.broadcast(_held(words)) for words in self.sent]
         homes, parts = plan.buckets, []
         with freed_shuffles(self.spark):
             for turn in range(plan.passes):
-                asked = rows.mapInArrow(_deal(order, plan, turn, _ASKED), _DEALT)
-                dealt = self.about.dealt(order, turn).unionByName(asked).groupBy("bucket")
-                sums = dealt.applyInArrow(_scored(sent, order, about, homes, self.all_sent), _SENT)
+                asked = rows.mapInArrow(_deal(order, plan, turn, _ASKED, True), _DEALT)
+                dealt = _dealt_fit(self.texts, self.counts.pairs, order, plan, turn, folds).unionByName(asked)
+                sums = dealt.groupBy("bucket").applyInArrow(
+                    _scored(sent, order, abouts, self.folds, homes, self._all_sent), _SENT
+                )
                 if not self.all_sent:
-                    words = self.rest.mapInArrow(_word_rows(homes), _SENT)
-                    sums = sums.unionByName(words).groupBy(F.col("kind") == _SUMS, "home")
-                    sums = sums.applyInArrow(_closed(about, homes), _SENT)
-                parts.append(settle(sums.groupBy("home").applyInArrow(_put_together, _ADDED), "sums"))
+                    words = self.rest.mapInArrow(_word_rows(homes, len(abouts)), _SENT)
+                    sums = sums.unionByName(words).groupBy(F.col("kind") <= _SUMS, "home")
+                    sums = sums.applyInArrow(_closed(abouts, homes), _SENT)
+                parts.append(settle(sums.groupBy("slice").applyInArrow(_put_together, _ADDED), "sums"))
             added = parts[0]
             for part in parts[1:]:
                 added = added.unionByName(part)
             # Rows with the same keys have the same text and add the same.
-            words = (F.sum("grams") / F.sum("copies")).cast("long") - 1
-            added = added.groupBy(*_KEYS).agg(
-                words.alias("quality_words"), (F.sum("log") / F.sum("copies")).alias("quality_log")
-            )
+            log = (F.sum("log") * plan.passes / F.count(F.lit(1))).alias("quality_log")
+            added = added.groupBy("fitted", *_KEYS).agg(F.max("words").alias("quality_words"), log)
             added = settle(added, "sums")
         for part in parts:
             drop_settled(part)
-        sent.unpersist()
-        return added
+        for words in sent:
+            words.unpersist()
+        self.left_out = added.where("fitted = 1").drop("fitted")
+        return added.where("fitted = 0").drop("fitted")
 
     def free(self) -> None:
-        for frame in (self.about.words, self.about.pairs):
-            if frame is not None:
-                drop_settled(frame)
+        self.counts.free()
 
 
 def judged(
@@ -804,23 +991,24 @@ def judged(
     sample = settle(with_keys(sample, "doc_id", "lang", "text"), "fitted_texts")
     folds = [r["fold"] for r in wanted.select("fold").distinct().orderBy("fold").collect()]
     per_word = -F.col("quality_log") / (F.col("quality_words") + 1)
-    plan, n_grams = _plan(docs, params)
-    # A fold and its fit are a part of the table, and take as much smaller a part of its passes.
-    fitted, _n = _plan(sample, params)
-    share = _n / max(n_grams, 1)
-    fitted = replace(plan, buckets=fitted.buckets, passes=max(1, int(np.ceil(plan.passes * min(share, 1.0)))))
-    held = None
-    for fold in folds or [0]:
-        by = Scorer(sample.where(F.col("fold") != fold), params, fitted)
-        own = sample.where(F.col("fold") == fold)
-        part = own.select(*_KEYS, "lang").join(by(own), list(_KEYS))
-        part = settle(part.select("lang", "quality_words", "quality_log", per_word.alias("per_word")), "calibration")
-        by.free()
-        held = part if held is None else held.unionByName(part)
-    scored = Scorer(sample, params, plan)  # the model that judges the table
+    given = documents.select(
+        F.struct(*(carried or "*")).alias("given"),
+        F.col("doc_id").alias("doc_id"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        F.col("text").cast("string").alias("text"),
+    )
+    # The id spreads copies of a text; rows alike in all three are judged alike.
+    given = with_keys(given, "doc_id", "lang", "text")
+    # The models without a fold score it, the last one judges the table, all from one count.
+    scorer = Scorer(sample, params, _plan(docs, params)[0], folds or [0])
+    scores = scorer(given)
+    held = sample.select(*_KEYS, "lang").join(scorer.left_out, list(_KEYS))
+    held = settle(held.select("lang", "quality_words", "quality_log", per_word.alias("per_word")), "calibration")
+    scorer.free()
+    drop_settled(sample)
     everything = held.agg(F.avg("per_word").alias("mean")).first()["mean"]
     if everything is None:
-        everything = -scored.log_unknown
+        everything = -scorer.log_unknown
     size, prior = F.count(F.lit(1)), F.lit(params.prior_documents)
 
     def towards(own: Column, pooled: float) -> Column:
@@ -841,15 +1029,7 @@ def judged(
     limit = F.greatest(quantile, towards(quantile, overall if overall is not None else float("inf")))
     # One row per language of the trusted documents.
     bounds = settle(calibrated.groupBy("lang").agg(F.first("mean").alias("mean"), limit.alias("limit")), "bounds")
-    given = documents.select(
-        F.struct(*(carried or "*")).alias("given"),
-        F.col("doc_id").alias("doc_id"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        F.col("text").cast("string").alias("text"),
-    )
-    # The id spreads copies of a text; rows alike in all three are judged alike.
-    given = with_keys(given, "doc_id", "lang", "text")
-    found = given.drop("doc_id", "text").join(scored(given), list(_KEYS))
+    found = given.drop("doc_id", "text").join(scores, list(_KEYS))
     found = shrunk(found.join(bounds, "lang", "left"))
     limit = F.coalesce("limit", F.lit(float("inf")))
     limit = F.col("mean") + F.greatest(F.lit(0.0), limit - F.col("mean")) * params.slack
