@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -155,10 +156,9 @@ def _plan(texts: DataFrame, params: QualityModel) -> tuple[Plan, int]:
 
 def _in(sorted_codes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each code is in the sorted ones, and whether it is there."""
-    if not len(sorted_codes):
-        return np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=bool)
-    at = np.minimum(np.searchsorted(sorted_codes, codes), len(sorted_codes) - 1)
-    return at, sorted_codes[at] == codes
+    # By a hash table, several times faster than a binary search for each.
+    found = pa.compute.index_in(pa.array(codes), value_set=pa.array(sorted_codes))
+    return found.fill_null(0).to_numpy(zero_copy_only=False), found.is_valid().to_numpy(zero_copy_only=False)
 
 
 def _segments(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -254,7 +254,9 @@ def _deal(order: int, plan: Plan, turn: int, kind: int, named: bool = False):
             texts["words"] = np.diff(words.first)
             name = xxhash.xxh64_intdigest(texts.tobytes(), seed=kind)
             name -= (name >> 63) << 64
-            yield _rows_of([(name % plan.buckets, _TEXTS, int(kind == _FIT), name, texts.tobytes(), *[b""] * 4)], _DEALT)
+            # Once is enough.
+            if turn == 0:
+                yield _rows_of([(name % plan.buckets, _TEXTS, int(kind == _FIT), name, texts.tobytes(), *[b""] * 4)], _DEALT)
         rows = len(first)
         columns = [
             pa.array((group[first] // width).astype(np.int32)),
@@ -541,18 +543,23 @@ class Bucket:
     def affine(self, grams: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
         """a and b of p(last word | words before) = a + b * p(last word)."""
         a, b = np.zeros(grams.shape[1]), np.ones(grams.shape[1])
+        # A longer context, or n-gram, occurs only where the shorter one does.
+        seen, known = np.arange(grams.shape[1]), np.ones(grams.shape[1], dtype=bool)
         for k in range(2, len(grams) + 1):
             words = grams[len(grams) - k :]
             contexts, _words, total, backoff = self.contexts[k]
             codes, _grams, n = self.levels[k]
             total, backoff, n = total[model], backoff[model], n[model]
             if not len(contexts):
-                continue
-            at, seen = _in(contexts, column_codes(words[:-1]))
-            seen = np.flatnonzero(seen & (total[at] > 0))
-            at = at[seen]
-            place, hit = _in(codes, column_codes(words[:, seen]))
-            n = np.where(hit, n[place], 0)
+                break
+            at, found = _in(contexts, column_codes(words[:-1])[seen])
+            found &= total[at] > 0
+            seen, at, known = seen[found], at[found], known[found]
+            place, hit = _in(codes, column_codes(words)[seen[known]])
+            of_known = np.where(hit, n[place], 0)
+            n = np.zeros(len(seen), dtype=np.int64)
+            n[known] = of_known
+            known = n > 0
             a[seen] = (n - self.cuts[model][k][np.minimum(n, 3)]) / total[at] + backoff[at] * a[seen]
             b[seen] *= backoff[at]
         return a, b
@@ -803,9 +810,11 @@ def _scored(sent, order: int, abouts: list[Fit], left_out: list[int | None], hom
                 left = np.flatnonzero(n == 0)
                 opens = np.empty(len(left), dtype=_OPEN)
                 opens["slice"], opens["doc"], opens["model"] = grams.slices[row[left]], doc[left], m
-                opens["word"], opens["a"], opens["b"] = words[-1][left], a[left], b[left]
+                # Mostly a is 0, so that b can be added here; what is sent is easily compressed then.
+                alone = a[left] == 0
+                log[left] = np.where(alone, np.log(b[left]), 0.0)
+                opens["word"], opens["a"], opens["b"] = words[-1][left], a[left], np.where(alone, 1.0, b[left])
                 out.append(pa.Table.from_batches([_by_word(opens, homes, _OPENS)]))
-                log[left] = 0.0
             out.append(_added(row, doc, log, grams.slices, homes, m))
         return pa.concat_tables(out)
 
@@ -814,26 +823,42 @@ def _scored(sent, order: int, abouts: list[Fit], left_out: list[int | None], hom
 
 def _word_rows(homes: int, models: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            records = np.empty(batch.num_rows, dtype=_word_dtype(models))
-            records["word"] = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
+        def records(batch: pa.RecordBatch) -> np.ndarray:
+            found = np.empty(batch.num_rows, dtype=_word_dtype(models))
+            found["word"] = batch.column("word").to_numpy(zero_copy_only=False).view(np.uint64)
             for m, n in enumerate(_columns_of(models)):
-                records["n"][:, m] = batch.column(n).to_numpy(zero_copy_only=False)
-            yield _by_word(records, homes, _WORDS)
+                found["n"][:, m] = batch.column(n).to_numpy(zero_copy_only=False)
+            return found
+
+        # Batches are small, and a home gets a row of each, so some are put together.
+        batches = map(records, batches)
+        while some := list(islice(batches, 50)):
+            yield _by_word(np.concatenate(some), homes, _WORDS)
 
     return run
 
 
+def _summed(group: pa.Table, homes: int) -> list[pa.Table]:
+    """The names of slices as they are, and one row of sums for each slice."""
+    names = _of_kind(group, _NAMES).select([c.split()[0] for c in _SENT.split(", ")])
+    sums = _of_kind(group, _SUMS)
+    doc, n = _values(sums, "a", np.uint16)
+    slices, at = np.unique(sums.column("slice").to_numpy(), return_inverse=True)
+    return [names, _added(np.repeat(at, n), doc, _values(sums, "b", np.float64)[0], slices, homes, 0)]
+
+
+def _sums(homes: int):
+    return lambda group: pa.concat_tables(_summed(group, homes))
+
+
 def _closed(abouts: list[Fit], homes: int):
-    """Sums of texts as they are; n-grams meet the counts of their last words."""
+    """Sums of slices; n-grams meet the counts of their last words."""
 
     def run(group: pa.Table) -> pa.Table:
-        columns = [c.split()[0] for c in _SENT.split(", ")]
-        out = [group.filter(pa.compute.less_equal(group.column("kind"), _SUMS)).select(columns)]
+        out = _summed(group, homes)
         opens, _n = _values(_of_kind(group, _OPENS), "a", _OPEN)
         words, _n = _values(_of_kind(group, _WORDS), "a", _word_dtype(len(abouts)))
         if len(opens):
-            words = words[np.argsort(words["word"])]
             at, known = _in(words["word"], opens["word"])
             p = np.empty(len(opens))
             for m, about in enumerate(abouts):
@@ -926,12 +951,14 @@ class Scorer:
                     words = self.rest.mapInArrow(_word_rows(homes, len(abouts)), _SENT)
                     sums = sums.unionByName(words).groupBy(F.col("kind") <= _SUMS, "home")
                     sums = sums.applyInArrow(_closed(abouts, homes), _SENT)
-                parts.append(settle(sums.groupBy("slice").applyInArrow(_put_together, _ADDED), "sums"))
+                # What is kept of a pass is a number a text.
+                parts.append(settle(sums.groupBy("home").applyInArrow(_sums(homes), _SENT), "sums"))
             added = parts[0]
             for part in parts[1:]:
                 added = added.unionByName(part)
             # Rows with the same keys have the same text and add the same.
-            log = (F.sum("log") * plan.passes / F.count(F.lit(1))).alias("quality_log")
+            added = added.groupBy("slice").applyInArrow(_put_together, _ADDED)
+            log = (F.sum("log") / F.count(F.lit(1))).alias("quality_log")
             added = added.groupBy("fitted", *_KEYS).agg(F.max("words").alias("quality_words"), log)
             added = settle(added, "sums")
         for part in parts:

@@ -17,8 +17,6 @@ _SPAN = 1 << 16  # bytes hashed at a time, small enough for the cache
 _RADIX = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -65,14 +63,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """Start and end of every word; texts never run into each other."""
     if not len(data):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    space = _SPACE[data]
-    before, after = np.empty_like(space), np.empty_like(space)
-    before[0] = after[-1] = True
-    before[1:], after[:-1] = space[:-1], space[1:]
+    # 0x09 to 0x0D and 0x20; what is below 0x09 wraps around.
+    word = ~((data == 0x20) | ((data - np.uint8(0x09)) < 5))
+    edge = np.empty(len(data) + 1, dtype=bool)
+    edge[0], edge[-1] = word[0], word[-1]
+    np.not_equal(word[1:], word[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    starts, ends = at[::2].copy(), at[1::2].copy()
     inner = offsets[1:-1]
-    before[inner[inner < len(data)]] = True
-    after[inner[inner > 0] - 1] = True
-    return np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
+    inner = inner[(inner > 0) & (inner < len(data))]
+    cut = np.unique(inner[word[inner - 1] & word[inner]])
+    if len(cut):
+        starts, ends = (np.insert(x, np.searchsorted(x, cut), cut) for x in (starts, ends))
+    return starts, ends
 
 
 def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
