@@ -15,12 +15,15 @@ All that an n-gram's probability needs, but for the counts of its last word, is
 n-grams with the same last word of context: counts, continuation counts, sums of contexts. So
 n-grams are dealt to buckets by that word, those of the trusted texts and those of the texts to
 be scored alike, and a bucket is counted and scored at once; no n-gram is written, nor sent on.
+Frequent words are dealt by their places among the 65,535 most frequent ones. A bucket has a count
+of an n-gram for each model, so the models that leave out a fold cost no more shuffles.
 There every probability takes the form a + b * p(last word). Words that are in very many n-grams
 have several buckets, by the word before; what follows them is counted in the fit and given to
 each. Of the words' own counts the most frequent, at most ``pass_bytes``, are sent to the
 workers; what ends in another word meets the other counts by that word. A score is a sum, so
 the table is scored in ``passes``, each with the buckets of some words, and only a pass's n-grams are
-on disk. Two hashes name a text, and the sums meet the documents once, at the end.
+on disk. Within a pass a text is named by its place in a slice of texts; a pass leaves one sum a text,
+and the sums meet the texts' keys, two hashes, once, at the end.
 
 Perplexities of short texts are drawn towards their language's mean by ``prior_words``
 words. The threshold of a language is a quantile over its trusted documents, each scored by a
@@ -208,38 +211,53 @@ def _values(rows: pa.Table, column: str, dtype) -> tuple[np.ndarray, np.ndarray]
     return data.view(dtype), np.diff(ends) // dtype.itemsize
 
 
+_BLOCK = 1 << 18  # bytes of text
+
+
 def _deal(order: int, plan: Plan, turn: int, kind: int, named: bool = False):
     """The n-grams of a pass, by bucket and fold. If ``named``, n-grams know their texts, and a
     row of each slice has the keys of its texts."""
     own = min(order - 1, 1)  # how far from the end the word is by which an n-gram is dealt
     others = [k for k in range(order - 1, -1, -1) if k != own]
 
-    def dealt(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words = word_codes(part.column("text"), lower=False)
+    def coded(block: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        words = word_codes(block.column("text"), lower=False)
         flat, ends, text = _lined_up(words, order)
         key = flat[ends - own]
         if plan.passes > 1:
             wanted = np.flatnonzero(key % np.uint64(plan.passes) == np.uint64(turn))
             key, ends, text = key[wanted], ends[wanted], text[wanted]
         bucket = key // np.uint64(plan.passes) % np.uint64(plan.buckets)
-        at, hot = _in(plan.hot, key)
-        if hot.any():
+        if len(plan.hot):
+            at, hot = _in(plan.hot, key)
             beside = flat[ends[hot] - (2 if order > 2 else 0)]
             bucket[hot] = (bucket[hot] + mix(beside) % plan.parts[at[hot]]) % np.uint64(plan.buckets)
+        sent = np.empty((len(key), len(others)), dtype=np.uint64)
+        for column, k in enumerate(others):
+            sent[:, column] = flat[ends - k]
+        return key, bucket, text, sent, np.diff(words.first)
+
+    def dealt(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        # In blocks small enough for the cache, of which a pass keeps a part.
+        blocks, rows = [], 0
+        for block in slices(part, limit=_BLOCK):
+            key, bucket, text, *more = coded(block)
+            blocks.append((key, bucket, text + rows, *more))
+            rows += block.num_rows
+        key, bucket, text, sent, sizes = map(np.concatenate, zip(*blocks))
         group, width = bucket.astype(np.int64), 1
         if "fold" in part.schema.names:
             fold = part.column("fold").fill_null(_NO_FOLD).to_numpy(zero_copy_only=False).astype(np.int64) + 1
             width = int(fold.max(initial=0)) + 1
             group = group * width + fold[text]
         by = np.argsort(group.astype(np.uint64) << np.uint64(40) | key >> np.uint64(24))
-        key, ends, text, group = key[by], ends[by], text[by], group[by]
+        key, text, group, sent = key[by], text[by], group[by], sent[by]
         first = np.flatnonzero(np.diff(group, prepend=-1))
         new = np.ones(len(key), dtype=bool)
         new[1:] = key[1:] != key[:-1]
         new[first] = True
         runs = np.flatnonzero(new)
         n = np.diff(first, append=len(key))
-        sent = np.stack([flat[ends - k] for k in others], axis=1) if others else np.zeros((len(key), 0), dtype=np.uint64)
         at, known = _in(plan.common, sent.ravel())
         rest = (~known).reshape(sent.shape).sum(axis=1)
 
@@ -251,7 +269,7 @@ def _deal(order: int, plan: Plan, turn: int, kind: int, named: bool = False):
             texts = np.empty(part.num_rows, dtype=_TEXT)
             for column in _KEYS:
                 texts[column] = part.column(column).to_numpy(zero_copy_only=False)
-            texts["words"] = np.diff(words.first)
+            texts["words"] = sizes
             name = xxhash.xxh64_intdigest(texts.tobytes(), seed=kind)
             name -= (name >> 63) << 64
             # Once is enough.
@@ -273,7 +291,7 @@ def _deal(order: int, plan: Plan, turn: int, kind: int, named: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=8 << 20):
                 for at in range(0, part.num_rows, 1 << 16):
                     yield from dealt(part.slice(at, 1 << 16))
 

@@ -210,3 +210,43 @@ def test_scores_come_from_buckets_without_tables_of_n_grams(spark, documents, mo
     assert kn.judged(given, given.select("doc_id"), kn.QualityModel()).count() == 300
     n_grams = len({g for t in texts for w in [t.split()] for g in zip(w, w[1:], w[2:])})
     assert max(n for _name, n in settled) < n_grams / 4
+
+
+def test_all_models_share_a_pass_of_short_rows(spark, corpus, monkeypatch):
+    """Each n-gram to be scored is dealt once, whatever the number of folds, in less than its codes."""
+    kinds, deal = [], kn._deal
+
+    def noted(order, plan, turn, kind, *more):
+        kinds.append(kind)
+        return deal(order, plan, turn, kind, *more)
+
+    monkeypatch.setattr(kn, "_deal", noted)
+    assert kn.judged(corpus, corpus.where("doc_id < 450").select("doc_id"), PARAMS).count() == 640
+    assert kinds.count(kn._ASKED) == 1
+    texts = sentences(400, 7, 60, 60)
+    given = spark.createDataFrame([(t,) for t in texts], "text string")
+    plan = kn._plan(given, PARAMS)[0]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    dealt = [c for b in deal(3, plan, 0, kn._FIT)([batch]) for c in b.columns if pa.types.is_binary(c.type)]
+    size = sum(len(value) for column in dealt for value in column.to_pylist())
+    assert size < 12 * sum(len(t.split()) + 1 for t in texts)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("pass_bytes", [1 << 20, 160])
+def test_fitted_texts_are_scored_without_their_fold(spark, order, pass_bytes):
+    """By counts made once for all models; words in several buckets, several passes, copies of slices."""
+    train = sentences(90, 8)
+    rows = [(k, t, k % 3) for k, t in enumerate(train)]
+    fitted = kn.with_keys(spark.createDataFrame(rows, "k int, text string, fold int"), "k").repartition(2).cache()
+    params = kn.QualityModel(order=order, passes=2, bucket_words=60, pass_bytes=pass_bytes)
+    scorer = kn.Scorer(fitted, params, None, [0, 1, 2])
+    asked = fitted.select("key1", "key2", "text")
+    whole = {r.key1: r for r in scorer(asked.unionByName(asked)).collect()}
+    found = {r.key1: r for r in scorer.left_out.collect()}
+    assert len(whole) == len(found) == len(train)
+    logs = [brute([t for _k, t, f in rows if f != fold], order) for fold in range(3)] + [brute(train, order)]
+    for r in fitted.collect():
+        assert found[r.key1].quality_words == len(r.text.split())
+        assert found[r.key1].quality_log == pytest.approx(logs[r.fold](r.text), rel=1e-6)
+        assert whole[r.key1].quality_log == pytest.approx(logs[3](r.text), rel=1e-6)
